@@ -123,7 +123,9 @@ def dwell_gaps(heartbeat: DataFrame) -> DataFrame:
     to_previous = F.col("_first") - F.lag("_last").over(
         Window.partitionBy(*key).orderBy("_hour"))
     return (
-        spans.withColumn("_between", F.coalesce(_gap_seconds(to_previous), F.lit(0)))
+        spans.withColumn("_gap", to_previous)
+        .withColumn("_between", F.when(F.col("_gap").isNull(), 0)
+                    .otherwise(_gap_seconds(F.col("_gap"))))
         .groupBy(*key)
         .agg((F.sum(F.col("_inner") + F.col("_between")) + fixed.BROKEN_GAP).alias("seconds"))
     )

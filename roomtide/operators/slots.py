@@ -117,20 +117,29 @@ def _member(place: tuple[str, str] | None) -> Column:
     return F.lit(place[1] if place and place[0] == "item" else None).cast("string")
 
 
+def _column(path: tuple[str, ...]) -> str:
+    return "_page" + "".join(f".{key}" for key in path)
+
+
+def _parents(slots: list[Slot]) -> list[tuple[str, ...]]:
+    """Every object on the way to a wanted slot or host, outer ones first."""
+    ends = [s.path[:-1] for s in slots]
+    ends += [_HOST_PATH for s in slots if s.id and s.id[0] == "host"]
+    steps = {path[:depth] for path in ends for depth in range(1, len(path) + 1)}
+    return sorted(steps, key=lambda path: (len(path), path))
+
+
 def _candidate(slot: Slot) -> Column:
-    page = F.col("_page")
-    maps, text = {"page": page}, F.col("_inner")
-    if slot.path:
-        around = page
-        for key in slot.path[:-1]:
-            around = json_map(field(around, key))
-        maps["parent"] = around
-        text = field(around, slot.path[-1])
+    def parsed(path: tuple[str, ...]) -> Column:
+        return F.col(f"`{_column(path)}`")
+
+    maps = {"page": parsed(())}
     if slot.id and slot.id[0] == "host":
-        host = page
-        for key in _HOST_PATH:
-            host = json_map(field(host, key))
-        maps["host"] = host
+        maps["host"] = parsed(_HOST_PATH)
+    text = F.col("_inner")
+    if slot.path:
+        maps["parent"] = parsed(slot.path[:-1])
+        text = field(maps["parent"], slot.path[-1])
     made = F.struct(
         F.lit(slot.label).alias("type"), text.alias("text"),
         F.lit(slot.many).alias("many"),
@@ -147,51 +156,55 @@ def _candidate(slot: Slot) -> Column:
         gate = gate & F.col("data").contains(slot.gate)
     if slot.keep == "present":
         gate = gate & ~text.isin("", "null")
-    elif slot.many or slot.path and slot.keep == "titled":
+    elif slot.keep == "titled" and slot.path:
         gate = gate & (text != "")
     return F.when(gate, made)
 
 
 def _late(member: str, early: str) -> Column:
     """An element member when the slot reads one, else the value read earlier."""
-    name = F.col(f"c.{member}")
-    value = F.try_element_at(F.col("_item"), name)
-    present = F.coalesce(F.map_contains_key("_item", F.coalesce(name, F.lit(""))), F.lit(False))
+    name, item = F.col(f"c.{member}"), F.col("e.item")
+    present = F.coalesce(F.map_contains_key(item, F.coalesce(name, F.lit(""))), F.lit(False))
     return F.when(name.isNull(), F.col(f"c.{early}")) \
-        .when(present, F.coalesce(value, F.lit("null"))).otherwise("")
+        .when(present, F.coalesce(F.try_element_at(item, name), F.lit("null"))).otherwise("")
 
 
 def slot_events(api_log: DataFrame, slots: dict[str, Slot] | None = None, *,
                 live_ball_planners: tuple[str, ...] = fixed.LIVE_BALL_PLANNERS) -> DataFrame:
     """The 10 slot columns of every wanted slot, from one scan of the logs."""
     wanted = list((slots or SLOTS).values())
-    actions = sorted({s.action for s in wanted})
     logs = (
-        api_log.where(F.col("action").isin(*actions))
+        api_log.where(F.col("action").isin(*sorted({s.action for s in wanted})))
         .select("deviceId", "log_time", "action", "data")
         .withColumn("_outer", json_map(F.col("data")))
         .withColumn("code", field(F.col("_outer"), "code"))
         .withColumn("_inner", field(F.col("_outer"), "data"))
         .withColumn("_page", json_map(F.col("_inner")))
     )
+    for path in _parents(wanted):
+        around = F.col(f"`{_column(path[:-1])}`")
+        logs = logs.withColumn(_column(path), json_map(field(around, path[-1])))
     candidates = logs.select(
         "deviceId", "log_time", "action", "data", "code",
         F.explode(F.array_compact(F.array(*[_candidate(s) for s in wanted]))).alias("c"))
-    elements = candidates.withColumn("_text", F.explode(
-        F.when(F.col("c.many"), json_elements(F.col("c.text")))
-        .otherwise(F.array("c.text"))))
-    items = elements.withColumn("_item", json_map(F.col("_text")))
+    # The element is parsed inside the generator: a filter on what is read from
+    # it would otherwise be pushed below the parse and parse it again.
+    texts = F.when(F.col("c.many"), json_elements(F.col("c.text"))) \
+        .otherwise(F.array("c.text"))
+    items = candidates.withColumn("e", F.explode(F.transform(
+        texts, lambda t: F.struct(t.alias("text"), json_map(t).alias("item")))))
     title = F.when(~F.col("c.untitled"), _late("title_member", "title"))
     rows = items.select(
         "deviceId", "log_time", "action",
-        F.when(F.col("c.raw"), F.col("data")).otherwise(F.col("_text")).alias("data"),
+        F.when(F.col("c.raw"), F.col("data")).otherwise(F.col("e.text")).alias("data"),
         F.col("c.type").alias("type"), _late("id_member", "id").alias("id"),
         title.alias("title"), "code", _late("index_member", "index_type").alias("index_type"),
         _late("lock_member", "is_lock").alias("is_lock"), F.col("c.keep").alias("_keep"))
-    kept = rows.where((F.col("_keep") != "titled") | (F.col("title") != ""))
     ball = SLOTS["slot_live_ball"].label
-    kept = kept.where((F.col("type") != ball) | F.col("id").isin(*live_ball_planners))
-    return kept.select(*fixed.SLOT_EVENT)
+    return rows.where(
+        ((F.col("_keep") != "titled") | (F.col("title") != ""))
+        & ((F.col("type") != ball) | F.col("id").isin(*live_ball_planners))
+    ).select(*fixed.SLOT_EVENT)
 
 
 def slot_event(api_log: DataFrame, name: str, **options) -> DataFrame:

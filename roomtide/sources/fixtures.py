@@ -231,7 +231,7 @@ def _array_text(id_key: str, k: Column, c: Column, n: Column) -> Column:
 
 
 def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One API log per order. `variant` spreads the broken and odd payloads."""
+    """One API log per order, over 30 days. `variant` spreads the broken payloads."""
     _utc(spark)
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     rows = (
@@ -241,8 +241,10 @@ def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             _pick(k % 11, ACTIONS).alias("action"),
             (F.floor(k / 11) % 13).alias("variant"),
             (F.floor("o_totalprice") % 13).alias("n"),
-            F.timestamp_seconds(F.unix_seconds("o_orderdate") + k * 7919 % 86400)
-            .alias("log_time"),
+            F.timestamp_seconds(
+                F.unix_seconds(F.lit(FIRST_DAY).cast("timestamp"))
+                + F.datediff("o_orderdate", F.lit("1995-01-01").cast("date")) % 30 * 86400
+                + k * 7919 % 86400).alias("log_time"),
         )
     )
     v, n, action = F.col("variant"), F.col("n"), F.col("action")
@@ -263,8 +265,10 @@ def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             body += [F.lit(',"data":'), extra]
         return F.when(v == 6, "null").otherwise(F.concat(*body, F.lit("}")))
 
-    arr, obj = slot_array("id"), slot_object()
-    stock = slot_object(arr)
+    # Texts used more than once are columns of their own, so they are built once.
+    rows = rows.withColumn("arr", slot_array("id")).withColumn("obj", slot_object())
+    arr, obj, stock = F.col("arr"), F.col("obj"), F.col("stock")
+    rows = rows.withColumn("stock", slot_object(arr))
     index = F.concat(
         F.when(v == 8, "{").otherwise(F.concat(F.lit('{"banner":'), arr, F.lit(","))),
         F.when(v == 9, "").otherwise(F.concat(

@@ -17,8 +17,8 @@ def write_days(df: DataFrame, path: str, day: str = "dt") -> None:
 
 
 def write_day(df: DataFrame, path: str, dt: str) -> None:
-    """Replace one given day, also when `df` has rows without a day of their own."""
-    write_days(df.withColumn("dt", F.lit(dt).cast("date")), path)
+    """Replace the whole partition `dt`, also when `df` is empty."""
+    df.write.mode("overwrite").parquet(f"{path}/dt={dt}")
 
 
 def write_table(df: DataFrame, name: str) -> None:

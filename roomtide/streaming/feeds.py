@@ -44,7 +44,7 @@ def replay(stream: DataFrame, name: str, *, updates: bool = False) -> DataFrame:
     if updates:
         writer = (stream.writeStream.outputMode("update").foreachBatch(batch_writer(path))
                   .option("checkpointLocation", checkpoint))
-        schema = stream.schema.add("batch", "int")
+        schema = stream.schema.add("batch", "integer")
     else:
         writer, schema = files_writer(stream, path, checkpoint), stream.schema
     writer.trigger(availableNow=True).start().awaitTermination()
