@@ -105,22 +105,14 @@ SLOTS = {
 _HOST_PATH = ("planner", "planner_info")
 
 
-def _read(place: tuple[str, str] | None, maps: dict[str, Column]) -> Column:
-    """Value at a place known before the elements are read, else empty."""
-    if place is None or place[0] not in maps:
-        return F.lit("")
-    return field(maps[place[0]], place[1])
-
-
-def _member(place: tuple[str, str] | None) -> Column:
-    """Name of the element member to read later, or NULL."""
-    return F.lit(place[1] if place and place[0] == "item" else None).cast("string")
-
-
 def _column(path: tuple[str, ...]) -> str:
     return "_page" + "".join(f".{key}" for key in path)
 
 
+def _parsed(path: tuple[str, ...]) -> Column:
+    return F.col(f"`{_column(path)}`")
+
+
 def _parents(slots: list[Slot]) -> list[tuple[str, ...]]:
     """Every object on the way to a wanted slot or host, outer ones first."""
     ends = [s.path[:-1] for s in slots]
@@ -129,52 +121,61 @@ def _parents(slots: list[Slot]) -> list[tuple[str, ...]]:
     return sorted(steps, key=lambda path: (len(path), path))
 
 
-def _candidate(slot: Slot) -> Column:
-    def parsed(path: tuple[str, ...]) -> Column:
-        return F.col(f"`{_column(path)}`")
-
-    maps = {"page": parsed(())}
-    if slot.id and slot.id[0] == "host":
-        maps["host"] = parsed(_HOST_PATH)
-    text = F.col("_inner")
-    if slot.path:
-        maps["parent"] = parsed(slot.path[:-1])
-        text = field(maps["parent"], slot.path[-1])
-    made = F.struct(
-        F.lit(slot.label).alias("type"), text.alias("text"),
-        F.lit(slot.many).alias("many"),
-        F.lit(slot.payload == "raw").alias("raw"),
-        F.lit(slot.keep).alias("keep"), F.lit(slot.title is None).alias("untitled"),
-        _read(slot.id, maps).alias("id"), _member(slot.id).alias("id_member"),
-        _read(slot.title, maps).alias("title"), _member(slot.title).alias("title_member"),
-        _read(slot.index_type, maps).alias("index_type"),
-        _member(slot.index_type).alias("index_member"),
-        _read(slot.is_lock, maps).alias("is_lock"), _member(slot.is_lock).alias("lock_member"),
-    )
-    gate = F.col("action") == slot.action
-    if slot.gate:
-        gate = gate & F.col("data").contains(slot.gate)
+def _text(slot: Slot) -> Column:
+    return field(_parsed(slot.path[:-1]), slot.path[-1]) if slot.path else F.col("_inner")
+
+
+def _gate(slot: Slot) -> Column:
+    passed = F.col("data").contains(slot.gate) if slot.gate else F.lit(True)
     if slot.keep == "present":
-        gate = gate & ~text.isin("", "null")
+        passed = passed & ~_text(slot).isin("", "null")
     elif slot.keep == "titled" and slot.path:
-        gate = gate & (text != "")
-    return F.when(gate, made)
+        passed = passed & (_text(slot) != "")
+    return passed
 
 
-def _late(member: str, early: str) -> Column:
-    """An element member when the slot reads one, else the value read earlier."""
-    name, item = F.col(f"c.{member}"), F.col("e.item")
-    present = F.coalesce(F.map_contains_key(item, F.coalesce(name, F.lit(""))), F.lit(False))
-    return F.when(name.isNull(), F.col(f"c.{early}")) \
-        .when(present, F.coalesce(F.try_element_at(item, name), F.lit("null"))).otherwise("")
+def _early(slot: Slot, place: tuple[str, str] | None) -> Column:
+    """A value that lies outside the element, else empty."""
+    if place is None or place[0] == "item":
+        return F.lit("")
+    paths = {"page": (), "parent": slot.path[:-1], "host": _HOST_PATH}
+    return field(_parsed(paths[place[0]]), place[1])
+
+
+def _per_slot(values: list[Column]) -> Column:
+    """The value of the candidate's slot.
+
+    It names the slot number even when there is one slot only: a condition that
+    depends on the generated number stays above the JSON parses, where one that
+    did not would be pushed down and repeat them.
+    """
+    out = F.when(F.col("_slot") == 0, values[0])
+    for number, value in enumerate(values[1:], 1):
+        out = out.when(F.col("_slot") == number, value)
+    return out
+
+
+def _constant(values: list) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_slot") + 1)
+
+
+def _value(slots: list[Slot], name: str) -> Column:
+    """id, title, index_type or is_lock: an element member if the slot reads one."""
+    places = [getattr(s, name) for s in slots]
+    member = _constant([p[1] if p and p[0] == "item" else None for p in places]).cast("string")
+    item = F.col("e.item")
+    present = F.coalesce(F.map_contains_key(item, F.coalesce(member, F.lit(""))), F.lit(False))
+    return F.when(member.isNull(), F.col(f"_{name}")) \
+        .when(present, F.coalesce(F.try_element_at(item, member), F.lit("null"))).otherwise("")
 
 
 def slot_events(api_log: DataFrame, slots: dict[str, Slot] | None = None, *,
                 live_ball_planners: tuple[str, ...] = fixed.LIVE_BALL_PLANNERS) -> DataFrame:
     """The 10 slot columns of every wanted slot, from one scan of the logs."""
     wanted = list((slots or SLOTS).values())
+    actions = sorted({s.action for s in wanted})
     logs = (
-        api_log.where(F.col("action").isin(*sorted({s.action for s in wanted})))
+        api_log.where(F.col("action").isin(*actions))
         .select("deviceId", "log_time", "action", "data")
         .withColumn("_outer", json_map(F.col("data")))
         .withColumn("code", field(F.col("_outer"), "code"))
@@ -182,24 +183,39 @@ def slot_events(api_log: DataFrame, slots: dict[str, Slot] | None = None, *,
         .withColumn("_page", json_map(F.col("_inner")))
     )
     for path in _parents(wanted):
-        around = F.col(f"`{_column(path[:-1])}`")
-        logs = logs.withColumn(_column(path), json_map(field(around, path[-1])))
-    candidates = logs.select(
-        "deviceId", "log_time", "action", "data", "code",
-        F.explode(F.array_compact(F.array(*[_candidate(s) for s in wanted]))).alias("c"))
+        logs = logs.withColumn(_column(path), json_map(field(_parsed(path[:-1]), path[-1])))
+
+    of_action = F.lit(None)
+    for action in actions:
+        numbers = [n for n, s in enumerate(wanted) if s.action == action]
+        of_action = F.when(F.col("action") == action, F.lit(numbers)).otherwise(of_action)
+    names = ("id", "title", "index_type", "is_lock")
+    candidates = (
+        logs.withColumn("_slot", F.explode(of_action))
+        .where(_per_slot([_gate(s) for s in wanted]))
+        .select("deviceId", "log_time", "action", "data", "code", "_slot",
+                _per_slot([_text(s) for s in wanted]).alias("_text"),
+                *[_per_slot([_early(s, getattr(s, n)) for s in wanted]).alias(f"_{n}")
+                  for n in names])
+    )
     # The element is parsed inside the generator: a filter on what is read from
     # it would otherwise be pushed below the parse and parse it again.
-    texts = F.when(F.col("c.many"), json_elements(F.col("c.text"))) \
-        .otherwise(F.array("c.text"))
-    items = candidates.withColumn("e", F.explode(F.transform(
-        texts, lambda t: F.struct(t.alias("text"), json_map(t).alias("item")))))
-    title = F.when(~F.col("c.untitled"), _late("title_member", "title"))
+    reads_item = [any(p and p[0] == "item" for p in (s.id, s.title, s.index_type, s.is_lock))
+                  for s in wanted]
+    texts = F.when(_constant([s.many for s in wanted]), json_elements(F.col("_text"))) \
+        .otherwise(F.array("_text"))
+    items = candidates.withColumn("e", F.explode(F.transform(texts, lambda t: F.struct(
+        t.alias("text"), F.when(_constant(reads_item), json_map(t)).alias("item")))))
+    untitled = _constant([s.title is None for s in wanted])
+    raw = _constant([s.payload == "raw" for s in wanted])
     rows = items.select(
         "deviceId", "log_time", "action",
-        F.when(F.col("c.raw"), F.col("data")).otherwise(F.col("e.text")).alias("data"),
-        F.col("c.type").alias("type"), _late("id_member", "id").alias("id"),
-        title.alias("title"), "code", _late("index_member", "index_type").alias("index_type"),
-        _late("lock_member", "is_lock").alias("is_lock"), F.col("c.keep").alias("_keep"))
+        F.when(raw, F.col("data")).otherwise(F.col("e.text")).alias("data"),
+        _constant([s.label for s in wanted]).alias("type"), _value(wanted, "id").alias("id"),
+        F.when(~untitled, _value(wanted, "title")).alias("title"), "code",
+        _value(wanted, "index_type").alias("index_type"),
+        _value(wanted, "is_lock").alias("is_lock"),
+        _constant([s.keep for s in wanted]).alias("_keep"))
     ball = SLOTS["slot_live_ball"].label
     return rows.where(
         ((F.col("_keep") != "titled") | (F.col("title") != ""))
