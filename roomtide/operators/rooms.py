@@ -94,6 +94,15 @@ def _gap_seconds(gap: Column) -> Column:
     return F.when(gap <= fixed.FULL_GAP, gap).otherwise(fixed.BROKEN_GAP)
 
 
+def seconds_in_gaps(seconds: Column) -> Column:
+    """What the gaps of an ascending array of seconds are worth in total."""
+    earlier = F.slice(seconds, F.lit(1), F.size(seconds) - 1)
+    later = F.slice(seconds, F.lit(2), F.size(seconds))
+    gaps = F.zip_with(later, earlier, lambda b, a: b - a)
+    total = F.aggregate(gaps, F.lit(0).cast("bigint"), lambda t, g: t + _gap_seconds(g))
+    return F.when(F.size(seconds) > 1, total).otherwise(0)
+
+
 def dwell_gaps(heartbeat: DataFrame) -> DataFrame:
     """Dwell per day, room, type and viewer from the gaps between heartbeats.
 
@@ -112,14 +121,10 @@ def dwell_gaps(heartbeat: DataFrame) -> DataFrame:
                 F.floor(sec / 3600).alias("_hour"), sec.alias("_sec"))
         .groupBy(*key, "_hour").agg(F.sort_array(F.collect_set("_sec")).alias("s"))
     )
-    later = F.slice("s", 2, 3600)
-    gaps = F.zip_with(later, F.slice("s", F.lit(1), F.size("s") - 1), lambda b, a: b - a)
-    inner = F.aggregate(F.transform(gaps, _gap_seconds), F.lit(0).cast("bigint"),
-                        lambda total, g: total + g)
     spans = hourly.select(
         *key, "_hour", F.element_at("s", 1).alias("_first"),
         F.element_at("s", -1).alias("_last"),
-        F.when(F.size("s") > 1, inner).otherwise(0).alias("_inner"))
+        seconds_in_gaps(F.col("s")).alias("_inner"))
     to_previous = F.col("_first") - F.lag("_last").over(
         Window.partitionBy(*key).orderBy("_hour"))
     return (

@@ -670,6 +670,16 @@ ORACLES = {
         WHERE epoch_ms(window_end) <= (SELECT epoch_ms(max(logtime)) - 5000 FROM pres)""",
     "dwell_state": f"""{GAPS} SELECT {day_text('day')} AS day, extra_id, type, viewer,
         inner_s + CASE WHEN last_s + 35 < (SELECT max(s) - 5 FROM secs) THEN 15 ELSE 0 END AS seconds FROM dw""",
+    "dwell_stretches_stream": f"""{GAPS},
+        runs AS (SELECT *, sum(CASE WHEN g <= 35 THEN 0 ELSE 1 END)
+          OVER (PARTITION BY day, extra_id, type, viewer ORDER BY s) AS run FROM gaps),
+        st AS (SELECT day, extra_id, type, viewer, run, min(s) AS a, max(s) + 35 AS b,
+          CAST(sum(CASE WHEN g <= 31 THEN g WHEN g <= 35 THEN 15 ELSE 0 END) AS BIGINT) + 15 AS seconds
+          FROM runs GROUP BY 1, 2, 3, 4, 5)
+        SELECT {day_text('day')} AS day, extra_id, type, viewer,
+          {sec_text('make_timestamp(a * 1000000)')} AS started,
+          {sec_text('make_timestamp(b * 1000000)')} AS ended, seconds
+        FROM st WHERE b <= (SELECT max(s) - 5 FROM secs)""",
     "heartbeat_feed_stream": f"{presence()} {HEARTBEAT_FEED}",
     "comment_feed_stream": COMMENT_FEED,
 }

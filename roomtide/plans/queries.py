@@ -385,6 +385,10 @@ def dwell_state(g: Given) -> DataFrame:
         dwell.dwell_state(g.events_of(stream=True)), "dwell-state", updates=True))
 
 
+def dwell_stretches_stream(g: Given) -> DataFrame:
+    return feeds.replay(dwell.dwell_stretches(g.events_of(stream=True)), "dwell-stretches")
+
+
 def heartbeat_feed_stream(g: Given) -> DataFrame:
     return feeds.replay(feeds.heartbeat_feed(g.events_of(stream=True)), "heartbeat-feed")
 
@@ -481,6 +485,7 @@ _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
     "online_now_stream": online_now_stream,
     "online_with_average_stream": online_with_average_stream,
     "dwell_state": dwell_state,
+    "dwell_stretches_stream": dwell_stretches_stream,
     "heartbeat_feed_stream": heartbeat_feed_stream,
     "comment_feed_stream": comment_feed_stream,
     "metrics_refresh_stream": metrics_refresh_stream,

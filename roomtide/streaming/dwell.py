@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
-from ..operators.rooms import presence
+from ..operators.rooms import presence, seconds_in_gaps
 
 KEYS = ["day", "extra_id", "type", "viewer"]
-_IN = "day date, extra_id string, type string, viewer string, at timestamp"
-_OUT = "day date, extra_id string, type string, viewer string, seconds bigint"
+# The key travels as one text: what a state call costs grows with its columns.
+_SEPARATOR = "\x1f"
+_IN = "key string, at timestamp"
+_OUT = "key string, seconds bigint"
 _STATE = "last bigint, seconds bigint"
 
 
@@ -42,15 +44,15 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame],
         state.update((last, seconds))
     else:
         # Distinct seconds of one day: at most 86400 numbers, however many rows.
-        beats = np.empty(0, dtype="int64")
+        beats = None
         for batch in batches:
-            at = batch["at"].astype("datetime64[s]").astype("int64").to_numpy()
-            beats = np.union1d(beats, at)
+            at = batch["at"].to_numpy().astype("datetime64[s]").astype("int64")
+            beats = np.unique(at) if beats is None else np.union1d(beats, at)
         last, seconds = watched(last, seconds, beats)
         state.update((last, seconds))
         if last:
             state.setTimeoutTimestamp((last + fixed.SILENCE) * 1000)
-    yield pd.DataFrame([(*key, seconds)], columns=[*KEYS, "seconds"])
+    yield pd.DataFrame({"key": key, "seconds": (seconds,)})
 
 
 def _once_per_second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,15 +67,40 @@ def dwell_state(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
     busy viewer brings its task few rows. The day in the key is the daily fresh
     start.
     """
+    key = F.concat_ws(_SEPARATOR, F.to_date("logtime").cast("string"), "extra_id", "type", "viewer")
     beats = presence(heartbeat).select(
-        F.to_date("logtime").alias("day"), "extra_id", "type", "viewer",
-        F.date_trunc("second", "logtime").alias("at"))
-    return (
+        key.alias("key"), F.date_trunc("second", "logtime").alias("at"))
+    states = (
         beats.mapInPandas(_once_per_second, _IN)
-        .withWatermark("at", lateness).groupBy(*KEYS)
+        .withWatermark("at", lateness).groupBy("key")
         .applyInPandasWithState(_step, _OUT, _STATE, "update",
                                 GroupStateTimeout.EventTimeTimeout)
     )
+    parts = F.split("key", _SEPARATOR)
+    return states.select(
+        parts[0].cast("date").alias("day"),
+        *[parts[i].alias(c) for i, c in enumerate(KEYS[1:], 1)], "seconds")
+
+
+def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
+    """Finished stretches of watching and their seconds; append mode, no Python.
+
+    A stretch ends with a silence of more than 35 s, and the seconds of a key's
+    stretches add up to its dwell. The state of a stretch is its set of distinct
+    seconds, at most 86400 of one day. This is the form for a busy stream; the
+    state machine above reports a viewer while still watching.
+    """
+    beats = presence(heartbeat).select(
+        F.to_date("logtime").alias("day"), "extra_id", "type", "viewer",
+        F.date_trunc("second", "logtime").alias("at"))
+    seconds = F.sort_array(F.collect_set(F.unix_seconds("at")))
+    return (
+        beats.withWatermark("at", lateness)
+        .groupBy(*KEYS, F.session_window("at", f"{fixed.SILENCE} seconds").alias("w"))
+        .agg(seconds.alias("s"))
+        .select(*KEYS, F.col("w.start").alias("started"), F.col("w.end").alias("ended"),
+                (seconds_in_gaps(F.col("s")) + fixed.BROKEN_GAP).alias("seconds"))
+    )
 
 
 def latest(updates: DataFrame) -> DataFrame:
