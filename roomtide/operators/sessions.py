@@ -19,23 +19,27 @@ def peak_estimate(viewer_rows: Column) -> Column:
     return F.ceil(viewer_rows * F.lit(fixed.PEAK_SHARE))
 
 
-def view_metrics(viewers: DataFrame) -> DataFrame:
+def view_metrics(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Views, new viewers, dwell and peak estimate per session with viewers.
 
-    `viewers` carries is_new. Dwell is uncapped here. Averages divide by
-    (uid, device) rows, not by users.
+    Dwell is uncapped here. Averages divide by (uid, device) rows, not by users.
+    `viewers` is read twice and should be a table.
     """
-    dwell, new = F.col("dwell"), F.col("is_new")
+    new = F.col("is_new")
     measures = []
     for name, keep in (("old", ~new), ("new", new)):
-        part = F.when(keep, dwell)
-        measures += [F.avg(part).alias(f"{name}_user_staying_average"),
-                     F.max(part).alias(f"{name}_user_staying_max"),
-                     F.min(part).alias(f"{name}_user_staying_min")]
-    return viewers.groupBy("live_id").agg(
-        F.countDistinct("device_id").alias("view_count"),
-        F.countDistinct(F.when(new, F.col("uid"))).alias("first_view_count"),
-        peak_estimate(F.count("*")).alias("peak"), *measures)
+        def part(column: str, keep: Column = keep) -> Column:
+            return F.when(keep, F.col(column))
+
+        measures += [
+            (F.sum(part("total")) / F.sum(part("rows"))).alias(f"{name}_user_staying_average"),
+            F.max(part("longest")).alias(f"{name}_user_staying_max"),
+            F.min(part("shortest")).alias(f"{name}_user_staying_min")]
+    by_uid = vw.uids_of_sessions(viewers, known).groupBy("live_id").agg(
+        F.count_if(new).alias("first_view_count"),
+        peak_estimate(F.sum("rows")).alias("peak"), *measures)
+    by_device = viewers.groupBy("live_id").agg(F.countDistinct("device_id").alias("view_count"))
+    return by_uid.join(by_device, "live_id")
 
 
 def comment_metrics(comment: DataFrame, spans: DataFrame, *, viewer_only: bool = True,
@@ -138,19 +142,22 @@ def online_in_last_minute(heartbeat: DataFrame, now: Column,
 def session_metrics(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
                     income: DataFrame, *, previous: DataFrame | None = None,
                     known: DataFrame | None = None, now: Column | None = None,
-                    viewer_only: bool = True, **join) -> DataFrame:
+                    viewers: DataFrame | None = None, viewer_only: bool = True,
+                    **join) -> DataFrame:
     """The session record: one row per given session, typed, zeros where empty.
 
     previous  stored records; their max_living_count is a floor for ours
     known     first-seen table of viewers before these heartbeats
+    viewers   the viewer table of these sessions, if the caller has it
     now       time of a refresh: running sessions reach to it and the peak is
               what is online in the minute before it instead of an estimate
     """
     spans = vw.windows(session, now)
     length = scalars.span_seconds(F.col("win_start"), F.col("win_end"))
     reach = measure(spans, "win_start", "win_end")
-    viewers = vw.viewer_dwell(heartbeat, spans, reach=reach, **join)
-    views = view_metrics(vw.mark_new(viewers, known))
+    if viewers is None:
+        viewers = vw.viewer_table(heartbeat, spans, reach=reach, **join)
+    views = view_metrics(viewers, known)
     counted = comment_metrics(comment, spans, viewer_only=viewer_only, reach=reach, **join)
     earned = gift_income(income, session, **join)
     out = (

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, scalars
+from ..session import materialise
 from ..sources import scans
 from .intervals import covered_by
 
@@ -72,6 +73,15 @@ def viewer_dwell(heartbeat: DataFrame, spans: DataFrame, **join) -> DataFrame:
     )
 
 
+def viewer_table(heartbeat: DataFrame, spans: DataFrame, **join) -> DataFrame:
+    """viewer_dwell written once to the shared folder.
+
+    The metrics read viewers along two ways, per uid and per device; without the
+    table each way would scan and join the heartbeats again.
+    """
+    return materialise(viewer_dwell(heartbeat, spans, **join), "viewers")
+
+
 def first_seen(viewers: DataFrame) -> DataFrame:
     """When each uid was first seen in each room."""
     return (viewers.where(F.col("uid") != "").groupBy("extra_id", "uid")
@@ -84,34 +94,41 @@ def merge_first_seen(known: DataFrame, seen: DataFrame) -> DataFrame:
             .agg(F.min("first_at").alias("first_at")))
 
 
-def mark_new(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Add is_new: the uid is not blank and was first seen in the room in this session.
+def uids_of_sessions(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per session and uid, with is_new and the figures of its devices.
 
-    Only viewers of sessions count as seen, so the viewer rows themselves are
-    the history; `known` adds the first-seen table of earlier runs. A blank uid
-    is never new; its rows are spread by device so that they do not meet in one
-    window group.
+    A uid is new in a session if it is not blank and was first seen in the room
+    during it. Only viewers of sessions count as seen, so the viewer rows are
+    the history; `known` adds the first-seen table of earlier runs.
+
+    Devices collapse before the window, which leaves it at most one row per
+    session of the room for any uid.
     """
-    who = F.when(F.col("uid") != "", F.col("uid")).otherwise(
-        F.concat(F.lit("\0"), "device_id"))
-    out = viewers.withColumn("_who", who).withColumn(
-        "_first", F.min("first_at").over(Window.partitionBy("extra_id", "_who")))
+    uids = viewers.groupBy("live_id", "extra_id", "uid").agg(
+        F.count("*").alias("rows"), F.sum("dwell").alias("total"),
+        F.max("dwell").alias("longest"), F.min("dwell").alias("shortest"),
+        F.min("first_at").alias("first_at"), F.min("win_start").alias("win_start"),
+        F.max("win_end").alias("win_end"))
+    uids = uids.withColumn(
+        "first", F.min("first_at").over(Window.partitionBy("extra_id", "uid")))
     if known is not None:
-        earlier = known.select(F.col("extra_id").alias("_room"), F.col("uid").alias("_uid"),
-                               F.col("first_at").alias("_known"))
-        out = out.join(earlier, (F.col("extra_id") == F.col("_room"))
-                       & (F.col("_who") == F.col("_uid")), "left") \
-            .withColumn("_first", F.least("_first", "_known")).drop("_room", "_uid", "_known")
-    in_session = (F.col("_first") >= F.col("win_start")) & (F.col("_first") <= F.col("win_end"))
-    return out.withColumn("is_new", (F.col("uid") != "") & in_session).drop("_who", "_first")
+        earlier = known.select("extra_id", "uid", F.col("first_at").alias("known"))
+        uids = uids.join(earlier, ["extra_id", "uid"], "left") \
+            .withColumn("first", F.least("first", "known")).drop("known")
+    in_session = (F.col("first") >= F.col("win_start")) & (F.col("first") <= F.col("win_end"))
+    return uids.withColumn("is_new", (F.col("uid") != "") & in_session)
+
+
+def _new_uids(viewers: DataFrame, known: DataFrame | None) -> DataFrame:
+    return uids_of_sessions(viewers, known).where("is_new").select("live_id", "uid")
 
 
 def new_viewers(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    return mark_new(viewers, known).where("is_new").drop("is_new")
+    return viewers.join(_new_uids(viewers, known), ["live_id", "uid"], "left_semi")
 
 
 def old_viewers(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    return mark_new(viewers, known).where("not is_new").drop("is_new")
+    return viewers.join(_new_uids(viewers, known), ["live_id", "uid"], "left_anti")
 
 
 def identity_set(viewers: DataFrame) -> DataFrame:

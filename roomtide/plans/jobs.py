@@ -60,8 +60,9 @@ def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFram
     """
     spark = session.sparkSession
     wanted = scans.sessions(session, start, end)
-    metrics = sessions.session_metrics(wanted, heartbeat, comment, income,
-                                       previous=previous, known=known, **options)
+    viewers = vw.viewer_table(heartbeat, vw.windows(wanted))
+    metrics = sessions.session_metrics(wanted, heartbeat, comment, income, previous=previous,
+                                       known=known, viewers=viewers, **options)
     kept = metrics if previous is None else records.upsert(
         previous.select(*fixed.SESSION_METRICS), metrics, "live_id")
     sinks.write_version(kept, f"{store}/metrics", version)
@@ -74,7 +75,6 @@ def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFram
         info = records.upsert(before, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
     sinks.write_version(info, f"{store}/live_info", version)
 
-    viewers = vw.viewer_dwell(heartbeat, vw.windows(wanted))
     seen = vw.first_seen(viewers)
     sinks.write_version(seen if known is None else vw.merge_first_seen(known, seen),
                         f"{store}/first_seen", version)

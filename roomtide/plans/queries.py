@@ -74,11 +74,11 @@ class Given:
 
     @cached_property
     def viewers(self) -> DataFrame:
-        return vw.viewer_dwell(self.heartbeat, self.spans)
+        return vw.viewer_table(self.heartbeat, self.spans)
 
     @cached_property
     def views(self) -> DataFrame:
-        return sessions.view_metrics(vw.mark_new(self.viewers))
+        return sessions.view_metrics(self.viewers)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -316,7 +316,7 @@ def route_by_event_date(g: Given) -> DataFrame:
 
 
 def viewer_dwell(g: Given) -> DataFrame:
-    return g.viewers.select("live_id", "extra_id", "uid", "device_id", "dwell")
+    return _viewer_rows(vw.viewer_dwell(g.heartbeat, g.spans))
 
 
 def _viewer_rows(viewers: DataFrame) -> DataFrame:
