@@ -47,17 +47,29 @@ def presence(heartbeat: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _window(window: int, slide: int) -> Column:
-    return F.window("logtime", f"{window} seconds", f"{slide} seconds")
-
-
 def online_now(heartbeat: DataFrame, window: int = fixed.ONLINE_WINDOW,
                slide: int = fixed.ONLINE_SLIDE) -> DataFrame:
-    """Distinct viewers per room and type in the `window` seconds before each tick."""
+    """Distinct viewers per room and type in the `window` seconds before each tick.
+
+    Sliding windows would copy every heartbeat into each window that holds it
+    and then remove duplicates. Here a viewer's ticks are made distinct first,
+    and each covers only the windows up to the viewer's next tick, so that a
+    window counts a viewer once and is summed up before it is shuffled.
+    """
+    if window % slide:
+        raise ValueError("the window must be a multiple of the slide")
+    reach = window // slide
+    viewer = ["extra_id", "type", "viewer"]
+    tick = F.floor(F.unix_micros("logtime") / (slide * 1000000))
+    ticks = presence(heartbeat).select(*viewer, tick.alias("tick")).distinct()
+    following = F.lead("tick").over(Window.partitionBy(*viewer).orderBy("tick"))
+    until = F.least(F.col("tick") + reach, F.coalesce(following, F.col("tick") + reach))
     return (
-        presence(heartbeat).groupBy(_window(window, slide).alias("w"), "extra_id", "type")
-        .agg(F.countDistinct("viewer").alias("online"))
-        .select(F.col("w.end").alias("window_end"), "extra_id", "type", "online")
+        ticks.withColumn("until", until)
+        .select("extra_id", "type", F.explode(F.sequence(F.col("tick") + 1, "until")).alias("end"))
+        .groupBy("end", "extra_id", "type").agg(F.count("*").alias("online"))
+        .select(F.timestamp_seconds(F.col("end") * slide).alias("window_end"),
+                "extra_id", "type", "online")
     )
 
 
@@ -71,23 +83,12 @@ def online_with_average(online: DataFrame, average: DataFrame) -> DataFrame:
 def peak_online_running(online: DataFrame) -> DataFrame:
     """Highest online figure so far per room and type.
 
-    In two steps so that no room is sorted as a whole: running maxima within
-    each day, lifted by the maximum of the days before.
+    The rows are ticks of the clock, so a room brings the window one row per
+    slide however busy it is.
     """
-    room = ["extra_id", "type"]
-    day = F.to_date("window_end")
-    ticks = online.withColumn("_day", day)
-    within = Window.partitionBy(*room, "_day").orderBy("window_end") \
+    so_far = Window.partitionBy("extra_id", "type").orderBy("window_end") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*room).orderBy("_day") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    days = (ticks.groupBy(*room, "_day").agg(F.max("online").alias("_top"))
-            .withColumn("_before", F.max("_top").over(before)).drop("_top"))
-    return (
-        ticks.withColumn("_peak", F.max("online").over(within))
-        .join(days, [*room, "_day"])
-        .select("window_end", *room, "online", F.greatest("_peak", "_before").alias("peak"))
-    )
+    return online.withColumn("peak", F.max("online").over(so_far))
 
 
 def _gap_seconds(gap: Column) -> Column:
