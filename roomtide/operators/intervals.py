@@ -4,8 +4,8 @@ Rooms are few and some are very busy, so a plain equi join on the room would
 send a busy room to one task and compare each of its rows with every session
 the room ever had. Both forms below add the day to the equi key. When the
 schedule is measured to be small it is broadcast and the facts do not move at
-all; otherwise both sides shuffle on (key, day, salt), where the salt cuts every
-room and day into equal pieces.
+all. Otherwise both sides shuffle on (key, day, salt): the days of a key that
+hold too many facts are counted first and cut into as many salts as they need.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 BROADCAST_ROWS = 500_000
-SALTS = 16
+ROWS_PER_SALT = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -29,7 +31,10 @@ class Reach:
 
 
 def measure(intervals: DataFrame, start: str, end: str) -> Reach:
-    """One aggregate over the interval side: a single row comes back."""
+    """One aggregate over the interval side: a single row comes back.
+
+    `rows` counts an interval once per day it touches, as the join does.
+    """
     row = (
         intervals.where(F.col(start) <= F.col(end))
         .agg(F.sum(F.datediff(end, start) + 1).alias("rows"),
@@ -43,7 +48,7 @@ def measure(intervals: DataFrame, start: str, end: str) -> Reach:
 def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str], at: str,
                start: str = "start_time", end: str = "end_time",
                day_column: str | None = None, broadcast_rows: int = BROADCAST_ROWS,
-               salts: int = SALTS, reach: Reach | None = None) -> DataFrame:
+               rows_per_salt: int = ROWS_PER_SALT, reach: Reach | None = None) -> DataFrame:
     """Inner join: each fact with every interval of its key and start <= at <= end.
 
     `key` is (fact column, interval column); `intervals` should carry only the
@@ -65,17 +70,38 @@ def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str],
         intervals.where(F.col(start) <= F.col(end))
         .withColumn("_day", F.explode(F.sequence(F.to_date(start), F.to_date(end))))
     )
+    columns = [*facts.columns, *intervals.columns]
     facts = facts.withColumn("_fact_day", F.to_date(at))
     on = ((F.col(fact_key) == F.col(interval_key)) & (F.col("_fact_day") == F.col("_day"))
           & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
-    helpers = ["_day", "_fact_day"]
     if reach.rows <= broadcast_rows:
         by_day = F.broadcast(by_day)
     else:
-        spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts))
-        facts = facts.withColumn("_fact_salt", spread)
-        by_day = by_day.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+        heavy = heavy_days(facts, fact_key, "_fact_day", rows_per_salt)
+        spread = F.pmod(F.xxhash64(*facts.columns), F.col("_salts"))
+        facts = _with_salts(facts, heavy, fact_key, "_fact_day") \
+            .withColumn("_fact_salt", spread)
+        by_day = _with_salts(by_day, heavy, interval_key, "_day").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))
+        ).drop("_salts")
         on = on & (F.col("_fact_salt") == F.col("_salt"))
-        helpers += ["_salt", "_fact_salt"]
-    return facts.join(by_day, on).drop(*helpers)
+    return facts.join(by_day, on).select(*columns)
+
+
+def heavy_days(facts: DataFrame, key: str, day: str, rows_per_salt: int) -> DataFrame:
+    """Keys and days with more than `rows_per_salt` facts and the salts they need.
+
+    There are fewer of them than facts divided by `rows_per_salt`, which is what
+    allows them to be broadcast.
+    """
+    counted = facts.groupBy(F.col(key).alias("_key"), F.col(day).alias("_heavy_day")) \
+        .agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_salt)
+    return materialise(counted.select(
+        "_key", "_heavy_day",
+        F.ceil(F.col("_rows") / rows_per_salt).cast("bigint").alias("_salts")), "heavy-days")
+
+
+def _with_salts(df: DataFrame, heavy: DataFrame, key: str, day: str) -> DataFrame:
+    on = (F.col(key) == F.col("_key")) & (F.col(day) == F.col("_heavy_day"))
+    return (df.join(F.broadcast(heavy), on, "left").drop("_key", "_heavy_day")
+            .withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("bigint"))))

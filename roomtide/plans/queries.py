@@ -156,12 +156,10 @@ def snapshot_read(g: Given) -> DataFrame:
     hosts = records.json_snapshot(
         sessions.planner_rollup(g.session, g.metrics), "lcs_id", fixed.PLANNER_METRICS)
     path = g.path("snapshot")
-    sinks.write_day(live.select(F.lit("live").alias("hash"), F.col("live_id").alias("key"),
-                                "value"), path, "2024-02-01")
-    sinks.write_day(hosts.select(F.lit("host").alias("hash"), F.col("lcs_id").alias("key"),
-                                 "value"), path, "2024-02-02")
-    return g.spark.read.schema("hash string, key string, value string").parquet(path) \
-        .select("hash", "key", "value")
+    stores = live.select(F.lit("live").alias("hash"), F.col("live_id").alias("key"), "value") \
+        .unionAll(hosts.select(F.lit("host"), "lcs_id", "value"))
+    sinks.write_days(stores, path, "hash")
+    return g.spark.read.schema("key string, value string, hash string").parquet(path)
 
 
 def slice_coverage(g: Given, seconds: int) -> DataFrame:

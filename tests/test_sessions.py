@@ -170,8 +170,15 @@ def _brute(facts, spans):
                   if f[1] == s[1] and s[2] <= f[2] <= s[3])
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_interval_join_forms(spark, broadcast_rows):
+def test_interval_join_forms(spark, no_broadcast, broadcast_rows):
     """Broadcast and salted joins equal brute force; one room holds most rows."""
     facts = [(i, "hot" if i % 3 else f"r{i % 5}",
               at(f"{i % 24:02d}:{i * 7 % 60:02d}:00", 1 + i % 4)) for i in range(400)]
@@ -182,7 +189,7 @@ def test_interval_join_forms(spark, broadcast_rows):
     f = spark.createDataFrame(facts, "fid int, room string, t timestamp")
     s = spark.createDataFrame(spans, "sid int, key string, start_time timestamp, end_time timestamp")
     got = intervals.covered_by(f, s, key=("room", "key"), at="t",
-                               broadcast_rows=broadcast_rows, salts=4)
+                               broadcast_rows=broadcast_rows, rows_per_salt=20)
     assert got.columns == ["fid", "room", "t", "sid", "key", "start_time", "end_time"]
     assert rows(got.select("fid", "sid")) == _brute(facts, [x for x in spans if x[2]])
 
@@ -193,11 +200,17 @@ def test_interval_join_without_intervals(spark):
     assert intervals.covered_by(f, s, key=("room", "key"), at="t").count() == 0
 
 
-def test_metrics_same_on_salted_path(spark, sf_dir):
+def test_heavy_days_are_few(spark):
+    rows_in = [(i, "hot" if i % 3 == 0 else f"r{i}", 1) for i in range(300)]
+    df = spark.createDataFrame(rows_in, "id int, room string, day int")
+    assert rows(intervals.heavy_days(df, "room", "day", 30)) == [("hot", 1, 4)]
+
+
+def test_metrics_same_on_salted_path(spark, no_broadcast, sf_dir):
     from roomtide.plans.queries import Given
     g = Given(spark, sf_dir)
     salted = sessions.session_metrics(g.eligible, g.heartbeat, g.comment, g.income,
-                                      broadcast_rows=0, salts=3)
+                                      broadcast_rows=0, rows_per_salt=10)
     assert rows(salted, "live_id") == rows(g.metrics, "live_id")
 
 
