@@ -7,10 +7,12 @@ that is above 31 s; 35 s without one add 15 s and forget the last.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -18,6 +20,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import fixed
 from ..operators.rooms import presence, seconds_in_gaps
 
+# Executors get the functions of this module as code, so they need no copy of the
+# package; what the functions use must therefore be plain values of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+FULL_GAP, BROKEN_GAP, SILENCE = fixed.FULL_GAP, fixed.BROKEN_GAP, fixed.SILENCE
+
 KEYS = ["day", "extra_id", "type", "viewer"]
 # The key travels as one text: what a state call costs grows with its columns.
 _SEPARATOR = "\x1f"
@@ -32,7 +39,7 @@ def watched(last: int, seconds: int, beats: np.ndarray) -> tuple[int, int]:
     if beats.size == 0:
         return last, seconds
     gaps = np.diff(np.concatenate(([last], beats)) if last else beats)
-    added = np.where(gaps <= fixed.FULL_GAP, gaps, fixed.BROKEN_GAP).sum()
+    added = np.where(gaps <= FULL_GAP, gaps, BROKEN_GAP).sum()
     return int(beats[-1]), seconds + int(added)
 
 
@@ -40,7 +47,7 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame],
           state: GroupState) -> Iterator[pd.DataFrame]:
     last, seconds = state.get if state.exists else (0, 0)
     if state.hasTimedOut:
-        last, seconds = 0, seconds + fixed.BROKEN_GAP
+        last, seconds = 0, seconds + BROKEN_GAP
         state.update((last, seconds))
     else:
         # Distinct seconds of one day: at most 86400 numbers, however many rows.
@@ -51,7 +58,7 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame],
         last, seconds = watched(last, seconds, beats)
         state.update((last, seconds))
         if last:
-            state.setTimeoutTimestamp((last + fixed.SILENCE) * 1000)
+            state.setTimeoutTimestamp((last + SILENCE) * 1000)
     yield pd.DataFrame({"key": key, "seconds": (seconds,)})
 
 
@@ -96,10 +103,10 @@ def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFr
     seconds = F.sort_array(F.collect_set(F.unix_seconds("at")))
     return (
         beats.withWatermark("at", lateness)
-        .groupBy(*KEYS, F.session_window("at", f"{fixed.SILENCE} seconds").alias("w"))
+        .groupBy(*KEYS, F.session_window("at", f"{SILENCE} seconds").alias("w"))
         .agg(seconds.alias("s"))
         .select(*KEYS, F.col("w.start").alias("started"), F.col("w.end").alias("ended"),
-                (seconds_in_gaps(F.col("s")) + fixed.BROKEN_GAP).alias("seconds"))
+                (seconds_in_gaps(F.col("s")) + BROKEN_GAP).alias("seconds"))
     )
 
 
