@@ -196,7 +196,11 @@ def still_open(session: DataFrame, previous: DataFrame) -> DataFrame:
 
 def refresh(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
             income: DataFrame, previous: DataFrame, now: Column, **options) -> DataFrame:
-    """One refresh: drop finished sessions before any heavy join, recompute the rest."""
+    """One refresh: drop finished sessions before any heavy join, recompute the rest.
+
+    The finished sessions' viewers still count as seen: pass their first-seen
+    table as `known`.
+    """
     return session_metrics(still_open(session, previous), heartbeat, comment, income,
                            previous=previous, now=now, **options)
 

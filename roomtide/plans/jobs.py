@@ -68,20 +68,24 @@ def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFram
     sinks.write_version(kept, f"{store}/metrics", version)
     stored = sinks.read_version(spark, f"{store}/metrics", version)
 
-    info = records.live_info(
-        stored.join(wanted.select(F.col("id").alias("live_id")), "live_id", "left_semi"), now)
-    if version > 1:
-        before = sinks.read_version(spark, f"{store}/live_info", version - 1)
-        info = records.upsert(before, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
-    sinks.write_version(info, f"{store}/live_info", version)
-
+    fresh = stored.join(wanted.select(F.col("id").alias("live_id")), "live_id", "left_semi")
+    keep_totals(session, fresh, stored, now, store, version, first=version == 1)
     seen = vw.first_seen(viewers)
     sinks.write_version(seen if known is None else vw.merge_first_seen(known, seen),
                         f"{store}/first_seen", version)
     sinks.write_version(vw.with_expiry(vw.identity_set(viewers), now),
                         f"{store}/viewers", version)
-    sinks.write_version(sessions.planner_rollup(session, stored),
-                        f"{store}/planners", version)
+
+
+def keep_totals(session: DataFrame, fresh: DataFrame, stored: DataFrame, now: Column,
+                store: str, version: int, first: bool) -> None:
+    """The keyed table with the fresh records put over it, and the totals per host."""
+    info = records.live_info(fresh, now)
+    if not first:
+        before = sinks.read_version(session.sparkSession, f"{store}/live_info", version - 1)
+        info = records.upsert(before, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
+    sinks.write_version(info, f"{store}/live_info", version)
+    sinks.write_version(sessions.planner_rollup(session, stored), f"{store}/planners", version)
 
 
 def snapshot_to_days(metrics: DataFrame, planners: DataFrame, dt: str, out: str) -> None:
@@ -111,10 +115,20 @@ def write_reports(api_log: DataFrame, start: str, end: str, out: str) -> None:
         sinks.write_tsv(report, f"{out}/{name}")
 
 
+def refresh_target(spark: SparkSession, tables: refresh.Tables, store: str,
+                   now: Callable[[], Column] = F.current_timestamp, *, base: int = 0, **options):
+    """foreachBatch target that keeps metrics, first_seen, live_info and planners."""
+    def also(fresh: DataFrame, stored: DataFrame, version: int) -> None:
+        keep_totals(tables.session(), fresh, stored, now(), store, version,
+                    first=version == base + 1)
+
+    return refresh.refresher(spark, tables, store, now, base=base, also=also, **options)
+
+
 def start_session_refresh(spark: SparkSession, tables: refresh.Tables, store: str,
                           checkpoint: str, **options):
     """Refresh the store of session records every minute."""
-    run = refresh.refresher(spark, tables, store, F.current_timestamp, **options)
+    run = refresh_target(spark, tables, store, **options)
     return refresh.start(refresh.clock(spark), run, checkpoint)
 
 

@@ -110,8 +110,8 @@ def _previous() -> str:
 PREV = _previous()
 
 
-def views(src: str = "el", end: str = "end_time") -> str:
-    """vd: viewer rows; vn: with newness; vm: per session."""
+def views(src: str = "el", end: str = "end_time", earlier: str = "") -> str:
+    """vd: viewer rows; vn: with newness; vm: per session. `earlier` adds viewers seen before."""
     halves = ", ".join(
         f"{fn}(CASE WHEN {cond} THEN dwell END) AS {name}_user_staying_{out}"
         for name, cond in (("old", "NOT is_new"), ("new", "is_new"))
@@ -123,7 +123,8 @@ def views(src: str = "el", end: str = "end_time") -> str:
     min(h.logtime) AS first_at
   FROM hb h JOIN {src} s ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.{end}
   WHERE h.type = {VIDEO} AND h.device_id <> '' GROUP BY 1, 2, 3, 4),
-fs AS (SELECT extra_id, uid, min(first_at) AS f FROM vd WHERE uid <> '' GROUP BY 1, 2),
+fs AS (SELECT extra_id, uid, min(first_at) AS f
+  FROM (SELECT extra_id, uid, first_at FROM vd {earlier}) WHERE uid <> '' GROUP BY 1, 2),
 vn AS (SELECT vd.*, coalesce(vd.uid <> '' AND fs.f BETWEEN ws AND we, FALSE) AS is_new
   FROM vd LEFT JOIN fs ON vd.extra_id = fs.extra_id AND vd.uid = fs.uid),
 vm AS (SELECT live_id, count(DISTINCT device_id) AS view_count,
@@ -171,7 +172,7 @@ def capped(end: str = "end_time", s: str = "s") -> list[str]:
 
 
 def metrics(src: str = "el", end: str = "end_time", peak: str = "coalesce(peak, 0)",
-            extra: str = "") -> str:
+            extra: str = "", earlier: str = "") -> str:
     """CTEs ending in sm, the session record of every session of `src`."""
     zeros = {c: f"coalesce({c}, 0) AS {c}" for c in METRIC_COLUMNS}
     zeros |= dict(zip(DWELL, capped(end), strict=True))
@@ -180,7 +181,7 @@ def metrics(src: str = "el", end: str = "end_time", peak: str = "coalesce(peak,
               "live_title": "s.title AS live_title", "live_status": "s.live_status",
               "max_living_count": f"{peak} AS max_living_count",
               "gift_income": "coalesce(gift_income, 0.0::DOUBLE) AS gift_income"}
-    return f"""{views(src, end)}, {comments(src, end)}, {gifts(src)},
+    return f"""{views(src, end, earlier)}, {comments(src, end)}, {gifts(src)},
 sm AS (SELECT {', '.join(zeros[c] for c in METRIC_COLUMNS)} FROM {src} s
   LEFT JOIN vm ON s.id = vm.live_id LEFT JOIN cm ON s.id = cm.live_id
   LEFT JOIN gm ON s.id = gm.live_id {extra})"""
@@ -229,6 +230,11 @@ def plain_text(c: str) -> str:
     return f"CAST({c} AS VARCHAR)"
 
 
+_FINISHED = f"""UNION ALL SELECT h.extra_id, h.uid, h.logtime FROM hb h JOIN ses s
+  ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
+  WHERE h.type = {VIDEO} AND h.device_id <> ''
+    AND s.id IN (SELECT live_id FROM prev WHERE live_status = 0)"""
+
 # Sessions a refresh recomputes, with running ones reaching to `now`.
 REFRESH = f"""WITH {TABLES}, {PREV},
 nw AS (SELECT date_trunc('second', max(logtime)) AS n FROM hb),
@@ -237,7 +243,8 @@ op AS (SELECT s.*, CASE WHEN s.live_status = 1 THEN nw.n ELSE s.end_time END AS
 cur AS (SELECT extra_id, count(DISTINCT type || '/' || device_id || '/' || uid) AS c FROM hb, nw
   WHERE logtime BETWEEN n - INTERVAL 60 SECOND AND n AND type IN ({VIDEO}, {TEXT}) GROUP BY 1),
 {metrics('op', 'eff', 'greatest(coalesce(cur.c, 0), coalesce(prev.max_living_count, 0))',
-         'LEFT JOIN cur ON s.circle_id = cur.extra_id LEFT JOIN prev ON s.id = prev.live_id')}""" \
+         'LEFT JOIN cur ON s.circle_id = cur.extra_id LEFT JOIN prev ON s.id = prev.live_id',
+         _FINISHED)}""" \
     .replace("coalesce(gift_income, 0.0::DOUBLE)", "coalesce(gm.gift_income, 0.0::DOUBLE)")
 for _c in PREVIOUS_COUNTS:
     _t = "vm" if _c in ("view_count", "first_view_count") else "cm"

@@ -89,6 +89,14 @@ class Given:
     def previous(self) -> DataFrame:
         return fixtures.previous_snapshot(self.session)
 
+    @cached_property
+    def known(self) -> DataFrame:
+        """First-seen table that the sessions stored as finished have left."""
+        finished = self.session.join(
+            self.previous.where(F.col("live_status") == fixed.ENDED)
+            .select(F.col("live_id").alias("id")), "id", "left_semi")
+        return vw.first_seen(vw.viewer_dwell(self.heartbeat, vw.windows(finished)))
+
     def now(self) -> Column:
         """The last second of the heartbeats, as the time of a refresh."""
         last = self.heartbeat.agg(F.max(F.unix_seconds("logtime"))).first()[0]
@@ -337,7 +345,8 @@ def planner_rollup(g: Given) -> DataFrame:
 
 
 def metrics_refresh(g: Given) -> DataFrame:
-    return sessions.refresh(g.session, g.heartbeat, g.comment, g.income, g.previous, g.now())
+    return sessions.refresh(g.session, g.heartbeat, g.comment, g.income, g.previous, g.now(),
+                            known=g.known)
 
 
 # --- rooms ---------------------------------------------------------------
@@ -399,14 +408,15 @@ def comment_feed_stream(g: Given) -> DataFrame:
 def metrics_refresh_stream(g: Given) -> DataFrame:
     """The refresh driven by a stream of events: the store after the last tick."""
     store = g.path("metric-store")
-    sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), store, 0)
+    sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 0)
+    sinks.write_version(g.known, f"{store}/first_seen", 0)
     tables = refresh.Tables(lambda: g.session, lambda: g.heartbeat,
                             lambda: g.comment, lambda: g.income)
     run = refresh.refresher(g.spark, tables, store, g.now)
     (fixtures.event_stream(g.spark, g.sf_dir).writeStream.foreachBatch(run)
      .option("checkpointLocation", g.path("metric-store-checkpoint"))
      .trigger(availableNow=True).start().awaitTermination())
-    return sinks.read_version(g.spark, store)
+    return sinks.read_version(g.spark, f"{store}/metrics")
 
 
 _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {

@@ -6,8 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import records, sessions
+from ..operators import viewers as vw
 from ..sources import sinks
 
 
@@ -26,20 +28,35 @@ def clock(spark: SparkSession) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
 
-def refresher(spark: SparkSession, tables: Tables, store: str,
-              now: Callable[[], Column], **options) -> Callable[[DataFrame, int], None]:
+def refresher(spark: SparkSession, tables: Tables, store: str, now: Callable[[], Column], *,
+              base: int = 0, also: Callable[[DataFrame, DataFrame, int], None] | None = None,
+              **options) -> Callable[[DataFrame, int], None]:
     """foreachBatch target: recompute open sessions and write the next store version.
 
-    The version written is the batch number plus one and the one read is the
-    batch number, so a repeated batch reads and writes the same versions.
-    Version 0 is the state before the first batch.
+    The store is two versioned tables below `store`: metrics, the records, and
+    first_seen, when each uid first came to a room, which finished sessions leave
+    behind for the open ones. Batch n reads version base + n and writes the one
+    after, so a repeated batch reads and writes the same versions. `base` is the
+    version both tables had when the stream's checkpoint was new.
+    `also(fresh, stored, version)` writes what else is kept of a refresh.
     """
     def run(_: DataFrame, number: int) -> None:
-        previous = sinks.read_version(spark, store, number)
-        fresh = sessions.refresh(tables.session(), tables.heartbeat(), tables.comment(),
-                                 tables.income(), previous, now(), **options)
-        merged = records.upsert(previous, fresh, "live_id")
-        sinks.write_version(merged, store, number + 1)
+        version = base + number + 1
+        previous = sinks.read_version(spark, f"{store}/metrics", version - 1)
+        known = sinks.read_version(spark, f"{store}/first_seen", version - 1)
+        session, heartbeat, at = tables.session(), tables.heartbeat(), now()
+        wanted = sessions.still_open(session, previous)
+        viewers = vw.viewer_table(heartbeat, vw.windows(wanted, at))
+        fresh = sessions.refresh(session, heartbeat, tables.comment(), tables.income(),
+                                 previous, at, known=known, viewers=viewers, **options)
+        sinks.write_version(records.upsert(previous, fresh, "live_id"),
+                            f"{store}/metrics", version)
+        sinks.write_version(vw.merge_first_seen(known, vw.first_seen(viewers)),
+                            f"{store}/first_seen", version)
+        if also:
+            stored = sinks.read_version(spark, f"{store}/metrics", version)
+            touched = wanted.select(F.col("id").alias("live_id"))
+            also(stored.join(touched, "live_id", "left_semi"), stored, version)
     return run
 
 

@@ -122,3 +122,36 @@ def test_approximate_stream_close(spark, sf_dir):
     joined = exact.join(about, ["window_end", "extra_id", "type"])
     assert joined.count() == exact.count() == about.count()
     assert joined.where(F.abs(F.col("about") - F.col("online")) > 2).count() == 0
+
+
+def test_online_job(spark, sf_dir, tmp_path):
+    """All four feeds of the online job run on the same streams."""
+    g, out = Given(spark, sf_dir), str(tmp_path / "out")
+    queries = jobs.start_online_counts(
+        g.events_of(stream=True), fixtures.room_comment_stream(spark, sf_dir),
+        lambda: g.heartbeat, out, str(tmp_path / "checkpoint"))
+    for q in queries:
+        q.processAllAvailable()
+        q.stop()
+    assert spark.read.parquet(f"{out}/comments").count() > 0
+    assert spark.read.parquet(f"{out}/dwell").count() > 0
+    beats = spark.read.parquet(f"{out}/heartbeats")
+    assert beats.columns == ["extra_id", "type", "uid", "c_time"]
+
+
+def test_refresh_job_twice(spark, sf_dir, tmp_path):
+    """A repeated batch leaves the same versions; a later one builds on them."""
+    from roomtide.streaming.refresh import Tables
+    g, store = Given(spark, sf_dir), str(tmp_path / "store")
+    sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 7)
+    sinks.write_version(g.known, f"{store}/first_seen", 7)
+    tables = Tables(lambda: g.session, lambda: g.heartbeat, lambda: g.comment, lambda: g.income)
+    run = jobs.refresh_target(spark, tables, store, g.now, base=7)
+    seen = []
+    for number in (0, 0, 1):
+        run(None, number)
+        seen.append([rows(sinks.read_version(spark, f"{store}/{name}", 8 + number))
+                     for name in ("metrics", "live_info", "planners", "first_seen")])
+    assert seen[0] == seen[1]
+    # Nothing changed in between, so the next refresh finds the same figures.
+    assert seen[2] == seen[0]
