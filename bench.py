@@ -25,7 +25,7 @@ HEADLINE = (
     "room_points_devices", "online_now", "online_with_average", "peak_online_running",
     "dwell_gap_batch", "watch_sessions", "slot_event_all", "slot_banner", "pv_uv_planner",
     "heartbeat_flatten", "heartbeat_repair", "minute_coverage", "online_now_stream",
-    "dwell_state",
+    "dwell_stretches_stream", "dwell_state",
 )
 
 

@@ -159,7 +159,8 @@ def session_metrics(session: DataFrame, heartbeat: DataFrame, comment: DataFrame
         viewers = vw.viewer_table(heartbeat, spans, reach=reach, **join)
     views = view_metrics(viewers, known)
     counted = comment_metrics(comment, spans, viewer_only=viewer_only, reach=reach, **join)
-    earned = gift_income(income, session, **join)
+    # Income is counted by the schedule, which is what was measured unless `now` is given.
+    earned = gift_income(income, session, reach=reach if now is None else None, **join)
     out = (
         vw.windows(session, now, "circle_id", "uid", "title", "start_time", "end_time",
                    "live_status")
