@@ -10,13 +10,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substrings
+from . import jaccard, neighbours, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op9_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed",
@@ -24,10 +33,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op9_block_neighbours": op9_block_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+        FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+  least(w.doc_id, coalesce((SELECT min(b) FROM r WHERE r.a = w.doc_id), w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id)""",
+    "op9_block_neighbours": """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+  AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
     "op10_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
@@ -38,10 +81,10 @@ s AS (
 twice AS (SELECT seq FROM s GROUP BY seq HAVING count(*) > 1),
 gone AS (
   SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM s SEMI JOIN twice USING (seq)),
-hit AS (SELECT doc_id, list(i) AS at, count(*) AS n FROM gone GROUP BY doc_id)
+hit AS (SELECT doc_id, list(i) AS places, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
   sha256(array_to_string(CASE WHEN n IS NULL THEN words ELSE
-    list_select(words, list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(at, j)))
+    list_select(words, list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(places, j)))
     END, ' ')) AS kept_sha256
 FROM w LEFT JOIN hit USING (doc_id)""",
 }
