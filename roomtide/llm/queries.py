@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, neighbours, substrings
+from . import chat, jaccard, language, neighbours, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language.train(docs.where(~held_out))
+    return language.predict(docs, model, held_out)
+
+
 def op9_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors)
@@ -45,6 +52,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": op3_chat_format,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op8_language_id": op8_language_id,
     "op9_block_neighbours": op9_block_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
 }

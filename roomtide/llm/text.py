@@ -82,8 +82,11 @@ class Block:
     null: np.ndarray
 
 
-def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The texts of a batch, in blocks; a null text is empty and marked null."""
+def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES,
+           most: int = 1 << 20) -> Iterator[Block]:
+    """The texts of a batch, in blocks of about `size` bytes and up to `most` texts.
+
+    A null text is empty and marked null."""
     texts = batch.column(column)
     null = np.asarray(pc.is_null(texts).to_numpy(zero_copy_only=False))
     texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -98,7 +101,7 @@ def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Itera
     first = 0
     while first < n:
         last = int(np.searchsorted(limits, limits[first] + size, side="right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), first + most, n)
         yield Block(first, last - first, raw[limits[first]:limits[last]],
                     limits[first:last + 1] - limits[first], null[first:last])
         first = last
@@ -170,5 +173,24 @@ def characters(block: Block) -> Characters:
     return Characters(points, begins[block.limits])
 
 
-def arrow_type(batch: pa.RecordBatch, column: str) -> pa.DataType:
-    return batch.schema.field(column).type
+
+_kinds: dict[str, np.ndarray] = {}
+
+
+def letters(points: np.ndarray) -> np.ndarray:
+    """Lower-case code points of letters, 0 for everything else."""
+    if "lower" not in _kinds:
+        table = np.zeros(1 << 16, dtype=np.uint32)
+        for p in range(1 << 16):
+            c = chr(p)
+            if c.isalpha():
+                low = c.lower()
+                table[p] = ord(low) if len(low) == 1 else p
+        _kinds["lower"] = table
+    low = _kinds["lower"][points & np.uint32(0xFFFF)]
+    far = points > 0xFFFF
+    if far.any():
+        low = low.copy()
+        own, at = np.unique(points[far], return_inverse=True)
+        low[far] = np.array([p if chr(p).isalpha() else 0 for p in own], dtype=np.uint32)[at]
+    return low
