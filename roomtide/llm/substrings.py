@@ -116,16 +116,19 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """row_key and spans: word ranges [start, end) covered by windows that start twice."""
     keyed = _keyed(docs, key, text).select("row_key", "text")
-    repeated = (keyed.mapInArrow(_find_runs(window, anchor, False), "anchor long, n long")
-                .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
+    # Written, so that the join reads both sides from an exchange: only then can Spark
+    # split the occurrences of a frequent anchor.
+    repeated = materialise(
+        keyed.mapInArrow(_find_runs(window, anchor, False), "anchor long, n long")
+        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "repeated")
     # Written once: three later steps read it, and a lost executor need not repeat the scan.
     runs = materialise(keyed.mapInArrow(_find_runs(window, anchor, True), _RUN)
                        .join(repeated, "anchor", "left_semi"), "runs")
     # The extension of an occurrence is known by its anchor, the place of it and the code.
     same = ["anchor", "lead", "extent"]
-    classes = runs.groupBy(same).agg(
+    classes = materialise(runs.groupBy(same).agg(
         F.count("*").alias("n"), F.first("windows").alias("windows"),
-        F.min(F.struct("row_key", "first")).alias("one"))
+        F.min(F.struct("row_key", "first")).alias("one")), "classes")
     shared = runs.select(*same, "row_key", "first", F.size("windows").alias("size")).join(
         classes.where("n > 1").select(*same), same, "left_semi")
     whole = shared.select("row_key", F.col("first").alias("start"),
