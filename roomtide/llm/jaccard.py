@@ -42,7 +42,7 @@ TILE = 512
 # Fragments of the global order that overlaps are counted in.
 CUTS = 8
 _BITS = 1024
-_BLOCK = 8 << 20
+_BLOCK = 2 << 20
 
 
 def least_overlap(n, percent: int = PERCENT):
