@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, neighbours, pii, quality, substrings
+from . import (chat, decontaminate, jaccard, language, licenses, mixing, neighbours, pii, quality,
+               substrings)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +50,35 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rewrote")
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs.select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "epoch", "block_order",
+                        mixing.tokens(F.col("text")).alias("n_tokens"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", F.size("hits").cast("long").alias("n_hits"), F.array_join(
+        F.transform("hits", lambda h: F.concat_ws(":", *(
+            h[c].cast("string") for c in ("item_id", "start", "end", "edits")))), ",").alias("hits"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])),
+                   F.lit(0.0)).alias("coverage"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws(":", *(
+            m[c].cast("string") for c in ("license", "start", "end")))), ",").alias("matches"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -75,7 +101,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_tagger": op2_pii_tagger,
     "op3_chat_format": op3_chat_format,
+    "op4_source_mixing": op4_source_mixing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
     "op9_block_neighbours": op9_block_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
@@ -97,6 +126,71 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars,
   CAST(-1 AS BIGINT) AS rewrote
 FROM c GROUP BY conv_id""",
+    "op4_source_mixing": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(source, '') AS s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+    CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS code
+  FROM documents),
+stats AS (SELECT s, sum(n_tokens) AS t FROM d GROUP BY s HAVING sum(n_tokens) > 0),
+c AS (
+  SELECT list(t / total ORDER BY s) AS p, list(CAST(t AS DOUBLE) ORDER BY s) AS t,
+    any_value(total) AS total, count(*) AS n
+  FROM (SELECT s, t, sum(t) OVER () AS total FROM stats)),
+e(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, mid, ln(z) - mid * list_sum(list_transform(p, lambda x: pow(x, mid) * ln(x))) / z
+          >= 0.995 * ln(n) AS ok
+        FROM (SELECT e.*, (lo + hi) / 2 AS mid, p, n,
+                list_sum(list_transform(p, lambda x: pow(x, (lo + hi) / 2))) AS z FROM e, c)
+        WHERE i < 60)),
+r(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END
+  FROM (SELECT i, lo, hi, mid, list_max(list_transform(p, lambda x: pow(x, mid) / (x * total)))
+          * total / list_sum(list_transform(p, lambda x: pow(x, mid))) <= 4 AS ok
+        FROM (SELECT r.*, (lo + hi) / 2 AS mid, p, total FROM r, c) WHERE i < 60)),
+x AS (
+  SELECT greatest(
+    CASE WHEN n = 1 OR -list_sum(list_transform(p, lambda x: x * ln(x))) >= 0.995 * ln(n) THEN 1
+      ELSE (SELECT lo FROM e WHERE i = 60) END,
+    CASE WHEN list_max(list_transform(t, lambda x: 1 / x)) * total / n <= 4 THEN 0
+      ELSE (SELECT hi FROM r WHERE i = 60) END) AS a, p, total FROM c),
+w AS (
+  SELECT s, t, total, floor(round(pow(t / total, a)
+    / list_sum(list_transform(p, lambda v: pow(v, a))), 9) * total) AS budget FROM stats, x),
+plan AS (
+  SELECT s, CAST(floor(budget / t) AS INTEGER) AS epochs, budget - floor(budget / t) * t AS rest FROM w),
+b AS (
+  SELECT s, epochs, rest, code % 4096 AS block, sum(n_tokens) AS size,
+    substr(md5('42:' || s || ':' || epochs || ':' || (code % 4096)), 1, 16) AS place
+  FROM d JOIN plan USING (s) GROUP BY ALL),
+o AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY s ORDER BY place, block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b),
+cut AS (
+  SELECT s, epochs, place AS cut, block AS at_block, rest - before AS room FROM o
+  WHERE before + size > rest
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY place, block) = 1),
+m AS (
+  SELECT d.*, code % 4096 AS block, epochs, cut, at_block, room,
+    substr(md5('42:' || s || ':' || epochs || ':' || (code % 4096)), 1, 16) AS place
+  FROM d JOIN cut USING (s)),
+whole AS (
+  SELECT doc_id, source, s, block, n_tokens,
+    unnest(range(0, CASE WHEN place < cut THEN epochs + 1 ELSE epochs END)) AS epoch FROM m),
+part AS (
+  SELECT doc_id, source, epochs AS epoch, place AS block_order, n_tokens, room,
+    sum(n_tokens) OVER (PARTITION BY s ORDER BY code, CAST(doc_id AS VARCHAR), n_tokens
+      ROWS UNBOUNDED PRECEDING) AS so_far
+  FROM m WHERE block = at_block)
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch,
+  substr(md5('42:' || s || ':' || epoch || ':' || block), 1, 16) AS block_order, n_tokens FROM whole
+UNION ALL
+SELECT doc_id, source, epoch, block_order, n_tokens FROM part WHERE so_far <= room""",
     "op5_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(

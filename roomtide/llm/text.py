@@ -120,13 +120,14 @@ class Words:
         return np.repeat(np.arange(len(self.limits) - 1), np.diff(self.limits))
 
 
-def words(block: Block, fold: bool = False) -> Words:
-    """Words are runs of bytes other than SEPARATORS, so a text never splits a character."""
+def words(block: Block, fold: bool = False, apart: np.ndarray = IS_SEPARATOR) -> Words:
+    """Words are runs of bytes that `apart` does not name; it names ASCII bytes only, so a
+    word never splits a character."""
     data, limits = block.data, block.limits
     if data.size == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(0, U64), np.zeros(len(limits), np.int64))
-    inside = ~IS_SEPARATOR[data]
+    inside = ~apart[data]
     # The first byte of a text starts a word whatever stands before it.
     edge = np.zeros(data.size + 1, dtype=bool)
     edge[limits] = True
