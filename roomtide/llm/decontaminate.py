@@ -180,12 +180,11 @@ def hits(items: Items, points: np.ndarray, limits: np.ndarray):
     return [(t, items.ids[w], a, z, edits) for (t, w), (a, z, edits) in sorted(out.items())]
 
 
-def _search(parts: list, q: int, rate: float):
+def _search(parts: list, kept: list[str], text: str, q: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = [Items(ids, texts, q, rate) for ids, texts in parts]
         for batch in batches:
-            kept = [c for c in batch.schema.names if c != "__text"]
-            for block in tx.blocks(batch, "__text"):
+            for block in tx.blocks(batch, text):
                 chars = tx.characters(block)
                 lists = [[] for _ in range(block.n)]
                 for items in ready:
@@ -200,6 +199,11 @@ def _search(parts: list, q: int, rate: float):
     return run
 
 
+def _part(items: DataFrame) -> tuple[list, list]:
+    got = sorted((r[0] if r[0] is not None else -1, r[1]) for r in items.collect())
+    return [g[0] for g in got], [g[1] for g in got]
+
+
 _HITS = "array<struct<item_id: long, start: long, end: long, edits: long>>"
 
 
@@ -210,21 +214,21 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     items = benchmark.select(F.col(item).cast("long").alias("item_id"),
                              F.col(item_text).alias("item_text")).where("item_text is not null")
     total = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
+    name, columns = tx.text_column(keep, text)
+    rows = docs.select(*columns)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    rows = docs.select(*keep, F.col(text).alias("__text"))
     if total <= item_chars:
-        got = sorted((r[0] if r[0] is not None else -1, r[1]) for r in items.collect())
-        return rows.mapInArrow(_search([([g[0] for g in got], [g[1] for g in got])], q, rate),
+        return rows.mapInArrow(_search([_part(items)], keep, name, q, rate),
                                f"{kinds}, hits {_HITS}")
-    # Too many to send at once: each pass sends one part, chosen by the code of its id.
+    # Too many to send at once: each pass sends one part, chosen by the code of its id,
+    # and adds what it finds to the row.
     parts = -(-total // item_chars) * 2
+    carried = [*keep] if name in keep else [*keep, name]
+    all_kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     out = rows.withColumn("__hits", F.array().cast(_HITS))
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(parts)) == part)
-        got = sorted((r[0] if r[0] is not None else -1, r[1]) for r in own.collect())
-        columns = [*keep, "__hits"]
-        out = out.select(*columns, "__text").withColumn("__same", F.col("__text")).mapInArrow(
-            _search([([g[0] for g in got], [g[1] for g in got])], q, rate),
-            f"{kinds}, __hits {_HITS}, __same string, hits {_HITS}").select(
-            *keep, F.concat("__hits", "hits").alias("__hits"), F.col("__same").alias("__text"))
-    return out.select(*keep, F.col("__hits").alias("hits"))
+        out = out.mapInArrow(_search([_part(own)], [*carried, "__hits"], name, q, rate),
+                             f"{all_kinds}, __hits {_HITS}, hits {_HITS}").select(
+            *(f"`{c}`" for c in carried), F.concat("__hits", "hits").alias("__hits"))
+    return out.select(*(f"`{c}`" for c in keep), F.col("__hits").alias("hits"))

@@ -206,12 +206,11 @@ def matches(known: Templates, block: tx.Block, least: float):
     return sorted(kept, key=lambda r: (r[0], r[3], r[4], r[1]))
 
 
-def _scan(notices: dict[str, str], least: float):
+def _scan(notices: dict[str, str], kept: list[str], text: str, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Templates(notices)
         for batch in batches:
-            kept = [c for c in batch.schema.names if c != "__text"]
-            for block in tx.blocks(batch, "__text"):
+            for block in tx.blocks(batch, text):
                 lists = [[] for _ in range(block.n)]
                 for t, k, share, a, z in matches(known, block, least):
                     lists[t].append({"license": known.names[k], "coverage": share,
@@ -233,6 +232,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text",
     if sum(len(t.encode()) for t in notices.values()) > TEMPLATE_BYTES:
         raise ValueError("more templates than can be sent to every task")
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(
-        _scan(notices, coverage), f"{kinds}, matches array<struct<license: string, "
+    name, columns = tx.text_column(keep, text)
+    return docs.select(*columns).mapInArrow(
+        _scan(notices, keep, name, coverage), f"{kinds}, matches array<struct<license: string, "
                                   "coverage: double, start: long, end: long>>")

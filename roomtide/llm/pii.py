@@ -493,12 +493,11 @@ def _digest(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def _find(p, clean: bool):
+def _find(p, kept: list[str], text: str, clean: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [c for c in batch.schema.names if c != "__text"]
-            for block in tx.blocks(batch, "__text"):
-                texts = [t or "" for t in batch.column("__text").slice(
+            for block in tx.blocks(batch, text):
+                texts = [t or "" for t in batch.column(text).slice(
                     block.first, block.n).to_pylist()]
                 more = added_spans(p, tx.characters(block), texts)
                 base = [base_spans(t) for t in texts]
@@ -523,6 +522,7 @@ def find(docs: DataFrame, network: dict[str, np.ndarray], keep: list[str], text:
     kind:start:end, and `clean`, the text with all spans replaced."""
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     counts = [f"n_{k} long" for k in KINDS]
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(
-        _find(network, clean),
+    name, columns = tx.text_column(keep, text)
+    return docs.select(*columns).mapInArrow(
+        _find(network, keep, name, clean),
         ", ".join([*kinds, *counts, "base string", "spans string", "clean string"]))

@@ -206,11 +206,10 @@ def _extract(names: list[str]):
     return run
 
 
-def _columns(docs: DataFrame, text: str, metadata: tuple[str, ...]) -> list:
-    """The text and the metadata that is there, under names of their own."""
-    return [F.col(text).alias("text")] + [
-        F.col(c).cast("double").alias(f"meta{i}") if c in docs.columns
-        else F.lit(None).cast("double").alias(f"meta{i}") for i, c in enumerate(metadata)]
+def _metadata_of(docs: DataFrame, metadata: tuple[str, ...]) -> list:
+    """The metadata columns that are there, null for the others."""
+    return [F.col(f"`{c}`").cast("double") if c in docs.columns
+            else F.lit(None).cast("double") for c in metadata]
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
@@ -222,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
               .groupBy("key").agg(F.avg("label").alias("label"))
               .orderBy(F.xxhash64("key"), "key").limit(sample))
     names = [f"meta{i}" for i in range(len(metadata))]
-    rows = docs.select(F.col(key).alias("key"), *_columns(docs, text, metadata))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *(
+        c.alias(n) for n, c in zip(names, _metadata_of(docs, metadata))))
     # Bounded by `sample` rows, so it can be sent to every task.
     got = (rows.join(F.broadcast(chosen), "key").select("label", "text", *names)
            .mapInArrow(_extract(names), "label double, bucket binary, count binary, dense binary")
@@ -237,17 +237,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                np.array([float(r["label"] >= 0.5) for r in got]))
 
 
-def _score(machine: Machine, names: list[str], out: str):
+def _score(machine: Machine, names: list[str], kept: list[str], text: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [c for c in batch.schema.names if c not in names and c != "__text"]
-            for block in tx.blocks(batch, "__text", most=_TEXTS):
-                text, bucket, count, stats = features(block)
+            for block in tx.blocks(batch, text, most=_TEXTS):
+                owner, bucket, count, stats = features(block)
                 dense = np.concatenate(
                     (stats, _metadata(batch, names, block.first, block.n)), axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(block.first, block.n) for c in kept),
-                     pa.array(machine.score(text, bucket, count, dense))], names=[*kept, out])
+                     pa.array(machine.score(owner, bucket, count, dense))], names=[*kept, out])
 
     return run
 
@@ -255,8 +254,8 @@ def _score(machine: Machine, names: list[str], out: str):
 def score(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text",
           metadata: tuple[str, ...] = ("n_chars",), out: str = "score") -> DataFrame:
     """The columns `keep` of every row and its score in column `out`."""
-    names = [f"meta{i}" for i in range(len(metadata))]
-    own = _columns(docs, text, metadata)
-    rows = docs.select(*keep, own[0].alias("__text"), *own[1:])
+    names = [f"__meta{i}" for i in range(len(metadata))]
+    name, columns = tx.text_column(keep, text)
+    rows = docs.select(*columns, *(c.alias(n) for n, c in zip(names, _metadata_of(docs, metadata))))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(_score(machine, names, out), f"{kinds}, `{out}` double")
+    return rows.mapInArrow(_score(machine, names, keep, name, out), f"{kinds}, `{out}` double")

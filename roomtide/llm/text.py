@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
 # Word separators of the data contract: space and tab to carriage return.
@@ -195,3 +196,10 @@ def letters(points: np.ndarray) -> np.ndarray:
         own, at = np.unique(points[far], return_inverse=True)
         low[far] = np.array([p if chr(p).isalpha() else 0 for p in own], dtype=np.uint32)[at]
     return low
+
+
+def text_column(keep: list[str], text: str) -> tuple[str, list]:
+    """Under which name the text travels beside the columns `keep`, and what to select."""
+    if text in keep:
+        return text, [F.col(f"`{c}`") for c in keep]
+    return "__text", [*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text")]
