@@ -33,16 +33,17 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them."""
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.where(F.size("hits") == 0).select(*docs.columns)
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), docs.columns,
+                               out="__hits")
+    return found.where(F.size("__hits") == 0).select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
-    found = pii.find(docs, pii.train(docs), docs.columns)
-    new = {"text": F.col("clean")}
+    found = pii.find(docs, pii.train(docs), docs.columns, prefix="__")
+    new = {"text": F.col("__clean")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("clean").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.length("__clean").cast(docs.schema["n_chars"].dataType)
     return found.withColumns(new).select(*docs.columns)
 
 

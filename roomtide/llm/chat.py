@@ -74,22 +74,20 @@ def turn_spans(template: Template, turns: list[Turn]) -> tuple[str, list[tuple[i
     return out, spans, rewrote
 
 
+_PROBE = "\ue000"
+
+
 def content_span(template: Template, before: list[Turn], turn: Turn,
                  span: tuple[int, int], out: str, escaped: str) -> tuple[int, int]:
-    """Where the turn's own text lies in its span, found by rendering it empty as well.
+    """Where the turn's own text lies in its span, found by rendering a probe in its place.
 
-    What both outputs begin and end with belongs to the template; a text that
-    begins like the template's ending is told by its length.
+    What stands before and after the probe belongs to the template.
     """
-    bare = template([*before, (turn[0], "")])
-    tail = len(bare) - span[0]
-    piece = out[span[0]:span[1]]
-    extra = len(piece) - tail
-    for head in range(tail + 1):
-        if (piece[head:head + extra] == escaped
-                and piece[:head] + piece[head + extra:] == bare[span[0]:]):
-            return span[0] + head, span[0] + head + extra
-    raise ValueError("the template changes the text in a way that escaping does not explain")
+    probed = template([*before, (turn[0], _PROBE)])[span[0]:]
+    head, _, tail = probed.rpartition(_PROBE)
+    if out[span[0]:span[1]] != head + escaped + tail:
+        raise ValueError("the template changes the text in a way that escaping does not explain")
+    return span[0] + len(head), span[1] - len(tail)
 
 
 class _Conversation:

@@ -180,7 +180,7 @@ def hits(items: Items, points: np.ndarray, limits: np.ndarray):
     return [(t, items.ids[w], a, z, edits) for (t, w), (a, z, edits) in sorted(out.items())]
 
 
-def _search(parts: list, kept: list[str], text: str, q: int, rate: float):
+def _search(parts: list, kept: list[str], text: str, out: str, q: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = [Items(ids, texts, q, rate) for ids, texts in parts]
         for batch in batches:
@@ -194,7 +194,7 @@ def _search(parts: list, kept: list[str], text: str, q: int, rate: float):
                     [*(batch.column(c).slice(block.first, block.n) for c in kept),
                      pa.array(lists, pa.list_(pa.struct([
                          ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                         ("edits", pa.int64())])))], names=[*kept, "hits"])
+                         ("edits", pa.int64())])))], names=[*kept, out])
 
     return run
 
@@ -209,8 +209,10 @@ _HITS = "array<struct<item_id: long, start: long, end: long, edits: long>>"
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", *,
          item: str = "item_id", item_text: str = "text", q: int = Q, rate: float = EDITS,
-         item_chars: int = ITEM_CHARS) -> DataFrame:
-    """The columns `keep` of every row and `hits`: its items with span and edits."""
+         item_chars: int = ITEM_CHARS, out: str = "hits") -> DataFrame:
+    """The columns `keep` of every row and, in column `out`, its items with span and edits."""
+    if out in keep:
+        raise ValueError(f"the rows already have a column {out}")
     items = benchmark.select(F.col(item).cast("long").alias("item_id"),
                              F.col(item_text).alias("item_text")).where("item_text is not null")
     total = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
@@ -218,17 +220,18 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     rows = docs.select(*columns)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     if total <= item_chars:
-        return rows.mapInArrow(_search([_part(items)], keep, name, q, rate),
-                               f"{kinds}, hits {_HITS}")
+        return rows.mapInArrow(_search([_part(items)], keep, name, out, q, rate),
+                               f"{kinds}, `{out}` {_HITS}")
     # Too many to send at once: each pass sends one part, chosen by the code of its id,
     # and adds what it finds to the row.
     parts = -(-total // item_chars) * 2
     carried = [*keep] if name in keep else [*keep, name]
     all_kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    out = rows.withColumn("__hits", F.array().cast(_HITS))
+    so_far = rows.withColumn("__so_far", F.array().cast(_HITS))
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(parts)) == part)
-        out = out.mapInArrow(_search([_part(own)], [*carried, "__hits"], name, q, rate),
-                             f"{all_kinds}, __hits {_HITS}, hits {_HITS}").select(
-            *(f"`{c}`" for c in carried), F.concat("__hits", "hits").alias("__hits"))
-    return out.select(*(f"`{c}`" for c in keep), F.col("__hits").alias("hits"))
+        so_far = so_far.mapInArrow(
+            _search([_part(own)], [*carried, "__so_far"], name, "__new", q, rate),
+            f"{all_kinds}, __so_far {_HITS}, __new {_HITS}").select(
+            *(f"`{c}`" for c in carried), F.concat("__so_far", "__new").alias("__so_far"))
+    return so_far.select(*(f"`{c}`" for c in keep), F.col("__so_far").alias(out))

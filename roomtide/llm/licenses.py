@@ -115,7 +115,7 @@ def _grams(words: np.ndarray, n: int | None = None) -> np.ndarray:
 
 def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int):
     """Best local alignment on the diagonals low..high: matched words, and the limits of
-    the stretch of the text. A match counts 1; a change, a gap and an extra word cost 1."""
+    the stretch of the text. A match counts 2; a change, a gap and an extra word cost 1."""
     width = high - low + 1
     diagonal = np.arange(low, high + 1)
     at = np.arange(width)
@@ -127,7 +127,7 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int):
         ok = (j >= 1) & (j <= len(text))
         same = np.zeros(width, dtype=bool)
         same[ok] = text[j[ok] - 1] == item[i - 1]
-        value = np.where(ok, score + np.where(same, 1, -1), 0)
+        value = np.where(ok, score + np.where(same, 2, -1), 0)
         count, begin = equal + same, start.copy()
         drop = score[1:] - 1 > value[:-1]
         value[:-1][drop] = score[1:][drop] - 1
@@ -206,7 +206,7 @@ def matches(known: Templates, block: tx.Block, least: float):
     return sorted(kept, key=lambda r: (r[0], r[3], r[4], r[1]))
 
 
-def _scan(notices: dict[str, str], kept: list[str], text: str, least: float):
+def _scan(notices: dict[str, str], kept: list[str], text: str, out: str, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Templates(notices)
         for batch in batches:
@@ -220,19 +220,22 @@ def _scan(notices: dict[str, str], kept: list[str], text: str, least: float):
                      pa.array(lists, pa.list_(pa.struct([
                          ("license", pa.string()), ("coverage", pa.float64()),
                          ("start", pa.int64()), ("end", pa.int64())])))],
-                    names=[*kept, "matches"])
+                    names=[*kept, out])
 
     return run
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text",
-         notices: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """The columns `keep` of every row and `matches` by place in the text."""
+         notices: dict[str, str] | None = None, coverage: float = COVERAGE,
+         out: str = "matches") -> DataFrame:
+    """The columns `keep` of every row and, in column `out`, matches by place in the text."""
+    if out in keep:
+        raise ValueError(f"the rows already have a column {out}")
     notices = NOTICES if notices is None else notices
     if sum(len(t.encode()) for t in notices.values()) > TEMPLATE_BYTES:
         raise ValueError("more templates than can be sent to every task")
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     name, columns = tx.text_column(keep, text)
     return docs.select(*columns).mapInArrow(
-        _scan(notices, keep, name, coverage), f"{kinds}, matches array<struct<license: string, "
+        _scan(notices, keep, name, out, coverage), f"{kinds}, `{out}` array<struct<license: string, "
                                   "coverage: double, start: long, end: long>>")

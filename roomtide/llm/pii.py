@@ -493,7 +493,7 @@ def _digest(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def _find(p, kept: list[str], text: str, clean: bool):
+def _find(p, kept: list[str], text: str, clean: bool, prefix: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tx.blocks(batch, text):
@@ -511,18 +511,23 @@ def _find(p, kept: list[str], text: str, clean: bool):
                     pa.array([_digest(f) for f in full], pa.string()),
                     pa.array([None if gone or not clean else redact(t, f)
                               for t, f, gone in zip(texts, full, null)], pa.string())],
-                    names=[*kept, *(f"n_{k}" for k in KINDS), "base", "spans", "clean"])
+                    names=[*kept, *(prefix + c for c in FOUND)])
 
     return run
 
 
+FOUND = (*(f"n_{k}" for k in KINDS), "base", "spans", "clean")
+
+
 def find(docs: DataFrame, network: dict[str, np.ndarray], keep: list[str], text: str = "text",
-         clean: bool = True) -> DataFrame:
+         clean: bool = True, prefix: str = "") -> DataFrame:
     """The columns `keep` with counts of base spans, `base` and `spans` as lists of
-    kind:start:end, and `clean`, the text with all spans replaced."""
+    kind:start:end, and `clean`, the text with all spans replaced; `prefix` goes before
+    the names of these."""
+    if {prefix + c for c in FOUND} & set(keep):
+        raise ValueError("the rows already have columns of these names; give a prefix")
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    counts = [f"n_{k} long" for k in KINDS]
+    kinds += [f"`{prefix}{c}` {'long' if c.startswith('n_') else 'string'}" for c in FOUND]
     name, columns = tx.text_column(keep, text)
-    return docs.select(*columns).mapInArrow(
-        _find(network, keep, name, clean),
-        ", ".join([*kinds, *counts, "base string", "spans string", "clean string"]))
+    return docs.select(*columns).mapInArrow(_find(network, keep, name, clean, prefix),
+                                            ", ".join(kinds))
