@@ -52,6 +52,14 @@ PLANNER_PAGE_ACTION = "app/newInfoCircle"
 DYNAMIC_DETAIL_ACTION = "api/fortuneCircleDynamicDetail"
 VIEW_DETAIL_ACTION = "api/getViewDetail"
 
+# All API actions that are read.
+API_ACTIONS = (
+    "app/index", "app/clientGuide", "app/startUpAds", "app/newInfoCircle",
+    "app/tuyereHotList", "app/homePage", "api/indexPlateInfo",
+    "app/compositeVideo", "app/realTimeCount", "api/fortuneCircleDynamicDetail",
+    "api/getViewDetail",
+)
+
 HEARTBEAT_COLUMNS = (
     "c_time", "device_id", "ext", "extra_id", "fr", "ip", "is_online", "logtime",
     "p_uid", "record_type", "refer", "source", "type", "u_type", "uid", "second",

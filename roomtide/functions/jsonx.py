@@ -3,7 +3,7 @@
 An object becomes a map<string,string>; nested values stay JSON text. Text that
 is not an object (malformed, an array, NULL) becomes the empty map, so every
 lookup on it yields the default. A JSON null member reads as the text "null",
-which is how it differs from a missing member.
+which is how it differs from a missing member. Of a member given twice the last one counts.
 """
 
 from __future__ import annotations
@@ -12,9 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _last_of_each(parsed: Column) -> Column:
+    """The map with the last entry of each key; maps without repeats pass untouched."""
+    entries = F.map_entries(parsed)
+    last = F.filter(entries, lambda e, i: ~F.exists(
+        F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    single = F.size(F.array_distinct(F.map_keys(parsed))) == F.size(parsed)
+    return F.when(single, parsed).otherwise(F.map_from_entries(last))
+
+
 def json_map(text: Column) -> Column:
     return F.coalesce(
-        F.from_json(text, "map<string,string>"),
+        _last_of_each(F.from_json(text, "map<string,string>")),
         F.create_map().cast("map<string,string>"),
     )
 

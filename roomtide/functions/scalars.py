@@ -51,7 +51,13 @@ def cut_to_second(text: Column) -> Column:
     return F.substring(text, 1, 19)
 
 
+def iso_text(ts: Column) -> Column:
+    """ISO text of an instant with the offset that the session's zone has then."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
+
+
 def local_to_iso(text: Column, offset: str = "+08:00") -> Column:
+    """Wall-clock text of a place whose offset is known, marked with that offset."""
     return F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit(offset))
 
 

@@ -22,6 +22,13 @@ def heartbeat_flatten(records: DataFrame, text: str = "body") -> DataFrame:
     return flatten(records, text, fixed.HEARTBEAT_COLUMNS)
 
 
+def heartbeat_defaults(heartbeat: DataFrame) -> DataFrame:
+    """The 16 heartbeat columns, "" where a text is missing."""
+    return heartbeat.select(*[
+        F.col(c) if c == "logtime" else F.coalesce(F.col(c), F.lit("")).alias(c)
+        for c in fixed.HEARTBEAT_COLUMNS])
+
+
 def session_snapshot_flatten(snapshot: DataFrame) -> DataFrame:
     """29 string columns of a (live_id, value) snapshot."""
     return flatten(snapshot.select("value"), "value", fixed.SESSION_SNAPSHOT)
@@ -82,28 +89,34 @@ def insert_new(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return new.join(stored.select(key), key, "left_anti").select(*new.columns)
 
 
-def heartbeat_repair(api_log: DataFrame, start, end) -> DataFrame:
-    """Heartbeats rebuilt from the API logs of the heartbeat call, marked is_insert."""
+def repaired_heartbeats(api_log: DataFrame, start, end) -> DataFrame:
+    """Heartbeats rebuilt from the API logs of the heartbeat call of [start, end]: the
+    columns of the heartbeat table, and is_insert."""
     logs = scans.api_logs(api_log, start, end, (fixed.HEARTBEAT_ACTION,), closed=True,
                           columns=("log_time", "deviceId", "params", "uid", "client_ip"))
     logs = (logs.withColumn("_p", json_map(F.coalesce("params", F.lit("{}"))))
             .withColumn("_get", json_map(field(F.col("_p"), "get")))
-            .withColumn("_header", json_map(field(F.col("_p"), "header")))
-            .withColumn("c_time", scalars.second_text(F.col("log_time"))))
+            .withColumn("_header", json_map(field(F.col("_p"), "header"))))
 
     def get(key: str) -> Column:
         return field(F.col("_get"), key)
 
-    ext = F.concat(F.lit('{"is_small_window":"'), get("is_small_window"), F.lit('"}'))
-    members = ("type", "extra_id", "is_online", "fr", "p_uid", "source")
-    return logs.select(
-        *[get(m).alias(m) for m in members], F.coalesce("uid", F.lit("")).alias("uid"),
-        F.lit(fixed.VIEWER).alias("u_type"),
-        field(F.col("_header"), "referer").alias("refer"),
-        F.coalesce("deviceId", F.lit("")).alias("device_id"), "c_time",
-        F.coalesce("client_ip", F.lit("")).alias("ip"),
-        scalars.local_to_iso(F.col("c_time")).alias("logtime"), ext.alias("ext"),
-        F.lit("1").alias("is_insert"))
+    made = {
+        "c_time": scalars.second_text(F.col("log_time")), "logtime": F.col("log_time"),
+        "device_id": F.coalesce("deviceId", F.lit("")), "uid": F.coalesce("uid", F.lit("")),
+        "ip": F.coalesce("client_ip", F.lit("")), "refer": field(F.col("_header"), "referer"),
+        "u_type": F.lit(str(fixed.VIEWER)), "record_type": F.lit(""), "second": F.lit(""),
+        "ext": F.concat(F.lit('{"is_small_window":"'), get("is_small_window"), F.lit('"}')),
+        **{m: get(m) for m in ("type", "extra_id", "is_online", "fr", "p_uid", "source")}}
+    return logs.select(*[made[c].alias(c) for c in fixed.HEARTBEAT_COLUMNS],
+                       F.lit("1").alias("is_insert"))
+
+
+def heartbeat_repair(api_log: DataFrame, start, end) -> DataFrame:
+    """The rebuilt heartbeats as the store takes them: the instant as ISO text."""
+    rows = repaired_heartbeats(api_log, start, end)
+    return rows.withColumn("u_type", F.col("u_type").cast("int")) \
+        .withColumn("logtime", scalars.iso_text(F.col("logtime"))).drop("record_type", "second")
 
 
 def route_by_event_date(rows: DataFrame, ts: str = "c_time") -> DataFrame:

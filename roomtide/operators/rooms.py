@@ -58,14 +58,20 @@ def online_now(heartbeat: DataFrame, window: int = fixed.ONLINE_WINDOW,
     """
     if window % slide:
         raise ValueError("the window must be a multiple of the slide")
-    reach = window // slide
+    reach, per_day = window // slide, 86400 // slide
     viewer = ["extra_id", "type", "viewer"]
     tick = F.floor(F.unix_micros("logtime") / (slide * 1000000))
+    day = F.floor(F.col("tick") / per_day)
     ticks = presence(heartbeat).select(*viewer, tick.alias("tick")).distinct()
-    following = F.lead("tick").over(Window.partitionBy(*viewer).orderBy("tick"))
+    # A window holds one viewer's day. The first ticks of a day also stand, as no tick of
+    # their own, in the day before, whose last ticks need them.
+    early = F.col("tick") - day * per_day < reach
+    ticks = ticks.withColumn("day", F.explode(
+        F.when(early, F.array(day, day - 1)).otherwise(F.array(day))))
+    following = F.lead("tick").over(Window.partitionBy(*viewer, "day").orderBy("tick"))
     until = F.least(F.col("tick") + reach, F.coalesce(following, F.col("tick") + reach))
     return (
-        ticks.withColumn("until", until)
+        ticks.withColumn("until", until).where(F.col("day") == day)
         .select("extra_id", "type", F.explode(F.sequence(F.col("tick") + 1, "until")).alias("end"))
         .groupBy("end", "extra_id", "type").agg(F.count("*").alias("online"))
         .select(F.timestamp_seconds(F.col("end") * slide).alias("window_end"),
@@ -83,12 +89,20 @@ def online_with_average(online: DataFrame, average: DataFrame) -> DataFrame:
 def peak_online_running(online: DataFrame) -> DataFrame:
     """Highest online figure so far per room and type.
 
-    The rows are ticks of the clock, so a room brings the window one row per
-    slide however busy it is.
+    In two levels: the highest of each day, running over the days, and the running
+    highest within a day. So a task sees a room's days or a day's ticks, never all ticks.
     """
-    so_far = Window.partitionBy("extra_id", "type").orderBy("window_end") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return online.withColumn("peak", F.max("online").over(so_far))
+    room = ["extra_id", "type"]
+    dated = online.withColumn("_day", F.floor(F.unix_seconds("window_end") / 86400))
+    before = Window.partitionBy(*room).orderBy("_day").rowsBetween(
+        Window.unboundedPreceding, -1)
+    days = (dated.groupBy(*room, "_day").agg(F.max("online").alias("_top"))
+            .select(*room, "_day", F.max("_top").over(before).alias("_before")))
+    today = Window.partitionBy(*room, "_day").orderBy("window_end").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (dated.withColumn("_peak", F.max("online").over(today))
+            .join(days, [*room, "_day"])
+            .select(*online.columns, F.greatest("_peak", "_before").alias("peak")))
 
 
 def _gap_seconds(gap: Column) -> Column:
@@ -163,16 +177,6 @@ def watch_sessions(heartbeat: DataFrame, gap: int = fixed.SILENCE) -> DataFrame:
     )
 
 
-def late_drops(arrivals: DataFrame, poll: int = 10, grace: int = 5) -> DataFrame:
-    """What a cursor poll loses: per room, rows that reach the store after the
-    poll of their interval, which runs `grace` seconds after the interval ends."""
-    tick = F.floor(F.unix_micros("logtime") / (poll * 1000000)) + 1
-    late = F.unix_micros("arrived") > (tick * poll + grace) * 1000000
-    return arrivals.groupBy("extra_id").agg(
-        F.count("*").alias("received"), F.count_if(~late).alias("kept"),
-        F.count_if(late).alias("lost"))
-
-
 def slice_coverage(df: DataFrame, ts: str, seconds: int = 60) -> DataFrame:
     """Rows per slice of each day, empty slices included: [from, to) of the day."""
     per_day = 86400 // seconds

@@ -188,21 +188,24 @@ def session_metrics(session: DataFrame, heartbeat: DataFrame, comment: DataFrame
     )
 
 
-def still_open(session: DataFrame, previous: DataFrame) -> DataFrame:
-    """Sessions not yet stored as ended; the others are final and are skipped."""
+def still_open(session: DataFrame, previous: DataFrame | None, now: Column) -> DataFrame:
+    """Sessions that end today or later and are not yet stored as ended; those are final."""
+    polled = scans.open_sessions(session, F.date_trunc("day", now))
+    if previous is None:
+        return polled
     final = previous.where(F.col("live_status") == fixed.ENDED).select(
         F.col("live_id").alias("id"))
-    return session.join(final, "id", "left_anti")
+    return polled.join(final, "id", "left_anti")
 
 
 def refresh(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
-            income: DataFrame, previous: DataFrame, now: Column, **options) -> DataFrame:
+            income: DataFrame, previous: DataFrame | None, now: Column, **options) -> DataFrame:
     """One refresh: drop finished sessions before any heavy join, recompute the rest.
 
     The finished sessions' viewers still count as seen: pass their first-seen
     table as `known`.
     """
-    return session_metrics(still_open(session, previous), heartbeat, comment, income,
+    return session_metrics(still_open(session, previous, now), heartbeat, comment, income,
                            previous=previous, now=now, **options)
 
 

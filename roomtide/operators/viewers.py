@@ -112,7 +112,10 @@ def uids_of_sessions(viewers: DataFrame, known: DataFrame | None = None) -> Data
     uids = uids.withColumn(
         "first", F.min("first_at").over(Window.partitionBy("extra_id", "uid")))
     if known is not None:
-        earlier = known.select("extra_id", "uid", F.col("first_at").alias("known"))
+        # The table may be kept in differences; only uids of these sessions are looked at.
+        asked = uids.select("extra_id", "uid").distinct()
+        earlier = (known.join(asked, ["extra_id", "uid"], "left_semi")
+                   .groupBy("extra_id", "uid").agg(F.min("first_at").alias("known")))
         uids = uids.join(earlier, ["extra_id", "uid"], "left") \
             .withColumn("first", F.least("first", "known")).drop("known")
     in_session = (F.col("first") >= F.col("win_start")) & (F.col("first") <= F.col("win_end"))
@@ -128,7 +131,12 @@ def new_viewers(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame
 
 
 def old_viewers(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    return viewers.join(_new_uids(viewers, known), ["live_id", "uid"], "left_anti")
+    """Blank uids are old by definition, so the devices without one, which may be most of
+    a busy session, are not joined at all."""
+    named = viewers.where((F.col("uid") != "") & F.col("uid").isNotNull())
+    blank = viewers.where((F.col("uid") == "") | F.col("uid").isNull())
+    return named.join(_new_uids(viewers, known), ["live_id", "uid"], "left_anti") \
+        .select(*viewers.columns).unionByName(blank)
 
 
 def identity_set(viewers: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ..functions import args as checks
 from ..functions import fixed
 from ..operators import records, reports, rooms, sessions, slots
 from ..operators import viewers as vw
-from ..session import build_session
+from ..session import build_session, scratch
 from ..sources import readers, scans, sinks
 from ..streaming import dwell, feeds, online, refresh
 
@@ -31,22 +31,27 @@ def extract_slots(api_log: DataFrame, start: str, end: str, out: str, **options)
     days = api_log.where((F.col("log_time") >= F.lit(start).cast("timestamp"))
                          & (F.col("log_time") < F.lit(_day_after(end)).cast("timestamp")))
     events = slots.slot_events(days, **options)
-    sinks.write_days(records.route_by_event_date(events, "log_time"), out)
+    sinks.replace_days(records.route_by_event_date(events, "log_time"), out, start, end)
 
 
 def extract_heartbeats(heartbeat: DataFrame, start: str, end: str, out: str) -> None:
-    """Heartbeats of the days start..end into their day partitions."""
-    rows = scans.heartbeats(heartbeat, start, _day_after(end))
-    sinks.write_days(records.route_by_event_date(rows, "logtime"), out)
+    """Heartbeats of the days start..end into their day partitions, "" where a text is missing."""
+    rows = records.heartbeat_defaults(scans.heartbeats(heartbeat, start, _day_after(end)))
+    sinks.replace_days(records.route_by_event_date(rows, "logtime"), out, start, end)
 
 
 def extract_session_heartbeats(heartbeat: DataFrame, session: DataFrame, start: str,
                                end: str, out: str) -> None:
-    """Heartbeats of ended sessions around the days start..end, by their own date."""
-    first = (date.fromisoformat(start) - timedelta(days=1)).isoformat()
-    around = session.where(F.col("start_time").between(
-        F.lit(first).cast("timestamp"), F.lit(_day_after(end)).cast("timestamp")))
-    sinks.write_days(records.route_by_event_date(vw.session_heartbeats(heartbeat, around)), out)
+    """Heartbeats of ended sessions on the days start..end, whatever day a session began.
+
+    Only these days are written, and whole: a session over midnight is read for both of
+    its days.
+    """
+    first, after = (F.lit(d).cast("timestamp") for d in (start, _day_after(end)))
+    overlapping = session.where((F.col("start_time") < after) & (F.col("end_time") >= first))
+    rows = vw.session_heartbeats(heartbeat.where((F.col("logtime") >= first)
+                                                 & (F.col("logtime") < after)), overlapping)
+    sinks.replace_days(records.route_by_event_date(rows), out, start, end)
 
 
 def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
@@ -60,32 +65,41 @@ def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFram
     """
     spark = session.sparkSession
     wanted = scans.sessions(session, start, end)
-    viewers = vw.viewer_table(heartbeat, vw.windows(wanted))
-    metrics = sessions.session_metrics(wanted, heartbeat, comment, income, previous=previous,
-                                       known=known, viewers=viewers, **options)
-    kept = metrics if previous is None else records.upsert(
-        previous.select(*fixed.SESSION_METRICS), metrics, "live_id")
-    sinks.write_version(kept, f"{store}/metrics", version)
-    stored = sinks.read_version(spark, f"{store}/metrics", version)
-
-    fresh = stored.join(wanted.select(F.col("id").alias("live_id")), "live_id", "left_semi")
-    keep_totals(session, fresh, stored, now, store, version, first=version == 1)
-    seen = vw.first_seen(viewers)
-    sinks.write_version(seen if known is None else vw.merge_first_seen(known, seen),
-                        f"{store}/first_seen", version)
-    sinks.write_version(vw.with_expiry(vw.identity_set(viewers), now),
-                        f"{store}/viewers", version)
+    with scratch(spark):
+        viewers = vw.viewer_table(heartbeat, vw.windows(wanted))
+        metrics = sessions.session_metrics(wanted, heartbeat, comment, income, previous=previous,
+                                           known=known, viewers=viewers, **options)
+        kept = metrics if previous is None else records.upsert(
+            previous.select(*fixed.SESSION_METRICS), metrics, "live_id")
+        sinks.write_version(kept, f"{store}/metrics", version)
+        stored = sinks.read_version(spark, f"{store}/metrics", version)
+        fresh = stored.join(wanted.select(F.col("id").alias("live_id")), "live_id", "left_semi")
+        keep_totals(session, fresh, stored, now, store, version, viewers)
+        refresh.keep_seen(known, vw.first_seen(viewers), f"{store}/first_seen", version)
 
 
 def keep_totals(session: DataFrame, fresh: DataFrame, stored: DataFrame, now: Column,
-                store: str, version: int, first: bool) -> None:
-    """The keyed table with the fresh records put over it, and the totals per host."""
-    info = records.live_info(fresh, now)
-    if not first:
-        before = sinks.read_version(session.sparkSession, f"{store}/live_info", version - 1)
-        info = records.upsert(before, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
+                store: str, version: int, viewers: DataFrame) -> None:
+    """The keyed table with the fresh records put over it, the totals per host, and the
+    identity sets: those of the sessions computed now and the older ones not yet expired."""
+    spark = session.sparkSession
+
+    def before(name: str) -> DataFrame | None:
+        there = version - 1 in sinks.versions(spark, f"{store}/{name}")
+        return sinks.read_version(spark, f"{store}/{name}", version - 1) if there else None
+
+    info, old = records.live_info(fresh, now), before("live_info")
+    if old is not None:
+        info = records.upsert(old, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
     sinks.write_version(info, f"{store}/live_info", version)
     sinks.write_version(sessions.planner_rollup(session, stored), f"{store}/planners", version)
+    sets, old = vw.with_expiry(vw.identity_set(viewers), now), before("viewers")
+    if old is not None:
+        rest = vw.unexpired(old, now).join(fresh.select("live_id"), "live_id", "left_anti")
+        sets = sets.unionByName(rest.select(*sets.columns))
+    sinks.write_version(sets, f"{store}/viewers", version)
+    for name in ("live_info", "planners", "viewers"):
+        sinks.drop_versions(spark, f"{store}/{name}", version - refresh.KEEP_VERSIONS + 1)
 
 
 def snapshot_to_days(metrics: DataFrame, planners: DataFrame, dt: str, out: str) -> None:
@@ -98,9 +112,17 @@ def snapshot_to_days(metrics: DataFrame, planners: DataFrame, dt: str, out: str)
 
 
 def repair_heartbeats(api_log: DataFrame, start: str, end: str, out: str) -> None:
-    """Rebuilt heartbeats of [start, end] into the day partitions of `out`."""
-    rows = records.heartbeat_repair(api_log, start, end)
-    sinks.write_days(records.route_by_event_date(rows), out)
+    """Rebuilt heartbeats of [start, end] into the day partitions of `out`, in the columns
+    of the heartbeat table.
+
+    The range may be minutes: repaired rows of other times stay, and a rerun puts its rows
+    in place of those it wrote before.
+    """
+    rows = records.route_by_event_date(records.repaired_heartbeats(api_log, start, end),
+                                       "logtime")
+    first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    again = (F.col("is_insert") == "1") & F.col("logtime").between(first, last)
+    sinks.merge_days(rows, out, start[:10], end[:10], again)
 
 
 def write_reports(api_log: DataFrame, start: str, end: str, out: str) -> None:
@@ -117,10 +139,10 @@ def write_reports(api_log: DataFrame, start: str, end: str, out: str) -> None:
 
 def refresh_target(spark: SparkSession, tables: refresh.Tables, store: str,
                    now: Callable[[], Column] = F.current_timestamp, *, base: int = 0, **options):
-    """foreachBatch target that keeps metrics, first_seen, live_info and planners."""
-    def also(fresh: DataFrame, stored: DataFrame, version: int) -> None:
-        keep_totals(tables.session(), fresh, stored, now(), store, version,
-                    first=version == base + 1)
+    """foreachBatch target that keeps metrics, first_seen, live_info, planners and viewers."""
+    def also(fresh: DataFrame, stored: DataFrame, version: int, viewers: DataFrame,
+             at: Column) -> None:
+        keep_totals(tables.session(), fresh, stored, at, store, version, viewers)
 
     return refresh.refresher(spark, tables, store, now, base=base, also=also, **options)
 
@@ -134,8 +156,8 @@ def start_session_refresh(spark: SparkSession, tables: refresh.Tables, store: st
 
 def start_online_counts(heartbeat: DataFrame, room_comment: DataFrame,
                         today: Callable[[], DataFrame], out: str, checkpoint: str):
-    """Heartbeat feed, comment feed, online figures with average dwell, and dwell
-    state, every 10 seconds. `today` reads the heartbeats of the current day."""
+    """Heartbeat feed, comment feed, online figures with average dwell, and stretches of
+    dwell, every 10 seconds. `today` reads the heartbeats of the current day."""
     every = "10 seconds"
 
     def average() -> DataFrame:
@@ -151,25 +173,49 @@ def start_online_counts(heartbeat: DataFrame, room_comment: DataFrame,
                            f"{checkpoint}/comments"),
         online.online_now(heartbeat).writeStream.outputMode("append").foreachBatch(target)
         .option("checkpointLocation", f"{checkpoint}/online"),
-        dwell.dwell_state(heartbeat).writeStream.outputMode("update")
-        .foreachBatch(feeds.batch_writer(f"{out}/dwell"))
-        .option("checkpointLocation", f"{checkpoint}/dwell"),
+        feeds.files_writer(dwell.dwell_stretches(heartbeat), f"{out}/dwell",
+                           f"{checkpoint}/dwell"),
     ]
     return [w.trigger(processingTime=every).start() for w in writers]
 
 
+BATCH = ("slots", "heartbeats", "session-heartbeats", "sessions", "repair", "reports", "snapshot")
+STREAMS = ("refresh", "online")
+
+
 def main(argv: list[str] | None = None) -> None:
+    """Batch jobs take START and END; `snapshot` takes the version before END as of that
+    day; `refresh` and `online` run until they are stopped and need --checkpoint."""
     parser = argparse.ArgumentParser(prog="roomtide")
-    parser.add_argument("job", choices=["slots", "heartbeats", "session-heartbeats",
-                                        "sessions", "repair", "reports"])
-    parser.add_argument("start")
-    parser.add_argument("end")
+    parser.add_argument("job", choices=[*BATCH, *STREAMS])
+    parser.add_argument("start", nargs="?")
+    parser.add_argument("end", nargs="?")
     parser.add_argument("--tables", required=True, help="folder of the logical tables")
     parser.add_argument("--out", required=True)
     parser.add_argument("--version", type=int, default=1)
+    parser.add_argument("--zone", default="UTC", help="time zone of days and clock texts")
+    parser.add_argument("--checkpoint", help="folder of the stream checkpoints")
+    parser.add_argument("--once", action="store_true", help="streams: only what is there now")
     given = parser.parse_args(argv)
-    start, end = checks.date_range_args([given.start, given.end])
+    if given.job in STREAMS:
+        if not given.checkpoint:
+            parser.error("--checkpoint is needed")
+    elif not (given.start and given.end):
+        parser.error("START and END are needed")
     spark = build_session(f"roomtide-{given.job}")
+    # A session that was there before keeps its settings, so the zone is set on it.
+    spark.conf.set("spark.sql.session.timeZone", given.zone)
+    if given.job in STREAMS:
+        _run_stream(spark, given)
+    else:
+        _run_batch(spark, given)
+
+
+def _run_batch(spark: SparkSession, given: argparse.Namespace) -> None:
+    if given.job == "repair":
+        start, end = (checks.date_or_time_arg(t) for t in (given.start, given.end))
+    else:
+        start, end = checks.date_range_args([given.start, given.end])
 
     def table(name: str) -> DataFrame:
         return readers.read_files(spark, name, f"{given.tables}/{name}")
@@ -181,20 +227,60 @@ def main(argv: list[str] | None = None) -> None:
     elif given.job == "session-heartbeats":
         extract_session_heartbeats(table("heartbeat"), table("session"), start, end, given.out)
     elif given.job == "repair":
-        repair_heartbeats(table("api_log"), given.start, given.end, given.out)
+        # A range of days is whole; a range with times is as it says.
+        until = given.end if len(given.end) > 10 else f"{given.end} 23:59:59.999999"
+        repair_heartbeats(table("api_log"), given.start, until, given.out)
     elif given.job == "reports":
         write_reports(table("api_log"), start, end, given.out)
+    elif given.job == "snapshot":
+        snapshot_to_days(*(sinks.read_version(spark, f"{given.tables}/{name}")
+                           for name in ("metrics", "planners")), end, given.out)
     else:
         before = given.version - 1
         previous = known = None
         if before:
             previous = sinks.read_version(spark, f"{given.out}/metrics", before)
-            known = sinks.read_version(spark, f"{given.out}/first_seen", before)
+            known = sinks.read_difference(spark, f"{given.out}/first_seen", before)
         compute_sessions(table("session"), table("heartbeat"), table("comment"),
                          table("income"), start, end, store=given.out,
                          version=given.version, previous=previous,
                          now=F.current_timestamp(), known=known)
 
 
+def _run_stream(spark: SparkSession, given: argparse.Namespace) -> None:
+    def table(name: str) -> Callable[[], DataFrame]:
+        return lambda: readers.read_files(spark, name, f"{given.tables}/{name}")
+
+    if given.job == "refresh":
+        tables = refresh.Tables(*(table(n) for n in ("session", "heartbeat", "comment", "income")))
+        if given.once:
+            base = max(sinks.versions(spark, f"{given.out}/metrics"), default=0)
+            refresh_target(spark, tables, given.out, base=base)(None, 0)
+            return
+        # What the store held when the checkpoint was new is kept beside it for restarts.
+        kept = f"{given.checkpoint}-base"
+        if not sinks.versions(spark, kept):
+            newest = max(sinks.versions(spark, f"{given.out}/metrics"), default=0)
+            sinks.write_version(spark.range(1).select(F.lit(newest).alias("base")), kept, 0)
+        base = sinks.read_version(spark, kept, 0).first()["base"]
+        queries = [start_session_refresh(spark, tables, given.out, given.checkpoint, base=base)]
+    else:
+        def stream(name: str) -> DataFrame:
+            return readers.stream_files(spark, readers.SCHEMAS[name], f"{given.tables}/{name}")
+
+        def today() -> DataFrame:
+            return table("heartbeat")().where(
+                F.col("logtime") >= F.date_trunc("day", F.current_timestamp()))
+
+        queries = start_online_counts(stream("heartbeat"), stream("room_comment"), today,
+                                      given.out, given.checkpoint)
+    for q in queries:
+        if given.once:
+            q.processAllAvailable()
+            q.stop()
+        else:
+            q.awaitTermination()
+
+
 if __name__ == "__main__":
     main()

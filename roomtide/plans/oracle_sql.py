@@ -211,14 +211,14 @@ ROLLUP = ("view_count", "view_count_robot", "max_living_count", "comment_count",
           "comment_count_robot", "comment_peoples", "comment_peoples_robot")
 
 
-def rollup(where: str = "TRUE") -> str:
+def rollup() -> str:
     sums = ", ".join(
         f"CAST({'max' if c == 'max_living_count' else 'sum'}(coalesce(m.{c}, 0)) AS BIGINT) AS {c}"
         for c in ROLLUP)
     return f"""pr AS (SELECT e.uid AS lcs_id, count(*) AS notice_num,
     CAST(sum(coalesce(date_diff('second', m.start_time, m.end_time), 0)) AS BIGINT) AS live_times,
     {sums}, round(sum(coalesce(m.gift_income, 0)), 2) AS gift_income
-  FROM el e LEFT JOIN (SELECT * FROM sm WHERE {where}) m ON e.id = m.live_id GROUP BY 1)"""
+  FROM el e LEFT JOIN sm m ON e.id = m.live_id GROUP BY 1)"""
 
 
 PLANNER = ["notice_num", "live_times", "view_count", "view_count_robot", "max_living_count",
@@ -239,7 +239,8 @@ _FINISHED = f"""UNION ALL SELECT h.extra_id, h.uid, h.logtime FROM hb h JOIN ses
 REFRESH = f"""WITH {TABLES}, {PREV},
 nw AS (SELECT date_trunc('second', max(logtime)) AS n FROM hb),
 op AS (SELECT s.*, CASE WHEN s.live_status = 1 THEN nw.n ELSE s.end_time END AS eff
-  FROM ses s, nw WHERE s.id NOT IN (SELECT live_id FROM prev WHERE live_status = 0)),
+  FROM ses s, nw WHERE s.live_status IN (0, 1) AND s.end_time > date_trunc('day', nw.n)
+    AND s.id NOT IN (SELECT live_id FROM prev WHERE live_status = 0)),
 cur AS (SELECT extra_id, count(DISTINCT type || '/' || device_id || '/' || uid) AS c FROM hb, nw
   WHERE logtime BETWEEN n - INTERVAL 60 SECOND AND n AND type IN ({VIDEO}, {TEXT}) GROUP BY 1),
 {metrics('op', 'eff', 'greatest(coalesce(cur.c, 0), coalesce(prev.max_living_count, 0))',
@@ -446,7 +447,7 @@ REPAIR = f"""SELECT CASE WHEN {_GET} THEN CASE k % 2 WHEN 0 THEN {VIDEO} ELSE {T
     CASE WHEN k % 7 = 0 THEN '' ELSE CAST(c AS VARCHAR) END AS uid, 1 AS u_type,
     CASE WHEN w = 1 THEN 'x' WHEN w IN (0, 2) THEN '' ELSE 'ref' || CAST(c % 10 AS VARCHAR) END AS refer,
     "deviceId" AS device_id, log_time AS c_time, '10.0.0.' || CAST(c % 256 AS VARCHAR) AS ip,
-    replace(log_time, ' ', 'T') || '+08:00' AS logtime,
+    replace(log_time, ' ', 'T') || '+00:00' AS logtime,
     '{{"is_small_window":"' || CASE WHEN {_GET} THEN CAST(k % 2 AS VARCHAR) ELSE '' END || '"}}' AS ext,
     '1' AS is_insert FROM api WHERE action = 'app/realTimeCount'"""
 
@@ -508,6 +509,13 @@ def upsert_value(c: str) -> str:
     return f"CASE WHEN n.live_id IS NOT NULL THEN n.{src} ELSE o.{src} END AS {c}"
 
 
+def within(table: str, at: str, closed: bool = False) -> str:
+    """Between the last rows of the 5th and of the 20th: the first is in, the last if closed."""
+    def last(day: int) -> str:
+        return f"(SELECT max({at}) FROM {table} WHERE day(CAST({at} AS TIMESTAMP)) = {day})"
+    return f"{at} >= {last(5)} AND {at} {'<=' if closed else '<'} {last(20)}"
+
+
 SECONDS_OF_DAY = "date_diff('second', date_trunc('day', ts), date_trunc('second', ts))"
 
 ORACLES = {
@@ -528,6 +536,22 @@ ORACLES = {
         substring(h.c_time, 1, 10) AS dt FROM hb h JOIN ses s
         ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
         WHERE s.live_status = 0 AND h.type = {VIDEO}""",
+    "session_heartbeats_days": f"""WITH {hb()}, {SES} SELECT s.id AS live_id, h.device_id, h.uid,
+        h.c_time, substring(h.c_time, 1, 10) AS dt FROM hb h JOIN ses s
+        ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
+        WHERE s.live_status = 0 AND h.type = {VIDEO}""",
+    "heartbeat_repair_merge": f"""WITH {API}, rp AS ({REPAIR}) SELECT c_time, device_id, ext, extra_id,
+        fr, ip, is_online, c_time AS logtime, p_uid, '' AS record_type, refer, source, type,
+        CAST(u_type AS VARCHAR) AS u_type, uid, '' AS "second", is_insert, substring(c_time, 1, 10) AS dt
+        FROM rp""",
+    "open_sessions": f"""WITH {hb()}, {SES} SELECT id, circle_id, u_type, uid, title,
+        {sec_text('start_time')} AS start_time, {sec_text('end_time')} AS end_time, live_status FROM ses
+        WHERE live_status IN (0, 1)
+          AND end_time > (SELECT date_trunc('day', max(logtime)) FROM hb)""",
+    "room_comments": f"""WITH {CONV} SELECT uid, name, relation_id, content,
+        CASE WHEN c_time = '' THEN c_time ELSE replace(c_time, ' ', 'T') || '+08:00' END AS c_time, title
+        FROM rc WHERE c_time <> '' AND CAST(c_time AS TIMESTAMP) - INTERVAL 8 HOUR
+          >= TIMESTAMP '2024-01-02' AND CAST(c_time AS TIMESTAMP) - INTERVAL 8 HOUR < TIMESTAMP '2024-01-06'""",
     "viewer_dwell": f"""WITH {hb()}, {SES}, {views()}
         SELECT live_id, extra_id, uid, device_id, dwell FROM vd""",
     "new_viewers": f"""WITH {hb()}, {SES}, {views()}
@@ -537,7 +561,7 @@ ORACLES = {
     "peak_online_estimate": f"""WITH {hb()}, {SES}, {PREV}, {views()} SELECT s.id AS live_id,
         greatest(coalesce(peak, 0), coalesce(prev.max_living_count, 0)) AS max_living_count
         FROM el s LEFT JOIN vm ON s.id = vm.live_id LEFT JOIN prev ON s.id = prev.live_id""",
-    "planner_rollup": f"""{BASE_METRICS}, {rollup("start_time < TIMESTAMP '2024-01-16'")}
+    "planner_rollup": f"""{BASE_METRICS}, {rollup()}
         SELECT * FROM pr""",
     "metrics_refresh": f"{REFRESH} SELECT {times(METRIC_COLUMNS)} FROM sm",
     "metrics_refresh_stream": f"""{REFRESH} SELECT {times(METRIC_COLUMNS)} FROM sm UNION ALL
@@ -560,20 +584,21 @@ ORACLES = {
         {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in PLANNER)} FROM pr""",
     "heartbeat_scan": f"""WITH {hb()} SELECT {', '.join(
         f'{micro_text("logtime")} AS logtime' if c == "logtime" else f'"{c}"' for c in HB_COLUMNS)}
-        FROM hb WHERE type IN ({VIDEO}, {TEXT})""",
+        FROM hb WHERE type IN ({VIDEO}, {TEXT}) AND {within('hb', 'logtime')}""",
     "api_log_scan": f"""WITH {API} SELECT log_time, "deviceId", action, data FROM api
-        WHERE action NOT IN ('{"', '".join(ACTIONS[8:])}')""",
+        WHERE action NOT IN ('{"', '".join(ACTIONS[8:])}') AND {within('api', 'log_time')}""",
     "api_log_token_scan": f"""WITH {API} SELECT log_time, "deviceId", action,
         CASE action WHEN 'app/newInfoCircle' THEN 'p_uid' WHEN 'api/getViewDetail' THEN 'v_id'
         ELSE 'dynamic_id' END AS token FROM api
         WHERE (action = 'app/newInfoCircle' AND v NOT IN (1, 3))
         OR (action IN ('api/getViewDetail', 'api/fortuneCircleDynamicDetail') AND w <> 0)""",
     "session_scan": f"""WITH {SES} SELECT id, circle_id, u_type, uid, title,
-        {sec_text('start_time')} AS start_time, {sec_text('end_time')} AS end_time, live_status FROM el""",
+        {sec_text('start_time')} AS start_time, {sec_text('end_time')} AS end_time, live_status FROM el
+        WHERE {within('ses', 'end_time')}""",
     "comment_scan": f"""WITH {COM} SELECT u_type, uid, discussion_type, is_robot, reply_id,
-        {micro_text('c_time')} AS c_time, relation_id FROM com""",
+        {micro_text('c_time')} AS c_time, relation_id FROM com WHERE {within('com', 'c_time', True)}""",
     "income_scan": f"""WITH {INC} SELECT p_uid, divide_money, status, {micro_text('c_time')} AS c_time
-        FROM inc WHERE status = 0""",
+        FROM inc WHERE status = 0 AND {within('inc', 'c_time', True)}""",
     "planner_sessions": f"WITH {SES} SELECT uid AS lcs_id, id AS live_id FROM el",
     "distinct_planners": f"WITH {SES} SELECT DISTINCT uid AS lcs_id FROM ses",
     "date_spine": """WITH d AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events)
@@ -600,7 +625,7 @@ ORACLES = {
     "full_table_overwrite": f"""WITH {SES} SELECT id, circle_id, u_type, uid, title,
         {sec_text('start_time')} AS start_time, {sec_text('end_time')} AS end_time, live_status,
         type, audit, status FROM el""",
-    "report_tsv": PLANNER_PAGES.replace(f"{PAGE_KEY} AS puid", f"nullif({PAGE_KEY}, '') AS puid"),
+    "report_tsv": PLANNER_PAGES,
     "json_flatten": f"""WITH {hb()} SELECT event_id,
         CAST(CASE WHEN {_BROKEN} THEN 0 WHEN "second" IS NULL THEN 15 ELSE 16 END AS BIGINT) AS members,
         {flat('extra_id')}, {flat('p_uid')}, {flat('second')}, {flat('ext')} FROM hb""",
@@ -611,7 +636,8 @@ ORACLES = {
         CASE WHEN is_online = '' THEN '0' ELSE is_online END AS is_online, count(*) AS n
         FROM hb GROUP BY 1, 2""",
     "time_normalise": f"""SELECT event_id, {sec_text('ts')} AS cut,
-        replace({sec_text('ts')}, ' ', 'T') || '+08:00' AS iso, {sec_text('ts')} AS "local" FROM events""",
+        replace({sec_text('ts')}, ' ', 'T') || '+00:00' AS iso,
+        {sec_text('ts + INTERVAL 8 HOUR')} AS "local" FROM events""",
     "scalar_suite": f"""SELECT event_id, contains(event_type, 'i') AS has_i,
         substring(event_type, 1, 3) AS head, replace(event_type, 'c', 'T') AS swapped,
         length(event_type) AS len, reverse(CAST(user_id AS VARCHAR)) AS salted_key,
@@ -638,7 +664,7 @@ ORACLES = {
     "room_points_devices": f"WITH {hb()}, {POINTS} SELECT * FROM pd",
     "avg_dwell_by_room": f"WITH {hb()}, {POINTS}, {AVERAGE} SELECT * FROM av",
     "top_rooms": f"""WITH {hb()} SELECT extra_id, count(*) AS points FROM hb GROUP BY 1
-        ORDER BY points DESC, extra_id LIMIT 10""",
+        ORDER BY points DESC, extra_id LIMIT 5""",
     "online_now": f"{ONLINE} SELECT {sec_text('window_end')} AS window_end, extra_id, type, online FROM on_",
     "online_with_average": f"""{WITH_AVERAGE} SELECT {sec_text('window_end')} AS window_end, extra_id,
         {CODE} AS type, online, average FROM on_ JOIN av USING (extra_id, type)""",
@@ -657,11 +683,6 @@ ORACLES = {
         SELECT extra_id, type, viewer, {sec_text('make_timestamp(min(s) * 1000000)')} AS started,
           {sec_text('make_timestamp((max(s) + 35) * 1000000)')} AS ended, CAST(sum(n) AS BIGINT) AS beats
         FROM r GROUP BY extra_id, type, viewer, run""",
-    "late_drop_audit": f"""WITH {hb(QUICK)},
-        a AS (SELECT extra_id, epoch_us(logtime) + event_id % 23 * 1000000
-          > ((epoch_us(logtime) // 10000000 + 1) * 10 + 5) * 1000000 AS late FROM hb)
-        SELECT extra_id, count(*) AS received, count(*) FILTER (WHERE NOT late) AS kept,
-          count(*) FILTER (WHERE late) AS lost FROM a GROUP BY 1""",
     "heartbeat_feed": f"{presence(1)} {HEARTBEAT_FEED}",
     "comment_feed": COMMENT_FEED,
     "pv_uv_planner": PLANNER_PAGES,

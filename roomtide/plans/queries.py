@@ -6,6 +6,7 @@ files, whole. Times leave as text, which is what the stores keep.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, partial
@@ -17,9 +18,10 @@ from ..functions import fixed, scalars
 from ..functions.jsonx import field, json_map
 from ..operators import records, reports, rooms, sessions, slots
 from ..operators import viewers as vw
-from ..session import work_path
+from ..session import materialise, work_path
 from ..sources import fixtures, scans, sinks
 from ..streaming import dwell, feeds, online, refresh
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +109,17 @@ class Given:
             else fixtures.events(self.spark, self.sf_dir)
         return fixtures.heartbeat_rows(rows, fixtures.TIME_SCALE)
 
+    @cached_property
+    def stored_metrics(self) -> DataFrame:
+        """The metrics as a table, for what reads them more than once."""
+        return materialise(self.metrics, "metrics")
+
+    def bounds(self, rows: DataFrame, at: str) -> tuple[Column, Column]:
+        """Times of two rows inside the data: the last of the 5th and of the 20th of a month."""
+        ends = [F.max(F.when(F.day(at) == d, F.unix_micros(at))) for d in (5, 20)]
+        first, last = rows.agg(*ends).first()
+        return tuple(F.timestamp_micros(F.lit(t).cast("bigint")) for t in (first, last))
+
     def path(self, name: str) -> str:
         return work_path(self.spark, name)
 
@@ -127,42 +140,39 @@ def texts(df: DataFrame) -> DataFrame:
 # --- scans ---------------------------------------------------------------
 
 def heartbeat_scan(g: Given) -> DataFrame:
-    rows = scans.heartbeats(g.heartbeat, SINCE, UNTIL, ordered=True)
+    rows = scans.heartbeats(g.heartbeat, *g.bounds(g.heartbeat, "logtime"), ordered=True)
     return rows.withColumn("logtime", scalars.micro_text(F.col("logtime")))
 
 
 def api_log_scan(g: Given) -> DataFrame:
     actions = tuple(sorted({s.action for s in slots.SLOTS.values()}))
-    return scans.api_logs(g.api_log, SINCE, UNTIL, actions)
+    return scans.api_logs(g.api_log, *g.bounds(g.api_log, "log_time"), actions)
 
 
 def api_log_token_scan(g: Given) -> DataFrame:
     searches = ((fixed.PLANNER_PAGE_ACTION, "data", "p_uid"),
                 (fixed.VIEW_DETAIL_ACTION, "params", "v_id"),
                 (fixed.DYNAMIC_DETAIL_ACTION, "params", "dynamic_id"))
-    parts = [scans.api_logs_with_token(g.api_log, SINCE, UNTIL, *search,
-                                       columns=("log_time", "deviceId", "action",
-                                                "data", "params"))
-             .select("log_time", "deviceId", "action", F.lit(search[2]).alias("token"))
-             for search in searches]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return scans.api_logs_with_token(
+        g.api_log, SINCE, UNTIL, searches, columns=("log_time", "deviceId", "action", "data", "params")
+    ).select("log_time", "deviceId", "action", "token")
 
 
 def comment_scan(g: Given) -> DataFrame:
-    rows = scans.comments(g.comment, SINCE, UNTIL)
+    rows = scans.comments(g.comment, *g.bounds(g.comment, "c_time"))
     return rows.withColumn("c_time", scalars.micro_text(F.col("c_time")))
 
 
 def income_scan(g: Given) -> DataFrame:
-    rows = scans.incomes(g.income, SINCE, UNTIL)
+    rows = scans.incomes(g.income, *g.bounds(g.income, "c_time"))
     return rows.withColumn("c_time", scalars.micro_text(F.col("c_time")))
 
 
 def snapshot_read(g: Given) -> DataFrame:
     """Both keyed stores written as JSON and read back whole."""
-    live = records.json_snapshot(g.metrics, "live_id", fixed.SESSION_METRICS)
+    live = records.json_snapshot(g.stored_metrics, "live_id", fixed.SESSION_METRICS)
     hosts = records.json_snapshot(
-        sessions.planner_rollup(g.session, g.metrics), "lcs_id", fixed.PLANNER_METRICS)
+        sessions.planner_rollup(g.session, g.stored_metrics), "lcs_id", fixed.PLANNER_METRICS)
     path = g.path("snapshot")
     stores = live.select(F.lit("live").alias("hash"), F.col("live_id").alias("key"), "value") \
         .unionAll(hosts.select(F.lit("host"), "lcs_id", "value"))
@@ -195,17 +205,40 @@ def partition_overwrite(g: Given) -> DataFrame:
 
 
 def full_table_overwrite(g: Given) -> DataFrame:
-    path = g.path("session-table")
+    """A catalog table that is written, and then overwritten whole."""
+    name = f"session_table_{uuid.uuid4().hex}"
     for rows in (g.session, g.eligible):
-        rows.write.mode("overwrite").parquet(path)
-    return g.spark.read.schema(g.session.schema).parquet(path)
+        sinks.write_table(rows, name)
+    return g.spark.table(name)
 
 
 def report_tsv(g: Given) -> DataFrame:
     path = g.path("planner-pages")
     sinks.write_tsv(reports.planner_pages(g.api_log, SINCE, UNTIL), path)
-    return (g.spark.read.schema("date string, puid string, uv bigint, pv bigint")
-            .option("sep", "\t").option("header", True).csv(path))
+    return sinks.read_tsv(g.spark, "date string, puid string, uv bigint, pv bigint", path)
+
+
+def session_heartbeats_days(g: Given) -> DataFrame:
+    """The job run for the first half of the month and then for days around the 15th."""
+    path = g.path("session-heartbeats-days")
+    days = [str(d) for d in g.heartbeat.agg(F.min(F.to_date("logtime")),
+                                            F.max(F.to_date("logtime"))).first()]
+    for start, end in ((days[0], "2024-01-15"), ("2024-01-14", "2024-01-16"),
+                       ("2024-01-16", days[1])):
+        jobs.extract_session_heartbeats(g.heartbeat, g.session, start, end, path)
+    return g.spark.read.parquet(path).select("live_id", "device_id", "uid", "c_time", "dt")
+
+
+def heartbeat_repair_merge(g: Given) -> DataFrame:
+    """Two neighbouring repairs of one day, one of them twice, and one of the rest."""
+    path = g.path("heartbeat-repair")
+    noon = "2024-01-10 12:00:00"
+    for start, end in (("2024-01-01 00:00:00", "2024-01-10 11:59:59"),
+                       (noon, "2024-01-10 23:59:59"), (noon, "2024-01-10 23:59:59"),
+                       ("2024-01-11 00:00:00", "2024-01-31 23:59:59")):
+        jobs.repair_heartbeats(g.api_log, start, end, path)
+    rows = g.spark.read.parquet(path)
+    return rows.select(*fixed.HEARTBEAT_COLUMNS, "is_insert", "dt")
 
 
 def metrics_upsert(g: Given) -> DataFrame:
@@ -270,7 +303,7 @@ def time_normalise(g: Given) -> DataFrame:
     at = fixtures.events(g.spark, g.sf_dir)
     micro = scalars.micro_text(F.col("ts"))
     cut = scalars.cut_to_second(micro)
-    iso = scalars.local_to_iso(cut)
+    iso = scalars.iso_text(F.date_trunc("second", "ts"))
     return at.select("event_id", cut.alias("cut"), iso.alias("iso"),
                      scalars.iso_to_local(iso, "Asia/Shanghai").alias("local"))
 
@@ -338,10 +371,7 @@ def peak_online_estimate(g: Given) -> DataFrame:
 
 
 def planner_rollup(g: Given) -> DataFrame:
-    """Only the first days are stored; the later sessions add zeros."""
-    until = F.date_add(F.to_date(F.lit(fixtures.FIRST_DAY)), fixtures.SNAPSHOT_DAYS)
-    return sessions.planner_rollup(
-        g.session, g.metrics.where(F.to_date("start_time") < until))
+    return sessions.planner_rollup(g.session, g.metrics)
 
 
 def metrics_refresh(g: Given) -> DataFrame:
@@ -409,7 +439,7 @@ def metrics_refresh_stream(g: Given) -> DataFrame:
     """The refresh driven by a stream of events: the store after the last tick."""
     store = g.path("metric-store")
     sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 0)
-    sinks.write_version(g.known, f"{store}/first_seen", 0)
+    sinks.write_version(g.known, f"{store}/first_seen/whole", 0)
     tables = refresh.Tables(lambda: g.session, lambda: g.heartbeat,
                             lambda: g.comment, lambda: g.income)
     run = refresh.refresher(g.spark, tables, store, g.now)
@@ -447,7 +477,8 @@ _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
     "heartbeat_scan": heartbeat_scan,
     "api_log_scan": api_log_scan,
     "api_log_token_scan": api_log_token_scan,
-    "session_scan": lambda g: scans.sessions(g.session, SINCE, UNTIL, ordered=True),
+    "session_scan": lambda g: scans.sessions(g.session, *g.bounds(g.session, "end_time"),
+                                             ordered=True),
     "comment_scan": comment_scan,
     "income_scan": income_scan,
     "planner_sessions": lambda g: scans.planner_sessions(g.session),
@@ -460,6 +491,11 @@ _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
     "full_table_overwrite": full_table_overwrite,
     "report_tsv": report_tsv,
     "route_by_event_date": route_by_event_date,
+    "session_heartbeats_days": session_heartbeats_days,
+    "heartbeat_repair_merge": heartbeat_repair_merge,
+    "open_sessions": lambda g: scans.open_sessions(g.session, F.date_trunc("day", g.now())),
+    "room_comments": lambda g: scans.room_comments(
+        g.room_comment, "2024-01-02 00:00:00", "2024-01-06 00:00:00"),
     "json_flatten": json_flatten,
     "heartbeat_flatten": heartbeat_flatten,
     "heartbeat_repair": lambda g: records.heartbeat_repair(g.api_log, SINCE, UNTIL),
@@ -476,15 +512,13 @@ _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
     "room_points_devices": points_devices,
     "room_points_devices_approx": partial(points_devices, approximate=True),
     "avg_dwell_by_room": avg_dwell_by_room,
-    "top_rooms": lambda g: rooms.top_rooms(g.heartbeat),
+    "top_rooms": lambda g: rooms.top_rooms(g.heartbeat, 5),
     "online_now": lambda g: rooms.online_now(g.quick_heartbeat),
     "online_with_average": online_with_average,
     "peak_online_running": peak_online_running,
     "dwell_gap_batch": lambda g: rooms.dwell_gaps(g.quick_heartbeat),
     "avg_dwell_stateful": lambda g: rooms.average_of_dwell(rooms.dwell_gaps(g.quick_heartbeat)),
     "watch_sessions": lambda g: rooms.watch_sessions(g.quick_heartbeat),
-    "late_drop_audit": lambda g: rooms.late_drops(
-        fixtures.heartbeat_arrivals(g.spark, g.sf_dir)),
     "heartbeat_feed": lambda g: feeds.heartbeat_feed(g.heartbeat),
     "comment_feed": lambda g: records.comment_feed(g.room_comment),
     "pv_uv_planner": lambda g: reports.planner_pages(g.api_log, SINCE, UNTIL),

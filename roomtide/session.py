@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,8 +54,46 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/roomtide/{app}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that are materialised inside once the block has ended."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; empty if there is no such folder."""
+    where, files = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) \
+        if files.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a small intermediate table to the shared folder and read it back."""
     path = work_path(df.sparkSession, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,13 +23,6 @@ FIRST_DAY = "2024-01-01"
 SNAPSHOT_DAYS = 15
 TIME_SCALE = 5000
 
-ACTIONS = (
-    "app/index", "app/clientGuide", "app/startUpAds", "app/newInfoCircle",
-    "app/tuyereHotList", "app/homePage", "api/indexPlateInfo",
-    "app/compositeVideo", "app/realTimeCount", "api/fortuneCircleDynamicDetail",
-    "api/getViewDetail",
-)
-
 _sessions: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -110,13 +103,6 @@ def heartbeat(spark: SparkSession, sf_dir: str, time_scale: int = 1) -> DataFram
     return heartbeat_rows(events(spark, sf_dir), time_scale).select(*fixed.HEARTBEAT_COLUMNS)
 
 
-def heartbeat_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heartbeats on the squeezed clock with the time each one reached the store."""
-    delay = F.make_dt_interval(secs=_mod("event_id", 23))
-    return heartbeat_rows(events(spark, sf_dir), TIME_SCALE).select(
-        *fixed.HEARTBEAT_COLUMNS, (F.col("logtime") + delay).alias("arrived"))
-
-
 def heartbeat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw heartbeat records: (event_id, body). Some are broken, some lack members."""
     rows = heartbeat_rows(events(spark, sf_dir))
@@ -126,7 +112,9 @@ def heartbeat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     # to_json drops NULL members; p_uid is spelled out to carry a JSON null.
     p_uid = F.when(_mod("event_id", 9) == 0, "null").otherwise(
         F.concat(F.lit('"'), F.col("p_uid"), F.lit('"')))
-    body = F.concat(F.lit('{"p_uid":'), p_uid, F.lit(","), F.substr(body, F.lit(2)))
+    # Some records give a member twice; the last one counts.
+    first = F.when(_mod("event_id", 29) == 0, '{"extra_id":"first","p_uid":').otherwise('{"p_uid":')
+    body = F.concat(first, p_uid, F.lit(","), F.substr(body, F.lit(2)))
     return rows.select(
         "event_id",
         F.when(_mod("event_id", 37) == 0, F.concat(F.lit("["), body, F.lit("]")))
@@ -238,7 +226,7 @@ def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
         .select(
             "o_orderkey", "o_custkey",
-            _pick(k % 11, ACTIONS).alias("action"),
+            _pick(k % 11, fixed.API_ACTIONS).alias("action"),
             (F.floor(k / 11) % 13).alias("variant"),
             (F.floor("o_totalprice") % 13).alias("n"),
             F.timestamp_seconds(

@@ -37,10 +37,6 @@ def read_files(spark: SparkSession, table: str, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).options(**options).schema(SCHEMAS[table]).load(path)
 
 
-def read_catalog(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)
-
-
 def read_jdbc(spark: SparkSession, table: str, options: dict[str, str], *,
               split_on: str | None = None, lower: str | None = None,
               upper: str | None = None, parts: int | None = None) -> DataFrame:

@@ -42,11 +42,21 @@ def api_logs(api_log: DataFrame, start, end, actions: tuple[str, ...], *,
             .select(*columns))
 
 
-def api_logs_with_token(api_log: DataFrame, start, end, action: str, column: str,
-                        token: str, **options) -> DataFrame:
-    """Logs of one action whose payload text mentions `token`."""
-    return api_logs(api_log, start, end, (action,), **options) \
-        .where(F.col(column).contains(token))
+def api_logs_with_token(api_log: DataFrame, start, end, searches: tuple[tuple[str, str, str], ...],
+                        *, columns: tuple[str, ...] = ("log_time", "deviceId", "action", "data"),
+                        out: str = "token", closed: bool = False) -> DataFrame:
+    """Logs whose payload mentions the token of their action, in one pass.
+
+    `searches` are (action, column, token); column `out` names the token found.
+    """
+    read = dict.fromkeys((*columns, "action", *(column for _, column, _ in searches)))
+    rows = api_logs(api_log, start, end, tuple(s[0] for s in searches), columns=tuple(read),
+                    closed=closed)
+    found = F.lit(None).cast("string")
+    for action, column, token in reversed(searches):
+        found = F.when((F.col("action") == action) & F.col(column).contains(token),
+                       F.lit(token)).otherwise(found)
+    return rows.withColumn(out, found).where(F.col(out).isNotNull()).select(*columns, out)
 
 
 def eligible_sessions(session: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 State per (day, room, type, viewer): the second of the last heartbeat and the
 seconds watched. A heartbeat adds its distance from the last one, or 15 s when
-that is above 31 s; 35 s without one add 15 s and forget the last.
+that is above 31 s; 35 s without one add 15 s and forget the last. The state is
+removed once its day is past.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ FULL_GAP, BROKEN_GAP, SILENCE = fixed.FULL_GAP, fixed.BROKEN_GAP, fixed.SILENCE
 KEYS = ["day", "extra_id", "type", "viewer"]
 # The key travels as one text: what a state call costs grows with its columns.
 _SEPARATOR = "\x1f"
-_IN = "key string, at timestamp"
 _OUT = "key string, seconds bigint"
 _STATE = "last bigint, seconds bigint"
 
@@ -43,12 +43,26 @@ def watched(last: int, seconds: int, beats: np.ndarray) -> tuple[int, int]:
     return int(beats[-1]), seconds + int(added)
 
 
+def day_over(key: str) -> int:
+    """Milliseconds by which the day in the key is past in every time zone."""
+    day = np.datetime64(key[:10], "ms").astype("int64")
+    return int(day) + 2 * 86_400_000
+
+
 def _step(key: tuple, batches: Iterator[pd.DataFrame],
           state: GroupState) -> Iterator[pd.DataFrame]:
     last, seconds = state.get if state.exists else (0, 0)
+    over = day_over(key[0])
     if state.hasTimedOut:
-        last, seconds = 0, seconds + BROKEN_GAP
-        state.update((last, seconds))
+        silent = last == 0
+        seconds += 0 if silent else BROKEN_GAP
+        if state.getCurrentWatermarkMs() >= over:
+            state.remove()
+        else:
+            state.update((0, seconds))
+            state.setTimeoutTimestamp(over)
+        if silent:
+            return
     else:
         # Distinct seconds of one day: at most 86400 numbers, however many rows.
         beats = None
@@ -57,29 +71,24 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame],
             beats = np.unique(at) if beats is None else np.union1d(beats, at)
         last, seconds = watched(last, seconds, beats)
         state.update((last, seconds))
-        if last:
-            state.setTimeoutTimestamp((last + SILENCE) * 1000)
+        # A day that the watermark has left times out at once.
+        mark = state.getCurrentWatermarkMs() + 1
+        state.setTimeoutTimestamp(max((last + SILENCE) * 1000 if last else over, mark))
     yield pd.DataFrame({"key": key, "seconds": (seconds,)})
 
 
-def _once_per_second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.drop_duplicates()
-
-
 def dwell_state(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
     """Running seconds per day, room, type and viewer; update mode.
 
-    Repeated heartbeats of one second are dropped before the shuffle, so a very
-    busy viewer brings its task few rows. The day in the key is the daily fresh
-    start.
+    Heartbeats cross to Python once, in the state function, which counts a second
+    once. The day in the key is the daily fresh start. For a busy stream take
+    `dwell_stretches`.
     """
     key = F.concat_ws(_SEPARATOR, F.to_date("logtime").cast("string"), "extra_id", "type", "viewer")
     beats = presence(heartbeat).select(
         key.alias("key"), F.date_trunc("second", "logtime").alias("at"))
     states = (
-        beats.mapInPandas(_once_per_second, _IN)
-        .withWatermark("at", lateness).groupBy("key")
+        beats.withWatermark("at", lateness).groupBy("key")
         .applyInPandasWithState(_step, _OUT, _STATE, "update",
                                 GroupStateTimeout.EventTimeTimeout)
     )

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import scalars
 from ..operators.rooms import presence
-from ..session import work_path
+from ..session import children, materialise, remove, scratch, work_path
 
 
 def heartbeat_feed(heartbeat: DataFrame) -> DataFrame:
@@ -28,6 +28,29 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def compact(spark: SparkSession, path: str, upto: int) -> None:
+    """Gather the batches up to `upto` into that one's partition.
+
+    To be run between batches, for ones that will not be repeated. The gathered rows
+    keep their batch number in `from_batch`.
+    """
+    old = [int(c.removeprefix("batch=")) for c in children(spark, path) if c.startswith("batch=")]
+    old = [n for n in old if n <= upto]
+    if len(old) < 2:
+        return
+    rows = spark.read.parquet(path).where(F.col("batch") <= upto)
+    if "from_batch" not in rows.columns:
+        rows = rows.withColumn("from_batch", F.lit(None).cast("int"))
+    with scratch(spark):
+        rows = materialise(rows.withColumn("from_batch", F.coalesce("from_batch", "batch"))
+                           .withColumn("batch", F.lit(upto)), "compact")
+        (rows.hint("rebalance").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+    for n in old:
+        if n != upto:
+            remove(spark, f"{path}/batch={n}")
+
+
 def files_writer(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append to parquet; the file sink records what each batch wrote."""
     return (stream.writeStream.outputMode("append").format("parquet")

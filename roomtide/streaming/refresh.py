@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from ..operators import records, sessions
 from ..operators import viewers as vw
+from ..session import scratch
 from ..sources import sinks
 
+# Versions of a table that are kept, and batches after which first_seen is written whole.
+KEEP_VERSIONS = 3
+WHOLE_EVERY = 60
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -28,38 +33,74 @@ def clock(spark: SparkSession) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
 
+def time_of(spark: SparkSession, store: str, version: int, now: Callable[[], Column]) -> Column:
+    """The time of a version: asked once and kept, so that a repeated batch has it too."""
+    path = f"{store}/clock"
+    if version not in sinks.versions(spark, path):
+        sinks.write_version(spark.range(1).select(now().alias("at")), path, version)
+    micros = sinks.read_version(spark, path, version).select(F.unix_micros("at")).first()[0]
+    return F.timestamp_micros(F.lit(micros))
+
+
 def refresher(spark: SparkSession, tables: Tables, store: str, now: Callable[[], Column], *,
-              base: int = 0, also: Callable[[DataFrame, DataFrame, int], None] | None = None,
+              base: int = 0, also: Callable[..., None] | None = None,
               **options) -> Callable[[DataFrame, int], None]:
     """foreachBatch target: recompute open sessions and write the next store version.
 
-    The store is two versioned tables below `store`: metrics, the records, and
-    first_seen, when each uid first came to a room, which finished sessions leave
-    behind for the open ones. Batch n reads version base + n and writes the one
-    after, so a repeated batch reads and writes the same versions. `base` is the
-    version both tables had when the stream's checkpoint was new.
-    `also(fresh, stored, version)` writes what else is kept of a refresh.
+    The store is two tables below `store`: metrics, the records, in versions, and
+    first_seen, when each uid first came to a room, in differences. Either may be
+    missing at the start. Batch n reads version base + n and writes the one after, so a
+    repeated batch reads and writes the same versions; a few old ones are kept for that.
+    `base` is the version both tables had when the stream's checkpoint was new.
+    `also(fresh, stored, version, viewers, at)` writes what else is kept of a refresh.
     """
     def run(_: DataFrame, number: int) -> None:
         version = base + number + 1
-        previous = sinks.read_version(spark, f"{store}/metrics", version - 1)
-        known = sinks.read_version(spark, f"{store}/first_seen", version - 1)
-        session, heartbeat, at = tables.session(), tables.heartbeat(), now()
-        wanted = sessions.still_open(session, previous)
-        viewers = vw.viewer_table(heartbeat, vw.windows(wanted, at))
-        fresh = sessions.refresh(session, heartbeat, tables.comment(), tables.income(),
-                                 previous, at, known=known, viewers=viewers, **options)
-        sinks.write_version(records.upsert(previous, fresh, "live_id"),
-                            f"{store}/metrics", version)
-        sinks.write_version(vw.merge_first_seen(known, vw.first_seen(viewers)),
-                            f"{store}/first_seen", version)
-        if also:
-            stored = sinks.read_version(spark, f"{store}/metrics", version)
-            touched = wanted.select(F.col("id").alias("live_id"))
-            also(stored.join(touched, "live_id", "left_semi"), stored, version)
+        at = time_of(spark, store, version, now)
+        previous = sinks.read_version(spark, f"{store}/metrics", version - 1) \
+            if version - 1 in sinks.versions(spark, f"{store}/metrics") else None
+        known = sinks.read_difference(spark, f"{store}/first_seen", version - 1)
+        session, heartbeat = tables.session(), tables.heartbeat()
+        with scratch(spark):
+            wanted = sessions.still_open(session, previous, at)
+            viewers = vw.viewer_table(heartbeat, vw.windows(wanted, at))
+            fresh = sessions.refresh(session, heartbeat, tables.comment(), tables.income(),
+                                     previous, at, known=known, viewers=viewers, **options)
+            sinks.write_version(
+                fresh if previous is None else records.upsert(previous, fresh, "live_id"),
+                f"{store}/metrics", version)
+            keep_seen(known, vw.first_seen(viewers), f"{store}/first_seen", version)
+            if also:
+                stored = sinks.read_version(spark, f"{store}/metrics", version)
+                touched = wanted.select(F.col("id").alias("live_id"))
+                also(stored.join(touched, "live_id", "left_semi"), stored, version, viewers, at)
+        for name in ("metrics", "clock"):
+            sinks.drop_versions(spark, f"{store}/{name}", version - KEEP_VERSIONS + 1)
     return run
 
 
+def keep_seen(known: DataFrame | None, seen: DataFrame, path: str, version: int) -> None:
+    """Add to the first-seen table what is earlier than it knows; now and then write it whole."""
+    spark = seen.sparkSession
+    new = seen
+    if known is not None:
+        # Only rooms and uids of this batch are compared.
+        earlier = vw.merge_first_seen(known.join(seen, ["extra_id", "uid"], "left_semi"),
+                                      seen.where("false")).withColumnRenamed("first_at", "_known")
+        new = seen.join(earlier, ["extra_id", "uid"], "left").where(
+            F.col("_known").isNull() | (F.col("first_at") < F.col("_known"))).drop("_known")
+    sinks.write_version(new, f"{path}/added", version)
+    if version % WHOLE_EVERY == 0:
+        whole = sinks.read_difference(spark, path, version)
+        sinks.write_version(vw.merge_first_seen(whole, seen.where("false")),
+                            f"{path}/whole", version)
+        # The whole one before stays for batches that are repeated.
+        before = [v for v in sinks.versions(spark, f"{path}/whole") if v < version]
+        if before:
+            sinks.drop_versions(spark, f"{path}/added", before[-1] + 1)
+            sinks.drop_versions(spark, f"{path}/whole", before[-1])
+
+
 def start(ticks: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str,
           every: str = "60 seconds"):
     return (ticks.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

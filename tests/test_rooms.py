@@ -136,7 +136,7 @@ def test_repair(spark):
         fixed.HEARTBEAT_ACTION, '{"get":{"type":"t","extra_id":"r","is_small_window":"1","fr":null},'
         '"header":{"referer":"z"}}')])
     row = records.heartbeat_repair(logs, "2024-01-01 10:00:00", "2024-01-01 10:00:00").first()
-    assert row["logtime"] == "2024-01-01T10:00:00+08:00" and row["c_time"] == "2024-01-01 10:00:00"
+    assert row["logtime"] == "2024-01-01T10:00:00+00:00" and row["c_time"] == "2024-01-01 10:00:00"
     assert (row["ext"], row["fr"], row["refer"], row["p_uid"], row["u_type"], row["is_insert"]) == (
         '{"is_small_window":"1"}', "null", "z", "", 1, "1")
 
