@@ -37,12 +37,14 @@ from .components import components
 N = 5
 PERCENT = 80
 # N-grams of one fragment of the count of own n-grams, and classes of one tile.
-FRAGMENT = 2_000_000
+FRAGMENT = 1_000_000
 TILE = 512
 # Fragments of the global order that overlaps are counted in.
 CUTS = 8
 _BITS = 1024
 _BLOCK = 2 << 20
+# Classes that are put in order at a time.
+_CLASSES = 1000
 
 
 def least_overlap(n, percent: int = PERCENT):
@@ -204,7 +206,8 @@ def _expand(n: int):
 def _order(percent: int):
     """A class's shared n-grams in the global order, its prefix, fragments and bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _CLASSES) for b in batches
+                      for at in range(0, b.num_rows, _CLASSES)):
             rows = []
             for name, n, grams in zip(*(batch.column(c) for c in ("class", "n", "grams"))):
                 df = grams.values.field("df").to_numpy()
