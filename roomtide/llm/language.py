@@ -131,14 +131,19 @@ def train(rows: DataFrame, lang: str = "lang", text: str = "text", key: str = "d
     df = np.array([counts.get(i, 0) for i in range(DIMENSIONS)], dtype=np.float64)
     idf = (np.log((1 + total) / (1 + df)) + 0.1).astype(np.float32)
 
-    # The rows of smallest code are the sample; only their limits come to the driver first.
+    # The rows of smallest code are the sample. Codes are spread evenly, so a share of them,
+    # known from the counts, leaves each language a few times its sample to sort.
     coded = rows.withColumn("code", F.xxhash64("key"))
-    n_langs = max(1, rows.select("lang").distinct().count())
-    each = max(LEAST_SAMPLE, SAMPLE // n_langs)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    each = max(LEAST_SAMPLE, SAMPLE // max(1, sizes.count()))
+    share = sizes.select("lang", F.least(F.lit(1.0), F.lit(4.0 * each) / F.col("n")).alias("share"))
     first = Window.partitionBy("lang").orderBy("code")
-    limits = (coded.select("lang", "code").withColumn("r", F.row_number().over(first))
-              .where(F.col("r") <= each).groupBy("lang").agg(F.max("code").alias("limit")))
+    limits = (coded.select("lang", "code").join(share, "lang")
+              .where(F.pmod("code", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+              .withColumn("r", F.row_number().over(first)).where(F.col("r") <= each)
+              .groupBy("lang").agg(F.max("code").alias("limit"), F.first("share").alias("share")))
     sample = (coded.join(F.broadcast(limits), "lang").where("code <= limit")
+              .where(F.pmod("code", F.lit(1 << 20)) < F.col("share") * (1 << 20))
               .select("lang", "text").mapInArrow(_sparse, "lang string, places binary, counts binary")
               .collect())
     by: dict[str, list[np.ndarray]] = {}
