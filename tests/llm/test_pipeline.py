@@ -1,8 +1,10 @@
 """The corpus pipeline: every stage on its own input, and its parts against brute force."""
 
+import functools
 import re
 
 import corpus_pipeline as pipeline
+from roomtide.llm import pii
 from roomtide.llm.queries import QUERIES
 from test_texts import brute_spans
 
@@ -53,7 +55,9 @@ def test_stages(spark):
     assert all(mixed[d]["text"] == safe[d]["text"] for d in mixed)
 
 
-def test_odd_rows(spark, odd, empty):
+def test_odd_rows(spark, odd, empty, monkeypatch):
+    # How well the tagger learns does not matter here.
+    monkeypatch.setattr(pii, "learn", functools.partial(pii.learn, rounds=1))
     for docs in (odd, empty):
         columns = docs.columns
         for name, stage in pipeline.STAGES:
