@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 ROWS_PER_SALT = 2_000_000
 
 
@@ -26,6 +27,7 @@ class Reach:
     """Size of an interval table and the span of time it covers, in microseconds."""
 
     rows: int
+    bytes: int
     first: int | None
     last: int | None
 
@@ -33,16 +35,19 @@ class Reach:
 def measure(intervals: DataFrame, start: str, end: str) -> Reach:
     """One aggregate over the interval side: a single row comes back.
 
-    `rows` counts an interval once per day it touches, as the join does.
+    `rows` and `bytes` count an interval once per day it touches, as the join does.
     """
+    width = sum((F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(0)) + 8
+                for name, kind in intervals.dtypes)
+    days = F.datediff(end, start) + 1
     row = (
         intervals.where(F.col(start) <= F.col(end))
-        .agg(F.sum(F.datediff(end, start) + 1).alias("rows"),
+        .agg(F.sum(days).alias("rows"), F.sum(days * width).alias("bytes"),
              F.min(F.unix_micros(start)).alias("first"),
              F.max(F.unix_micros(end)).alias("last"))
         .first()
     )
-    return Reach(row["rows"] or 0, row["first"], row["last"])
+    return Reach(row["rows"] or 0, row["bytes"] or 0, row["first"], row["last"])
 
 
 def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str], at: str,
@@ -74,7 +79,7 @@ def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str],
     facts = facts.withColumn("_fact_day", F.to_date(at))
     on = ((F.col(fact_key) == F.col(interval_key)) & (F.col("_fact_day") == F.col("_day"))
           & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
-    if reach.rows <= broadcast_rows:
+    if reach.rows <= broadcast_rows and reach.bytes <= BROADCAST_BYTES:
         by_day = F.broadcast(by_day)
     else:
         heavy = heavy_days(facts, fact_key, "_fact_day", rows_per_salt)
@@ -103,5 +108,7 @@ def heavy_days(facts: DataFrame, key: str, day: str, rows_per_salt: int) -> Data
 
 def _with_salts(df: DataFrame, heavy: DataFrame, key: str, day: str) -> DataFrame:
     on = (F.col(key) == F.col("_key")) & (F.col(day) == F.col("_heavy_day"))
-    return (df.join(F.broadcast(heavy), on, "left").drop("_key", "_heavy_day")
+    # A written table, so counting it is cheap.
+    small = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+    return (df.join(small, on, "left").drop("_key", "_heavy_day")
             .withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("bigint"))))

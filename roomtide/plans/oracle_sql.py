@@ -79,21 +79,24 @@ PREVIOUS_COUNTS = (
     "share_count", "share_count_robot", "planner_comment_count", "planner_reply_count")
 DWELL = ("old_user_staying_average", "old_user_staying_max", "old_user_staying_min",
          "new_user_staying_average", "new_user_staying_max", "new_user_staying_min")
-METRIC_COLUMNS = (
-    "live_id, circle_id, lcs_id, lcs_name, start_time, end_time, live_title, live_status, "
-    "view_count, view_count_robot, first_view_count, max_living_count, new_follow_count, "
-    "new_follow_count_robot, comment_count, comment_count_robot, comment_peoples, "
-    "comment_peoples_robot, gift_count, gift_count_robot, share_count, share_count_robot, "
-    "old_user_staying_average, old_user_staying_max, old_user_staying_min, "
-    "new_user_staying_average, new_user_staying_max, new_user_staying_min, gift_income, "
-    "planner_comment_count, planner_reply_count").split(", ")
-LIVE_INFO = (
-    "circle_id, notice_id, p_uid, live_title, view_count, first_view_count, max_living_count, "
-    "new_follow_count, comment_count, comment_peoples, gift_count, share_count, "
-    "old_user_staying_average, old_user_staying_max, old_user_staying_min, "
-    "new_user_staying_average, new_user_staying_max, new_user_staying_min, "
-    "planner_comment_count, planner_reply_count, view_count_robot, new_follow_count_robot, "
-    "comment_count_robot, comment_peoples_robot, gift_count_robot, share_count_robot").split(", ")
+# Names of the data contract.
+METRIC_COLUMNS = [
+    "live_id", "circle_id", "lcs_id", "lcs_name", "start_time", "end_time", "live_title",
+    "live_status", "view_count", "view_count_robot", "first_view_count", "max_living_count",
+    "new_follow_count", "new_follow_count_robot", "comment_count", "comment_count_robot",
+    "comment_peoples", "comment_peoples_robot", "gift_count", "gift_count_robot", "share_count",
+    "share_count_robot", "old_user_staying_average", "old_user_staying_max", "old_user_staying_min",
+    "new_user_staying_average", "new_user_staying_max", "new_user_staying_min", "gift_income",
+    "planner_comment_count", "planner_reply_count",
+]
+LIVE_INFO = [
+    "circle_id", "notice_id", "p_uid", "live_title", "view_count", "first_view_count",
+    "max_living_count", "new_follow_count", "comment_count", "comment_peoples", "gift_count",
+    "share_count", "old_user_staying_average", "old_user_staying_max", "old_user_staying_min",
+    "new_user_staying_average", "new_user_staying_max", "new_user_staying_min",
+    "planner_comment_count", "planner_reply_count", "view_count_robot", "new_follow_count_robot",
+    "comment_count_robot", "comment_peoples_robot", "gift_count_robot", "share_count_robot",
+]
 
 
 def _previous() -> str:

@@ -28,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Time bounds of the scans: wide enough to cover any of the given tables.
 SINCE, UNTIL = "1970-01-01", "2100-01-01"
 STORED_AT = "2024-02-01 00:00:00"
+# How far the clock of a stream stays behind its newest row.
+LATENESS_SECONDS = 5
 EXPIRY_CHECK = "2024-01-16 00:00:00"
 
 
@@ -418,8 +420,8 @@ def online_with_average_stream(g: Given) -> DataFrame:
 
 
 def dwell_state(g: Given) -> DataFrame:
-    return dwell.latest(feeds.replay(
-        dwell.dwell_state(g.events_of(stream=True)), "dwell-state", updates=True))
+    updates = feeds.replay(dwell.dwell_state(g.events_of(stream=True)), "dwell-state", updates=True)
+    return dwell.latest(updates, F.lit(dwell.newest_second(updates) - LATENESS_SECONDS))
 
 
 def dwell_stretches_stream(g: Given) -> DataFrame:

@@ -1,101 +1,41 @@
-"""Dwell per viewer as a state machine with a silence timer.
+"""Dwell per viewer as streams: running seconds of a day, and finished stretches.
 
-State per (day, room, type, viewer): the second of the last heartbeat and the
-seconds watched. A heartbeat adds its distance from the last one, or 15 s when
-that is above 31 s; 35 s without one add 15 s and forget the last. The state is
-removed once its day is past.
+A heartbeat adds its distance from the last one, or 15 s when that is above 31 s;
+35 s without one add 15 s.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
 from ..operators.rooms import presence, seconds_in_gaps
 
-# Executors get the functions of this module as code, so they need no copy of the
-# package; what the functions use must therefore be plain values of this module.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-FULL_GAP, BROKEN_GAP, SILENCE = fixed.FULL_GAP, fixed.BROKEN_GAP, fixed.SILENCE
+BROKEN_GAP, SILENCE = fixed.BROKEN_GAP, fixed.SILENCE
 
 KEYS = ["day", "extra_id", "type", "viewer"]
-# The key travels as one text: what a state call costs grows with its columns.
-_SEPARATOR = "\x1f"
-_OUT = "key string, seconds bigint"
-_STATE = "last bigint, seconds bigint"
-
-
-def watched(last: int, seconds: int, beats: np.ndarray) -> tuple[int, int]:
-    """State after the distinct, ascending seconds `beats`; last 0 means none."""
-    beats = beats[beats > last]
-    if beats.size == 0:
-        return last, seconds
-    gaps = np.diff(np.concatenate(([last], beats)) if last else beats)
-    added = np.where(gaps <= FULL_GAP, gaps, BROKEN_GAP).sum()
-    return int(beats[-1]), seconds + int(added)
-
-
-def day_over(key: str) -> int:
-    """Milliseconds by which the day in the key is past in every time zone."""
-    day = np.datetime64(key[:10], "ms").astype("int64")
-    return int(day) + 2 * 86_400_000
-
-
-def _step(key: tuple, batches: Iterator[pd.DataFrame],
-          state: GroupState) -> Iterator[pd.DataFrame]:
-    last, seconds = state.get if state.exists else (0, 0)
-    over = day_over(key[0])
-    if state.hasTimedOut:
-        silent = last == 0
-        seconds += 0 if silent else BROKEN_GAP
-        if state.getCurrentWatermarkMs() >= over:
-            state.remove()
-        else:
-            state.update((0, seconds))
-            state.setTimeoutTimestamp(over)
-        if silent:
-            return
-    else:
-        # Distinct seconds of one day: at most 86400 numbers, however many rows.
-        beats = None
-        for batch in batches:
-            at = batch["at"].to_numpy().astype("datetime64[s]").astype("int64")
-            beats = np.unique(at) if beats is None else np.union1d(beats, at)
-        last, seconds = watched(last, seconds, beats)
-        state.update((last, seconds))
-        # A day that the watermark has left times out at once.
-        mark = state.getCurrentWatermarkMs() + 1
-        state.setTimeoutTimestamp(max((last + SILENCE) * 1000 if last else over, mark))
-    yield pd.DataFrame({"key": key, "seconds": (seconds,)})
-
-
-def dwell_state(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
-    """Running seconds per day, room, type and viewer; update mode.
-
-    Heartbeats cross to Python once, in the state function, which counts a second
-    once. The day in the key is the daily fresh start. For a busy stream take
-    `dwell_stretches`.
+
+
+def dwell_state(heartbeat: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Running seconds per day, room, type and viewer, and the last one; update mode.
+
+    The state is the set of a viewer's distinct seconds of one day. The day is the event
+    time of the state: it is dropped when a row comes from the next day but one, less
+    `lateness`, so there are never more than about two days of it. What a silence is
+    worth depends on the clock and is added by `latest`.
     """
-    key = F.concat_ws(_SEPARATOR, F.to_date("logtime").cast("string"), "extra_id", "type", "viewer")
     beats = presence(heartbeat).select(
-        key.alias("key"), F.date_trunc("second", "logtime").alias("at"))
-    states = (
-        beats.withWatermark("at", lateness).groupBy("key")
-        .applyInPandasWithState(_step, _OUT, _STATE, "update",
-                                GroupStateTimeout.EventTimeTimeout)
+        F.date_trunc("day", "logtime").alias("midnight"), "extra_id", "type", "viewer",
+        F.unix_seconds("logtime").alias("sec"))
+    seconds = F.sort_array(F.collect_set("sec"))
+    return (
+        beats.withWatermark("midnight", f"1 day {lateness}")
+        .groupBy("midnight", *KEYS[1:]).agg(seconds.alias("s"))
+        .select(F.to_date("midnight").alias("day"), *KEYS[1:],
+                seconds_in_gaps(F.col("s")).alias("seconds"),
+                F.element_at("s", -1).alias("last"))
     )
-    parts = F.split("key", _SEPARATOR)
-    return states.select(
-        parts[0].cast("date").alias("day"),
-        *[parts[i].alias(c) for i, c in enumerate(KEYS[1:], 1)], "seconds")
 
 
 def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
@@ -104,7 +44,7 @@ def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFr
     A stretch ends with a silence of more than 35 s, and the seconds of a key's
     stretches add up to its dwell. The state of a stretch is its set of distinct
     seconds, at most 86400 of one day. This is the form for a busy stream; the
-    state machine above reports a viewer while still watching.
+    form above reports a viewer while still watching.
     """
     beats = presence(heartbeat).select(
         F.to_date("logtime").alias("day"), "extra_id", "type", "viewer",
@@ -119,6 +59,17 @@ def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFr
     )
 
 
-def latest(updates: DataFrame) -> DataFrame:
-    """Last written seconds of each key, from rows that carry their batch number."""
-    return updates.groupBy(*KEYS).agg(F.max_by("seconds", "batch").alias("seconds"))
+def latest(updates: DataFrame, as_of: Column) -> DataFrame:
+    """Last written seconds of each key, from rows that carry their batch number.
+
+    A viewer who has been silent at `as_of` (in seconds) gets what a silence is worth.
+    """
+    newest = F.max_by(F.struct("seconds", "last"), "batch").alias("n")
+    silent = F.col("n.last") + SILENCE < as_of
+    return updates.groupBy(*KEYS).agg(newest).select(
+        *KEYS, (F.col("n.seconds") + F.when(silent, BROKEN_GAP).otherwise(0)).alias("seconds"))
+
+
+def newest_second(updates: DataFrame) -> int:
+    """The last second that any viewer was seen in."""
+    return updates.agg(F.max("last")).first()[0] or 0

@@ -1,6 +1,5 @@
 from datetime import datetime
 
-import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -35,12 +34,15 @@ def test_dwell_gaps(spark):
     assert rooms.dwell_gaps(beats).first()["seconds"] == 10 + 31 + 15 + 0 + 15
 
 
-def test_dwell_state_function():
-    last, seconds = dwell.watched(0, 0, np.array(sorted({100 + g for g in GAPS})))
-    assert (last, seconds) == (173, 10 + 31 + 15)
-    assert dwell.watched(last, seconds, np.array([150, 173])) == (173, 56)
-    assert dwell.watched(0, 71, np.array([500])) == (500, 71)
-    assert dwell.watched(last, seconds, np.empty(0, dtype="int64")) == (173, 56)
+def test_latest_dwell(spark):
+    """The newest batch of a key counts; a silence of more than 35 s is worth 15 s."""
+    kinds = "day string, extra_id string, type string, viewer string, seconds bigint, last bigint, batch int"
+    updates = spark.createDataFrame([("d", "r", "t", "a", 9, 109, 0), ("d", "r", "t", "a", 56, 173, 1),
+                                     ("d", "r", "t", "b", 0, 190, 1)], kinds)
+    assert dwell.newest_second(updates) == 190
+    for as_of, a in ((208, 56), (209, 71)):
+        got = dwell.latest(updates, F.lit(as_of)).select("viewer", "seconds")
+        assert rows(got) == [("a", a), ("b", 0)]
 
 
 def test_watch_sessions(spark):
