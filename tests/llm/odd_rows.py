@@ -1,3 +1,5 @@
+"""Rows that every operator must take: nulls, empty and long texts, ties, clashing names."""
+
 import pytest
 from pyspark.sql import types as T
 

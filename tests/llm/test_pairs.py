@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from odd_rows import empty, odd  # noqa: F401
 from roomtide.llm import jaccard, neighbours, substrings
 from roomtide.llm.components import components
 

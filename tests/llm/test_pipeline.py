@@ -4,6 +4,7 @@ import functools
 import re
 
 import corpus_pipeline as pipeline
+from odd_rows import empty, odd  # noqa: F401
 from roomtide.llm import pii
 from roomtide.llm.queries import QUERIES
 from test_texts import brute_spans

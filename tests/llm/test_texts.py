@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from odd_rows import empty, odd  # noqa: F401
 from roomtide.llm import (chat, decontaminate, language, licenses, mixing, pii, quality)
 from roomtide.llm import text as tx
 from roomtide.llm.queries import ORACLES, QUERIES
