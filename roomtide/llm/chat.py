@@ -21,7 +21,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
