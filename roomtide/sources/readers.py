@@ -1,7 +1,7 @@
-"""Readers for logical tables kept in files, catalog tables or a JDBC store.
+"""Readers for logical tables kept in files.
 
-Connection options always come from the caller. Any DataFrame with the columns
-of the logical table can stand in for these readers, whatever store it is from.
+Any DataFrame with the columns of the logical table can stand in for these readers,
+whatever store it is from.
 """
 
 from __future__ import annotations
@@ -37,22 +37,6 @@ def read_files(spark: SparkSession, table: str, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).options(**options).schema(SCHEMAS[table]).load(path)
 
 
-def read_jdbc(spark: SparkSession, table: str, options: dict[str, str], *,
-              split_on: str | None = None, lower: str | None = None,
-              upper: str | None = None, parts: int | None = None) -> DataFrame:
-    """A table of a JDBC store.
-
-    Filters written on the result are pushed into the store. With `split_on`
-    the scan is cut into `parts` ranges between `lower` and `upper`; without it
-    one task reads the whole table, which suits the schedule table only.
-    """
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    if split_on:
-        reader = reader.options(partitionColumn=split_on, lowerBound=lower,
-                                upperBound=upper, numPartitions=parts)
-    return reader.load()
-
-
 def stream_files(spark: SparkSession, schema: str, path: str, fmt: str = "parquet",
                  max_files: int | None = None, **options: str) -> DataFrame:
     """New files under `path` as a stream; `max_files` per trigger is the back-pressure."""
