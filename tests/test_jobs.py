@@ -75,7 +75,8 @@ def test_heartbeat_job_defaults_and_emptied_days(spark, tmp_path):
 
 
 def live_tables(spark):
-    now = F.current_timestamp()
+    # Read once: the tables must not change while the clock goes on.
+    now = F.timestamp_micros(F.lit(spark.sql("SELECT unix_micros(now())").first()[0]))
     sessions = table(spark, "session", [show(1, day(1), day(2), status=0)]).unionByName(
         spark.range(1).select(
             F.lit(2).cast("bigint").alias("id"), F.lit("r").alias("circle_id"), F.lit(2).alias("u_type"),
