@@ -8,7 +8,8 @@ them they are its extension to the left and to the right.
 
 Occurrences of a repeated anchor are never paired. Those whose whole extensions
 are equal are counted as one class; only the classes that share an anchor with
-another class are compared window by window, each class once.
+another class are compared window by window, each class once. Windows, like
+extensions, are told apart by codes of 64 bits beside their anchor and its place.
 
 Defined results: a null or empty text has no words and nothing removed; a text
 shorter than a window is kept; the same row given twice repeats all its windows;
@@ -30,7 +31,7 @@ from . import text as tx
 WINDOW = 35
 ANCHOR = 12
 
-_RUN = "row_key long, anchor long, first int, lead int, extent long, windows array<int>"
+_RUN = "row_key long, anchor long, first int, lead int, extent long, windows array<long>"
 
 
 def _leftmost_minimum(codes: np.ndarray, width: int) -> np.ndarray:
@@ -75,7 +76,7 @@ def _runs(block: tx.Block, window: int, anchor: int):
         "first": first - found.limits[:-1][text[begins]],
         "lead": seed[begins] - first, "length": length,
         "extent": whole.of(first, first + length + window - 1),
-        "windows": whole.of(at, at + window).astype(np.uint32).view(np.int32),
+        "windows": whole.of(at, at + window).view(np.int64),
     }
 
 

@@ -4,10 +4,12 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from odd_rows import empty, odd  # noqa: F401
 from roomtide.llm import jaccard, neighbours, substrings
+from roomtide.llm import text as tx
 from roomtide.llm.components import components
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -135,6 +137,29 @@ def test_repeats_against_brute_force(spark, window, anchor):
     assert sorted((tuple(r) for r in got), key=str) == brute_kept(rows, window)
 
 
+def test_windows_alike_in_half_their_code_differ(spark):
+    """Two windows with one anchor and equal low halves of their codes are no repeat."""
+    rest = " ".join(f"w{i}" for i in range(34))
+    texts = [f"x{i} {rest}" for i in range(300_000)]
+    codes, lead = [], []
+    for block in tx.blocks(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]), "text"):
+        codes.append(tx.Rolling(tx.words(block).code, 1).of(
+            np.arange(block.n) * 35, np.arange(1, block.n + 1) * 35))
+        lead.append(substrings._runs(block, 35, 12)["lead"])
+    codes, lead = np.concatenate(codes), np.concatenate(lead)
+    # The first word is the one that differs, so an anchor with a lead is the same run of words.
+    alike = np.flatnonzero((lead > 0) & (lead == np.bincount(lead).argmax()))
+    alike = alike[np.argsort(codes[alike].astype(np.uint32))]
+    low = codes[alike].astype(np.uint32)
+    at = np.flatnonzero(low[1:] == low[:-1])[0]
+    pair = [texts[alike[at]], texts[alike[at + 1]]]
+    assert pair[0] != pair[1]
+    df = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
+    got = substrings.remove_repeats(df).collect()
+    assert {(r["doc_id"], r["n_removed"], r["kept"]) for r in got} == {
+        (0, 0, pair[0]), (1, 0, pair[1])}
+
+
 def test_repeats_odd_rows(odd, empty):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = substrings.remove_repeats(odd).collect()
