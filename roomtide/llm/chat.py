@@ -6,11 +6,13 @@ output before shows where that turn's text lies. A template that changes what it
 wrote before rewrites history: the turn from which on outputs differ is reported,
 and spans are then measured in the last output.
 
-Turns of a conversation stream through a task in order, so memory does not grow
-with a conversation. Prefixes are rendered within parts of PART turns, each
-started with the turn before it, whose rendering must come out as it did in the
-part before; a template that fails this needs the whole history for every turn
-and is reported as a rewriting one.
+Every prefix of a conversation is rendered from its first turn on, so a template
+may depend on anything before; a task then holds one conversation, and its time
+grows with the square of the turns. A caller who knows that a template writes
+every turn by itself, as `marked` does, may say turn_local=True: turns then stream
+through in parts of PART, and memory does not grow with a conversation. Each part
+starts with the turn before it, which must come out as it did in the part before;
+a template seen to break the promise is an error, never another result.
 """
 
 from __future__ import annotations
@@ -92,8 +94,9 @@ def content_span(template: Template, before: list[Turn], turn: Turn,
 class _Conversation:
     """What is known of one conversation while its turns stream by."""
 
-    def __init__(self, name, template: Template, keep: bool):
+    def __init__(self, name, template: Template, keep: bool, turn_local: bool):
         self.name, self.template, self.keep = name, template, keep
+        self.turn_local = turn_local
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n = self.loss_chars = self.chars = 0
         self.rewrote = -1
@@ -105,7 +108,7 @@ class _Conversation:
 
     def add(self, turn: Turn) -> None:
         self.part.append(turn)
-        if len(self.part) == PART:
+        if self.turn_local and len(self.part) == PART:
             self.close()
 
     def close(self) -> None:
@@ -114,14 +117,16 @@ class _Conversation:
         lead = [self.before] if self.before else []
         turns = [*lead, *self.part]
         out, spans, rewrote = turn_spans(self.template, turns)
-        if lead and out[spans[0][0]:spans[0][1]] != self.seam:
-            rewrote = 0
-        if rewrote >= 0 and self.rewrote < 0:
-            self.rewrote = self.n + max(rewrote - len(lead), 0)
+        if self.turn_local and (rewrote >= 0 or spans[0][0] or (
+                lead and out[spans[0][0]:spans[0][1]] != self.seam)):
+            raise ValueError("the template does not write every turn by itself: turn_local is wrong")
+        self.rewrote = rewrote
+        # A part without a lead is the beginning, with whatever stands before its first turn.
+        first = spans[1][0] if lead else 0
+        shift = self.chars - first
         for i in range(len(lead), len(turns)):
             role, text = turns[i]
             begin, end = spans[i]
-            shift = self.chars - spans[len(lead)][0]
             inner = (begin, end)
             if rewrote < 0:
                 inner = content_span(self.template, turns[:i], turns[i], spans[i], out,
@@ -138,7 +143,7 @@ class _Conversation:
                 self.loss_chars += len(text)
             if self.keep:
                 self.spans.append((inner[0] + shift, inner[1] + shift, trained))
-        added = out[spans[len(lead)][0]:]
+        added = out[first:]
         if self.keep:
             self.text.append(added)
         self.n += len(self.part)
@@ -163,7 +168,7 @@ _KINDS = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64
                               ("trained", pa.bool_())]))]
 
 
-def _format(template: Template, keep: bool):
+def _format(template: Template, keep: bool, turn_local: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(rows, kind):
             return pa.RecordBatch.from_arrays(
@@ -185,7 +190,7 @@ def _format(template: Template, keep: bool):
                         if len(rows) >= 1000 or held > 1 << 24:
                             yield emit(rows, kind)
                             rows, held = [], 0
-                    now = _Conversation(name, template, keep)
+                    now = _Conversation(name, template, keep, turn_local)
                 now.add((role or "", text or ""))
         if now is not None:
             rows.append(now.row())
@@ -196,9 +201,10 @@ def _format(template: Template, keep: bool):
 
 
 def format_conversations(turns: DataFrame, template: Template = marked, *,
-                         keep: bool = True) -> DataFrame:
+                         keep: bool = True, turn_local: bool = False) -> DataFrame:
     """One row for each conv_id, with the formatted text and its spans if `keep`.
 
+    turn_local promises that the template writes every turn by itself, see above.
     Defined results: null roles and texts are empty; rows of one turn number go by
     role and text, and a row given twice is two turns; null turns come first; rows
     without a conv_id are one conversation; other columns are ignored.
@@ -207,4 +213,4 @@ def format_conversations(turns: DataFrame, template: Template = marked, *,
     rows = (turns.select("conv_id", "turn", "role", "text").repartition("conv_id")
             .sortWithinPartitions("conv_id", "turn", "role", "text"))
     return rows.select("conv_id", "role", "text").mapInArrow(
-        _format(template, keep), f"conv_id {kind}, {_COLUMNS}")
+        _format(template, keep, turn_local), f"conv_id {kind}, {_COLUMNS}")

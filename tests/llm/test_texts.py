@@ -225,6 +225,30 @@ def test_rewriting_templates_are_found(spark):
     assert got == {1: 1, 2: -1}
 
 
+def with_header(turns):
+    return ("<s>system: be kind\n" if turns else "") + chat.marked(turns)
+
+
+def last_hundred(turns):
+    return chat.marked(turns[-100:])
+
+
+def test_templates_see_the_whole_conversation(spark):
+    turns = [(("user", "assistant")[i % 2], f"text {i}") for i in range(150)]
+    df = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)],
+                               "conv_id long, turn long, role string, text string")
+    head = chat.format_conversations(df, with_header).collect()[0]
+    assert (head["rewrote"], head["formatted"]) == (-1, with_header(turns))
+    assert [head["formatted"][s.start:s.end] for s in head["spans"]] == [t for _, t in turns]
+    last = chat.format_conversations(df, last_hundred).collect()[0]
+    assert (last["rewrote"], last["formatted"]) == (100, last_hundred(turns))
+    assert last["formatted_chars"] == len(last["formatted"])
+    assert chat.format_conversations(df, turn_local=True).collect() == \
+        chat.format_conversations(df).collect()
+    with pytest.raises(Exception, match="turn_local is wrong"):
+        chat.format_conversations(df, with_header, turn_local=True).collect()
+
+
 def test_long_and_odd_conversations(spark):
     rows = [(1, i, ("user", "assistant")[i % 2], f"<|turn|> {i}\n") for i in range(300)]
     rows += [(2, None, None, None), (2, 0, "assistant", "x"), (2, 0, "assistant", "x"),
