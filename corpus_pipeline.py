@@ -1,8 +1,8 @@
 """From raw documents to a training mixture, stage by stage.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
-All but the last return the columns of documents; rows without a doc_id pass the
-stages like others, but are not compared as near duplicates.
+All but the last return the columns of documents; rows without a doc_id, or with one
+that other rows have, pass the stages like others.
 """
 
 from __future__ import annotations
@@ -24,11 +24,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the smallest id."""
-    kept = jaccard.jaccard_components(docs.where("doc_id is not null")).where(
-        "doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of every group of near duplicates the document with the smallest id.
+
+    Rows with equal ids are told apart by their texts and other columns; rows without
+    an id come last; rows that are equal in all columns are one.
+    """
+    # The key orders rows as their ids do, so the smallest key of a group is its component.
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = docs.withColumn("__row", F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+        F.md5("text").alias("text"), F.xxhash64(F.lit(0), *rest).alias("rest")))
+    kept = jaccard.jaccard_components(keyed, key="__row").where(
+        "doc_id = component_id").select(F.col("doc_id").alias("__row")).distinct()
+    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

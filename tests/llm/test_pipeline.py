@@ -67,6 +67,17 @@ def test_odd_rows(spark, odd, empty, monkeypatch):
         docs.count()
 
 
+def test_near_duplicates_with_shared_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "s"), (1, b, "s"), (2, b + " more", "s"), (None, a + " more", "s"),
+            (None, c, "s"), (None, c, "s"), (None, c, "t"), (3, None, "s"), (4, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = pipeline.keep_one_of_each_group(spark, docs.repartition(parts), SF).collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(
+            [(1, a), (1, b), (None, c), (3, None), (4, "")], key=str)
+
+
 def test_registered():
     import __spark_entry__ as contract
     assert contract.queries()["pipeline"] is pipeline.run
