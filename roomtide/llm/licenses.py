@@ -6,6 +6,8 @@ fingerprints; an inverted index leads from a fingerprint to its places. Every ru
 of every text is looked up. The places that a text and a template share are
 gathered by diagonal into candidate regions, and each region is aligned within a
 band. A match is reported with its share of the template's words and its span.
+Licenses of like wording are told apart by the words that tell: a match must hold
+every word with a digit that its template has, and just its names and clauses.
 
 Defined results: null or empty texts have no matches; a template is found as often
 as it stands in a text; overlapping matches of one template are one, the better;
@@ -54,7 +56,67 @@ NOTICES = {
     "CC-BY-NC-4.0-text": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
         "License."),
+    "ISC": "Released under the ISC License.",
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies"),
+    "Apache-1.1": "Licensed under the Apache Software License, Version 1.1.",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "MPL-2.0-text": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/."),
+    "BSD-3-Clause-text": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission."),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means."),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will "
+        "the authors be held liable for any damages arising from the use of this software."),
 }
+for _name, _kind, _version, _written in (
+        ("GPL-2.0", "General", "2", "2"), ("LGPL-2.1", "Lesser General", "2.1", "2.1"),
+        ("LGPL-3.0", "Lesser General", "3", "3"), ("AGPL-3.0", "Affero General", "3", "3")):
+    NOTICES[_name] = f"This work is licensed under the GNU {_kind} Public License, version {_version}."
+    NOTICES[f"{_name}-text"] = (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of "
+        f"the GNU {_kind} Public License as published by the Free Software Foundation, either version "
+        f"{_written} of the License, or (at your option) any later version.")
+for _name, _date in (("GPL-2.0", "Version 2, June 1991"), ("GPL-3.0", "Version 3, 29 June 2007"),
+                     ("LGPL-2.1", "Version 2.1, February 1999"),
+                     ("LGPL-3.0", "Version 3, 29 June 2007"),
+                     ("AGPL-3.0", "Version 3, 19 November 2007")):
+    _kind = {"L": "LESSER ", "A": "AFFERO "}.get(_name[0], "")
+    NOTICES[f"{_name}-body"] = (
+        f"GNU {_kind}GENERAL PUBLIC LICENSE {_date} Copyright (C) {_date.split()[-1]} Free Software "
+        "Foundation, Inc.")
+NOTICES["Apache-2.0-body"] = (
+    "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR "
+    "USE, REPRODUCTION, AND DISTRIBUTION")
+NOTICES["MPL-2.0-body"] = "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\""
+for _version, _port in (("4.0", "International"), ("3.0", "Unported")):
+    for _name, _kind in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
+                         ("BY-ND", "Attribution-NoDerivatives"),
+                         ("BY-NC", "Attribution-NonCommercial"),
+                         ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                         ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+        NOTICES.setdefault(f"CC-{_name}-{_version}", f"Licensed under CC {_name} {_version}.")
+        NOTICES.setdefault(
+            f"CC-{_name}-{_version}-text",
+            f"This work is licensed under a Creative Commons {_kind} {_version} {_port} License.")
+
+# Names and clauses, by what they say: a match has those of its template and no others.
+TELLING = {w: w for w in ("mit isc apache bsd boost affero lesser unencumbered").split()} | {
+    "mozilla": "mpl", "mpl": "mpl", "nc": "nc", "noncommercial": "nc", "commercial": "nc", "nd": "nd",
+    "noderivatives": "nd", "noderivs": "nd", "sa": "sa", "sharealike": "sa", "agpl": "affero",
+    "lgpl": "lesser"}
 
 
 def _apart() -> np.ndarray:
@@ -82,7 +144,10 @@ class Templates:
     def __init__(self, notices: dict[str, str]):
         batch = pa.RecordBatch.from_arrays([pa.array(list(notices.values()), pa.string())],
                                            names=["text"])
-        self.names, self.words = [], []
+        self.names, self.words, self.digits, self.tells = [], [], [], []
+        telling = next(tx.blocks(pa.RecordBatch.from_arrays([pa.array([" ".join(TELLING)])],
+                                                            names=["text"]), "text"))
+        self.telling = dict(zip(tx.words(telling, True, APART).code.tolist(), TELLING.values()))
         code, template, place = [], [], []
         for block in tx.blocks(batch, "text"):
             found = tx.words(block, True, APART)
@@ -97,6 +162,10 @@ class Templates:
                 place.append(at)
                 self.names.append(list(notices)[block.first + i])
                 self.words.append(own)
+                at = range(found.limits[i], found.limits[i + 1])
+                self.digits.append({int(found.code[w]) for w in at if any(
+                    48 <= c <= 57 for c in block.data[found.start[w]:found.end[w]].tolist())})
+                self.tells.append(self.said(own))
         join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
         code = join(code, tx.U64)
         order = np.argsort(code, kind="stable")
@@ -105,6 +174,13 @@ class Templates:
         # Templates shorter than a gram are indexed by runs of their own length.
         self.sizes = sorted({min(GRAM, len(w)) for w in self.words})
 
+    def said(self, words: np.ndarray) -> set[str]:
+        return {self.telling[w] for w in words.tolist() if w in self.telling}
+
+    def told(self, k: int, words: np.ndarray) -> bool:
+        """Whether a stretch of a text has the versions, names and clauses of a template."""
+        return self.digits[k] <= set(words.tolist()) and self.said(words) == self.tells[k]
+
 
 def _grams(words: np.ndarray, n: int | None = None) -> np.ndarray:
     n = min(GRAM, len(words)) if n is None else n
@@ -188,7 +264,7 @@ def matches(known: Templates, block: tx.Block, least: float):
         step = max(4 * size, 64)
         for low in range(lo, hi + 1, step):
             count, s, e = aligned(known.words[k], own, low, min(low + step + size, hi))
-            if count >= least * size and e > s:
+            if count >= least * size and e > s and known.told(k, own[s:e]):
                 word = found.limits[t] + np.array((s, e - 1))
                 out.append((t, k, count / size,
                             int(point[found.start[word[0]]] - point[block.limits[t]]),

@@ -380,6 +380,33 @@ def test_licenses_whole_changed_and_repeated(spark, odd, empty):
             .collect()} == {0}
 
 
+def test_licenses_of_like_wording(spark):
+    said = {
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0"},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+        "This work is licensed under the GNU Affero General Public License, version 3.": {"AGPL-3.0"},
+        "Licensed under the Apache License, Version 1.1.": {"Apache-1.1"},
+        "Licensed under the Apache License, Version 2.0.": {"Apache-2.0"},
+        "Licensed under the Mozilla Public License, Version 2.0.": {"MPL-2.0"},
+        "Licensed under CC BY 4.0": {"CC-BY-4.0"}, "Licensed under CC BY-SA 4.0": {"CC-BY-SA-4.0"},
+        "Licensed under CC BY-NC 4.0": {"CC-BY-NC-4.0"},
+        "Licensed under CC BY-NC-SA 3.0": {"CC-BY-NC-SA-3.0"},
+        "Released under the ISC License.": {"ISC"}, "Released under the MIT License.": {"MIT"},
+        "Released under the Other License.": set(),
+        "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1991 Free Software "
+        "Foundation, Inc.": {"GPL-2.0-body"},
+    }
+    df = spark.createDataFrame([(i, f"words before {t} words behind") for i, t in enumerate(said)],
+                               "doc_id long, text string")
+    got = {r["doc_id"]: {m["license"] for m in r["matches"]}
+           for r in licenses.scan(df, ["doc_id"]).collect()}
+    assert got == dict(enumerate(said.values()))
+    every = spark.createDataFrame(list(licenses.NOTICES.items()), "name string, text string")
+    for r in licenses.scan(every, ["name"]).collect():
+        assert r["name"] in {m["license"] for m in r["matches"] if m["coverage"] == 1}
+
+
 # --- language --------------------------------------------------------------------------
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
