@@ -13,8 +13,9 @@ are dealt into parts of ITEM_CHARS characters and every part meets every text.
 
 Defined results: null or empty texts have no hits; items without any letter or
 digit are never found; items shorter than q are compared by grams of their own
-length and without edits; items with equal texts are all reported; a row given
-twice has its hits twice; other columns are kept.
+length and without edits, also inside words, so chance may find them: a caller who
+drops texts asks for items of `least` characters; items with equal texts are all
+reported; a row given twice has its hits twice; other columns are kept.
 """
 
 from __future__ import annotations
@@ -51,13 +52,13 @@ def budget(m: int, q: int = Q, rate: float = EDITS) -> int:
 class Items:
     """The items of one part with an index of their grams."""
 
-    def __init__(self, ids: list, texts: list[str], q: int, rate: float):
+    def __init__(self, ids: list, texts: list[str], q: int, rate: float, least: int = 1):
         self.ids, self.points, self.edits, self.need, self.q = [], [], [], [], []
         for name, text in zip(ids, texts):
             points = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
             points = folded(points)
             points = points[points > 0]
-            if not len(points):
+            if len(points) < max(least, 1):
                 continue
             m = len(points)
             own = min(q, m)
@@ -180,9 +181,10 @@ def hits(items: Items, points: np.ndarray, limits: np.ndarray):
     return [(t, items.ids[w], a, z, edits) for (t, w), (a, z, edits) in sorted(out.items())]
 
 
-def _search(parts: list, kept: list[str], text: str, out: str, q: int, rate: float):
+def _search(parts: list, kept: list[str], text: str, out: str, q: int, rate: float,
+            least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = [Items(ids, texts, q, rate) for ids, texts in parts]
+        ready = [Items(ids, texts, q, rate, least) for ids, texts in parts]
         for batch in batches:
             for block in tx.blocks(batch, text):
                 chars = tx.characters(block)
@@ -209,8 +211,9 @@ _HITS = "array<struct<item_id: long, start: long, end: long, edits: long>>"
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", *,
          item: str = "item_id", item_text: str = "text", q: int = Q, rate: float = EDITS,
-         item_chars: int = ITEM_CHARS, out: str = "hits") -> DataFrame:
-    """The columns `keep` of every row and, in column `out`, its items with span and edits."""
+         item_chars: int = ITEM_CHARS, out: str = "hits", least: int = 1) -> DataFrame:
+    """The columns `keep` of every row and, in column `out`, its items of at least `least`
+    letters and digits, with span and edits."""
     if out in keep:
         raise ValueError(f"the rows already have a column {out}")
     items = benchmark.select(F.col(item).cast("long").alias("item_id"),
@@ -220,7 +223,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     rows = docs.select(*columns)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     if total <= item_chars:
-        return rows.mapInArrow(_search([_part(items)], keep, name, out, q, rate),
+        return rows.mapInArrow(_search([_part(items)], keep, name, out, q, rate, least),
                                f"{kinds}, `{out}` {_HITS}")
     # Too many to send at once: each pass sends one part, chosen by the code of its id,
     # and adds what it finds to the row.
@@ -231,7 +234,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(parts)) == part)
         so_far = so_far.mapInArrow(
-            _search([_part(own)], [*carried, "__so_far"], name, "__new", q, rate),
+            _search([_part(own)], [*carried, "__so_far"], name, "__new", q, rate, least),
             f"{all_kinds}, __so_far {_HITS}, __new {_HITS}").select(
             *(f"`{c}`" for c in carried), F.concat("__so_far", "__new").alias("__so_far"))
     return so_far.select(*(f"`{c}`" for c in keep), F.col("__so_far").alias(out))

@@ -78,6 +78,19 @@ def test_near_duplicates_with_shared_and_null_ids(spark):
             [(1, a), (1, b), (None, c), (3, None), (4, "")], key=str)
 
 
+def test_short_items_drop_no_document(spark, tmp_path):
+    long = "which of these seven planets is the largest one"
+    spark.createDataFrame([(1, "42"), (2, "yes"), (3, long)], "item_id long, text string") \
+        .write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, "its eyes saw 1421 birds"), (2, f"asked: {long}? yes"),
+                                  (3, "yes, 42")], "doc_id long, text string")
+    kept = pipeline.keep_uncontaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
+    got = QUERIES["op6_decontaminate"]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["n_hits"] for r in got(spark, str(tmp_path)).collect()} == {1: 2, 2: 2, 3: 2}
+
+
 def test_registered():
     import __spark_entry__ as contract
     assert contract.queries()["pipeline"] is pipeline.run
