@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, jaccard, language, licenses, mixing, neighbours, pii, quality,
-               substrings)
+from . import (chat, decontaminate, filter_audit, infill, jaccard, language, licenses, mixing,
+               neighbours, pii, quality, secret_scan, substrings)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents"), ["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_tagger": op2_pii_tagger,
@@ -108,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_block_neighbours": op9_block_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_infill": op13_infill,
 }
 
 ORACLES: dict[str, str] = {
@@ -239,4 +260,118 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_remove
     list_select(words, list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(places, j)))
     END, ' ')) AS kept_sha256
 FROM w LEFT JOIN hit USING (doc_id)""",
+    "op11_secret_scan": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+p(kind, name, pattern, grp) AS (VALUES
+  (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
+  (1, 'access', '(AKIA[A-Z0-9]+)', 1), (2, 'hex', '([0-9a-f]+)', 1),
+  (3, 'random_hex', '([0-9A-Fa-f]{20,})', 1), (4, 'random_base64', '([A-Za-z0-9+/_=-]{20,})', 1)),
+e AS (
+  SELECT r, kind, name,
+    CASE kind WHEN 0 THEN regexp_extract_all(t, (SELECT pattern FROM p WHERE kind = 0))
+      WHEN 1 THEN regexp_extract_all(t, 'AKIA[A-Z0-9]+') WHEN 2 THEN regexp_extract_all(t, '[0-9a-f]+')
+      WHEN 3 THEN regexp_extract_all(t, '[0-9A-Fa-f]{20,}')
+      ELSE regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}') END AS said,
+    CASE kind WHEN 0 THEN regexp_extract_all(t, (SELECT pattern FROM p WHERE kind = 0), 2) END AS inner_said,
+    CASE kind WHEN 0 THEN regexp_split_to_array(t, (SELECT pattern FROM p WHERE kind = 0))
+      WHEN 1 THEN regexp_split_to_array(t, 'AKIA[A-Z0-9]+') WHEN 2 THEN regexp_split_to_array(t, '[0-9a-f]+')
+      WHEN 3 THEN regexp_split_to_array(t, '[0-9A-Fa-f]{20,}')
+      ELSE regexp_split_to_array(t, '[A-Za-z0-9+/_=-]{20,}') END AS gaps
+  FROM d, p),
+u AS (
+  SELECT r, kind, name, unnest(said) AS said, unnest(coalesce(inner_said, said)) AS inner_said,
+    unnest(gaps[:len(said)]) AS gap, unnest(range(1, len(said) + 1)) AS i FROM e WHERE len(said) > 0),
+m AS (
+  SELECT r, kind, name, said, inner_said, CAST(sum(length(gap) + length(said))
+    OVER (PARTITION BY r, kind ORDER BY i ROWS UNBOUNDED PRECEDING) AS BIGINT) AS e FROM u),
+base AS (
+  SELECT r, kind, name, e - length(said) AS s, e FROM m
+  WHERE kind = 0 AND length(inner_said) >= 6 OR kind = 1 AND length(said) >= 20
+    OR kind = 2 AND length(said) >= 24),
+c AS (
+  SELECT r, kind, name, said, e - length(said) AS s FROM m WHERE kind > 2
+    AND NOT regexp_full_match(said, '[A-Za-z+/_=-]+') AND NOT regexp_full_match(said, '[0-9+/_=-]+')
+    AND NOT regexp_full_match(said, '[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}')
+    AND NOT regexp_matches(lower(said), 'example|sample|placeholder|dummy|changeme|xxxx')),
+v AS (
+  SELECT r, kind, name, s, w, string_split(substr(said, w + 1, 20), '') AS chars
+  FROM (SELECT *, unnest(range(0, length(said) - 19)) AS w FROM c)),
+h AS (
+  SELECT r, kind, name, s, w FROM v
+  WHERE list_sum(list_transform(list_distinct(chars), lambda x: CAST(round(
+      len(list_filter(chars, lambda y: y = x)) * log2(len(list_filter(chars, lambda y: y = x))) * 1000000) AS BIGINT)))
+    <= 20 * (log2(20) - CASE kind WHEN 3 THEN 3.0 ELSE 3.75 END) * 1000000),
+a AS (SELECT r, kind, name, s + min(w) AS s, s + max(w) + 20 AS e FROM h GROUP BY r, kind, name, h.s),
+x AS (
+  SELECT r, kind, name, s, e FROM base
+  UNION ALL SELECT r, kind, name, s, e FROM a WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.r = a.r AND b.s < a.e AND a.s < b.e)),
+g AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
+    string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans FROM x GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)""",
+    "op12_filter_audit": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(
+    regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+first AS (SELECT t, min(doc_id) AS first FROM w GROUP BY t),
+l AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT part, good, toxic, list_filter([
+    CASE WHEN len(words) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN w.doc_id > first THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+  FROM w LEFT JOIN first USING (t) LEFT JOIN l ON l.doc_id = w.doc_id),
+m AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f GROUP BY part, fails),
+x(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o, unnest(range(1, 6)) AS step FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT part, o, step, o[step] AS own, fails, n, good, toxic, list_contains(fails, o[step]) AS bad,
+    list_has_any(fails, o[1:step - 1]) AS gone FROM m, o),
+r AS (
+  SELECT part, array_to_string(o, '') AS filter_order, CAST(step AS INTEGER) AS step, own,
+    coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0) AS kept,
+    coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (bad AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = [own]), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (bad AND NOT gone), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (bad AND NOT gone), 0) AS toxic_lost
+  FROM s GROUP BY part, o, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r""",
+    "op13_infill": r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    list_transform(regexp_extract_all(coalesce(text, ''),
+      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'), lambda x: length(x)) AS sizes FROM documents),
+c AS (
+  SELECT doc_id, t, sizes, len(sizes) AS n,
+    CAST('0x' || h[1:8] AS BIGINT) % (len(sizes) + 1) AS u, CAST('0x' || h[9:16] AS BIGINT) % (len(sizes) + 1) AS v,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+k AS (
+  SELECT doc_id, t, n, form, CAST(coalesce(list_sum(sizes[:least(u, v)]), 0) AS BIGINT) AS a,
+    CAST(coalesce(list_sum(sizes[:greatest(u, v)]), 0) AS BIGINT) AS b FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END)
+    AS output_sha256, sha256(t) AS restored_sha256 FROM k""",
 }
