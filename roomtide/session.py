@@ -90,10 +90,15 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a small intermediate table to the shared folder and read it back."""
+def materialise(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
+    """Write a small intermediate table to the shared folder and read it back.
+
+    Inside `scratch` it is dropped with the block; one that is to outlive the block, as
+    its result, goes with the block around it, if there is one.
+    """
     path = work_path(df.sparkSession, name)
-    if _scratch:
-        _scratch[-1].append(path)
+    around = _scratch[:-1] if outlive else _scratch
+    if around:
+        around[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
