@@ -10,6 +10,9 @@ from ..functions import fixed, scalars
 from ..functions.jsonx import field, json_map
 from ..sources import scans
 
+# Seconds that a client's clock may be off its arrival.
+CLOCK_OFF = 86400
+
 
 def flatten(df: DataFrame, text: str, columns: tuple[str, ...]) -> DataFrame:
     """Each row's JSON object as string columns, "" where a member is missing."""
@@ -119,9 +122,20 @@ def heartbeat_repair(api_log: DataFrame, start, end) -> DataFrame:
         .withColumn("logtime", scalars.iso_text(F.col("logtime"))).drop("record_type", "second")
 
 
-def route_by_event_date(rows: DataFrame, ts: str = "c_time") -> DataFrame:
-    """Add dt, the date of the row's own time, for one partitioned write."""
-    return rows.withColumn("dt", F.to_date(F.col(ts)))
+def event_date(said: Column, arrived: Column) -> Column:
+    """The day of a row by the clock text of its client. By its arrival where the text is
+    blank or no time, or more than a day from it, as that clock is wrong."""
+    own = F.try_to_timestamp(said)
+    near = F.abs(F.unix_seconds(own) - F.unix_seconds(arrived)) <= CLOCK_OFF
+    return F.to_date(F.when(near, own).otherwise(arrived))
+
+
+def route_by_event_date(rows: DataFrame, ts: str = "logtime",
+                        said: str | None = None) -> DataFrame:
+    """Add dt, the date of the row's own time, for one partitioned write: of the timestamp
+    `ts`, or, if one is named, of the clock text `said` that came at it."""
+    day = F.to_date(F.col(ts)) if said is None else event_date(F.col(said), F.col(ts))
+    return rows.withColumn("dt", day)
 
 
 def comment_feed(room_comment: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:

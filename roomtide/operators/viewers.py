@@ -40,8 +40,9 @@ def windows(sessions: DataFrame, now: Column | None = None, *keep: str) -> DataF
                            F.date_trunc("second", until).alias("win_end"), *keep)
 
 
-def session_heartbeats(heartbeat: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Room-video heartbeats of ended sessions, 12 columns, bounds included."""
+def session_heartbeats(heartbeat: DataFrame, sessions: DataFrame, *keep: str) -> DataFrame:
+    """Room-video heartbeats of ended sessions, 12 columns and those to keep, bounds
+    included."""
     ended = sessions.where(F.col("live_status") == fixed.ENDED).select(
         F.col("id").alias("live_id"), F.col("circle_id").alias("room"),
         "start_time", "end_time")
@@ -50,7 +51,7 @@ def session_heartbeats(heartbeat: DataFrame, sessions: DataFrame) -> DataFrame:
         "logtime")
     return covered_by(beats, ended, key=("extra_id", "room"), at="logtime").select(
         "live_id", "start_time", "end_time", "extra_id", "device_id", "uid", "ext",
-        "fr", "is_online", "p_uid", "c_time", F.lit(fixed.ROOM_VIDEO).alias("type"))
+        "fr", "is_online", "p_uid", "c_time", F.lit(fixed.ROOM_VIDEO).alias("type"), *keep)
 
 
 def viewer_dwell(heartbeat: DataFrame, spans: DataFrame, **join) -> DataFrame:

@@ -26,6 +26,10 @@ def _day_after(day: str) -> str:
     return (date.fromisoformat(day) + timedelta(days=1)).isoformat()
 
 
+def _day_before(day: str) -> str:
+    return (date.fromisoformat(day) - timedelta(days=1)).isoformat()
+
+
 def extract_slots(api_log: DataFrame, start: str, end: str, out: str, **options) -> None:
     """Slot events of the days start..end into their day partitions, in one pass."""
     days = api_log.where((F.col("log_time") >= F.lit(start).cast("timestamp"))
@@ -44,14 +48,18 @@ def extract_session_heartbeats(heartbeat: DataFrame, session: DataFrame, start:
                                end: str, out: str) -> None:
     """Heartbeats of ended sessions on the days start..end, whatever day a session began.
 
-    Only these days are written, and whole: a session over midnight is read for both of
-    its days.
+    Only these days are written, and whole. A row's day is that of its client's clock, which
+    may be a day off its arrival, so a day more is read on either side: each row is written
+    by the runs of its own day, whatever their order.
     """
-    first, after = (F.lit(d).cast("timestamp") for d in (start, _day_after(end)))
+    first, after = (F.lit(d).cast("timestamp") for d in (_day_before(start),
+                                                         _day_after(_day_after(end))))
     overlapping = session.where((F.col("start_time") < after) & (F.col("end_time") >= first))
     rows = vw.session_heartbeats(heartbeat.where((F.col("logtime") >= first)
-                                                 & (F.col("logtime") < after)), overlapping)
-    sinks.replace_days(records.route_by_event_date(rows), out, start, end)
+                                                 & (F.col("logtime") < after)), overlapping,
+                                 "logtime")
+    sinks.replace_days(records.route_by_event_date(rows, said="c_time").drop("logtime"), out,
+                       start, end)
 
 
 def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,

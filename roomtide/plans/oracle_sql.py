@@ -23,11 +23,22 @@ def micro_text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+# The day of a client's clock text, or of the arrival where that is none or a day off.
+CLIENT_DAY = """strftime(CASE WHEN abs(epoch_us(try_cast(h.c_time AS TIMESTAMP)) // 1000000
+          - epoch_us(h.logtime) // 1000000) <= 86400 THEN CAST(h.c_time AS TIMESTAMP)
+          ELSE h.logtime END, '%Y-%m-%d')"""
+
+
 def hb(scale: int = 1) -> str:
     at = "ts" if scale == 1 else \
         f"make_timestamp({BASE} + (epoch_us(ts) - {BASE}) // {scale})"
     return f"""hb AS (
-  SELECT event_id, {sec_text('t')} AS c_time,
+  SELECT event_id, CASE WHEN event_id % 29 = 0 THEN ''
+      WHEN event_id % 31 = 0 THEN CAST(epoch_us(t) // 1000000 AS VARCHAR)
+      WHEN event_id % 37 = 0 THEN {sec_text('t - INTERVAL 40 DAY')}
+      WHEN event_id % 19 = 0 THEN {sec_text('t - INTERVAL 2 HOUR')}
+      WHEN event_id % 23 = 0 THEN {sec_text('t + INTERVAL 90 MINUTE')}
+      ELSE {sec_text('t')} END AS c_time,
     CASE WHEN event_id % 11 = 0 THEN '' ELSE 'd' || regexp_extract(props, '[0-9]+') END AS device_id,
     '{{"is_small_window":"' || CAST(event_id % 2 AS VARCHAR) || '"}}' AS ext,
     CASE WHEN event_id % 53 = 0 THEN 'null' WHEN event_id % 47 = 0 THEN '' ELSE event_type END AS extra_id,
@@ -536,11 +547,11 @@ ORACLES = {
         FROM hb h JOIN ses s ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
         WHERE s.live_status = 0 AND h.type = {VIDEO}""",
     "route_by_event_date": f"""WITH {hb()}, {SES} SELECT s.id AS live_id, h.device_id, h.uid, h.c_time,
-        substring(h.c_time, 1, 10) AS dt FROM hb h JOIN ses s
+        {CLIENT_DAY} AS dt FROM hb h JOIN ses s
         ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
         WHERE s.live_status = 0 AND h.type = {VIDEO}""",
     "session_heartbeats_days": f"""WITH {hb()}, {SES} SELECT s.id AS live_id, h.device_id, h.uid,
-        h.c_time, substring(h.c_time, 1, 10) AS dt FROM hb h JOIN ses s
+        h.c_time, {CLIENT_DAY} AS dt FROM hb h JOIN ses s
         ON h.extra_id = s.circle_id AND h.logtime BETWEEN s.start_time AND s.end_time
         WHERE s.live_status = 0 AND h.type = {VIDEO}""",
     "heartbeat_repair_merge": f"""WITH {API}, rp AS ({REPAIR}) SELECT c_time, device_id, ext, extra_id,

@@ -223,8 +223,9 @@ def report_tsv(g: Given) -> DataFrame:
 def session_heartbeats_days(g: Given) -> DataFrame:
     """The job run for the first half of the month and then for days around the 15th."""
     path = g.path("session-heartbeats-days")
-    days = [str(d) for d in g.heartbeat.agg(F.min(F.to_date("logtime")),
-                                            F.max(F.to_date("logtime"))).first()]
+    # Clocks of clients are up to a day off.
+    days = [str(d) for d in g.heartbeat.agg(F.date_sub(F.min(F.to_date("logtime")), 1),
+                                            F.date_add(F.max(F.to_date("logtime")), 1)).first()]
     for start, end in ((days[0], "2024-01-15"), ("2024-01-14", "2024-01-16"),
                        ("2024-01-16", days[1])):
         jobs.extract_session_heartbeats(g.heartbeat, g.session, start, end, path)
@@ -352,7 +353,8 @@ def session_heartbeats(g: Given) -> DataFrame:
 
 
 def route_by_event_date(g: Given) -> DataFrame:
-    return records.route_by_event_date(session_heartbeats(g)).select(
+    beats = vw.session_heartbeats(g.heartbeat, g.session, "logtime")
+    return records.route_by_event_date(beats, said="c_time").select(
         "live_id", "device_id", "uid", "c_time", "dt")
 
 

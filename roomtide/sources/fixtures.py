@@ -68,6 +68,17 @@ def _scaled(ts: Column, scale: int) -> Column:
     return F.timestamp_micros(base + F.floor((F.unix_micros(ts) - base) / scale))
 
 
+def _client_time(at: Column) -> Column:
+    """What clients say the time is: mostly right, some fast or slow, some far off, no time
+    or nothing."""
+    i = "event_id"
+    return (F.when(_mod(i, 29) == 0, "").when(_mod(i, 31) == 0, _text(F.unix_seconds(at)))
+            .when(_mod(i, 37) == 0, scalars.second_text(at - F.expr("INTERVAL 40 DAYS")))
+            .when(_mod(i, 19) == 0, scalars.second_text(at - F.expr("INTERVAL 2 HOURS")))
+            .when(_mod(i, 23) == 0, scalars.second_text(at + F.expr("INTERVAL 90 MINUTES")))
+            .otherwise(scalars.second_text(at)))
+
+
 def heartbeat_rows(events: DataFrame, time_scale: int = 1) -> DataFrame:
     """The 16 heartbeat columns, plus event_id for the replay fixtures."""
     i = "event_id"
@@ -78,7 +89,7 @@ def heartbeat_rows(events: DataFrame, time_scale: int = 1) -> DataFrame:
     )
     return events.withColumn("logtime", _scaled(F.col("ts"), time_scale)).select(
         i,
-        scalars.second_text(F.col("logtime")).alias("c_time"),
+        _client_time(F.col("logtime")).alias("c_time"),
         F.when(_mod(i, 11) == 0, "")
         .otherwise(F.concat(F.lit("d"), F.get_json_object("props", "$.k"))).alias("device_id"),
         F.concat(F.lit('{"is_small_window":"'), _text(_mod(i, 2)), F.lit('"}')).alias("ext"),

@@ -206,3 +206,24 @@ def test_plans(spark, sf_dir):
     assert plan("api_log_token_scan").count("Relation [") == 1
     assert "day" in [x for x in plan("online_now").splitlines() if "Window [lead" in x][0]
     assert "_day" in [x for x in plan("peak_online_running").splitlines() if "Window [max(online" in x][0]
+
+
+def test_clocks_of_clients_across_midnight_blank_or_wrong(spark, tmp_path):
+    """Every row is on its own day once, whatever the order of the runs."""
+    sessions = table(spark, "session", [show(1, day(4, 10), day(8, 10))])
+    at, said = day(6, 0, 0, 1), day(5, 23, 59, 59)
+    clocks = [(at, str(said), "05"), (day(5, 23, 59, 59), str(day(6, 0, 0, 1)), "06"),
+              (day(5, 12), "", "05"), (day(6, 12), "1704542400", "06"), (day(6, 13), None, "06"),
+              (day(6, 14), "2023-12-01 00:00:00", "06"), (day(7, 0), str(day(6, 0)), "06"),
+              (day(7, 0, 0, 1), str(day(6, 0)), "07"), (day(6, 15), "soon", "06")]
+    beats = table(spark, "heartbeat", [(s, *beat(t, device=f"d{i}")[1:])
+                                       for i, (t, s, _) in enumerate(clocks)])
+    want = sorted((f"d{i}", f"2024-01-{d}") for i, (_, _, d) in enumerate(clocks))
+    days = [f"2024-01-0{d}" for d in range(4, 9)]
+    for n, order in enumerate((days, days[::-1], [*days[::2], *days[1::2], *days])):
+        out = str(tmp_path / str(n))
+        for d in order:
+            jobs.extract_session_heartbeats(beats, sessions, d, d, out)
+        got = spark.read.parquet(out)
+        assert rows(got.select("device_id", F.col("dt").cast("string"))) == want
+        assert "logtime" not in got.columns
