@@ -6,14 +6,19 @@ CRF adds transitions between tags, and the best path is taken. It is trained in
 numpy from labelled spans: the base spans of a bounded sample of documents, part
 of them rewritten in other notations, and text without any.
 
-A text is read in overlapping windows. What the windows say is reconciled over the
-whole text: a window's span that its edge cuts is dropped, as a neighbour holds it
-whole; equal spans are one; of overlapping spans the base ones stay, then the
-better scored. An added span must hold a digit or an `@` and pass its kind's
-check, so windows without either cannot add anything and are not decoded.
+A text is read in overlapping windows. An added span must hold a digit or an `@` and
+pass its kind's check, so windows are laid around these characters: each has MARGIN
+characters on both sides in some window, so a span of up to MARGIN is held whole
+wherever it stands, and text far from them is not decoded. What the windows say is
+reconciled over the whole text: pieces of a longer span, cut by the edges of windows
+that overlap, are joined; a piece that does not go on in the next window is dropped;
+equal spans are one; of overlapping spans the base ones stay, then the better scored.
 
 Defined results: a null or empty text has no spans; spans are in code points, end
-exclusive; a row given twice has the same spans twice; other columns are kept.
+exclusive; a row given twice has the same spans twice; very long texts are read whole,
+window by window; an empty table gives no rows, and a network that was trained on no
+rows is a random one; other columns are kept, and one that has the name of a result is
+an error unless a prefix is given.
 """
 
 from __future__ import annotations
@@ -147,8 +152,10 @@ _NEVER = -1e4
 
 # --- the network -----------------------------------------------------------------------
 HIDDEN = 16
+# Characters of a training window, and of one that is decoded.
 WINDOW = 128
-OVERLAP = 64
+STRETCH = 768
+MARGIN = 200
 
 
 def new_network(seed: int) -> dict[str, np.ndarray]:
@@ -293,8 +300,10 @@ def best_paths(p, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 # --- training data ---------------------------------------------------------------------
-# Bounds on the documents that spans are learned from, and on the windows made of them.
+# Bounds on the documents that spans are learned from, on the spans of each, and on the
+# windows made of them.
 SAMPLE_DOCS = 1500
+SAMPLE_SPANS = 4
 SAMPLE_WINDOWS = 640
 
 
@@ -363,9 +372,10 @@ def windows_of(texts: list[str], bound: int = SAMPLE_WINDOWS, seed: int = 5):
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text",
-          sample: int = SAMPLE_DOCS) -> dict[str, np.ndarray]:
-    """A tagger from a bounded sample: of the documents with base spans, the surroundings
-    of those spans in the `sample` whose keys have the smallest codes."""
+          sample: int = SAMPLE_DOCS, spans: int = SAMPLE_SPANS) -> dict[str, np.ndarray]:
+    """A tagger from a bounded sample: the surroundings of the first `spans` base spans, or
+    of the middle where there are none, of the documents whose keys have the smallest codes,
+    `sample` surroundings in all."""
     n = docs.count()
     share = min(1.0, 4 * sample / max(n, 1))
     code = F.xxhash64(F.col(key))
@@ -373,22 +383,27 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text",
             # The codes are spread evenly, so this share of them is this share of rows.
             .where(F.pmod(code, F.lit(1_000_000)) < F.lit(int(np.ceil(share * 1_000_000))))
             .select(code.alias("code"), F.col(text).alias("text"))
-            .mapInArrow(_surroundings, "code long, text string")
+            .mapInArrow(_surroundings(spans), "code long, text string")
             .orderBy("code", "text").limit(sample).collect())
     x, y = windows_of([r["text"] for r in rows])
     return learn(x, y)
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        codes, pieces = [], []
-        for code, text in zip(batch.column("code").to_pylist(), batch.column("text").to_pylist()):
-            spans = base_spans(text)[:4] or [(0, len(text) // 2, len(text) // 2)]
-            for _, a, b in spans:
-                codes.append(code)
-                pieces.append(text[max(0, a - 160):b + 160])
-        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(pieces)],
-                                         names=["code", "text"])
+def _surroundings(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, pieces = [], []
+            for code, text in zip(batch.column("code").to_pylist(),
+                                  batch.column("text").to_pylist()):
+                spans = base_spans(text)[:most] or [(0, len(text) // 2, len(text) // 2)]
+                for _, a, b in spans:
+                    codes.append(code)
+                    pieces.append(text[max(0, a - 160):b + 160])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes, pa.int64()), pa.array(pieces, pa.string())],
+                names=["code", "text"])
+
+    return run
 
 
 # --- decoding --------------------------------------------------------------------------
@@ -413,53 +428,85 @@ def plausible(kind: int, said: str, before: str, after: str) -> bool:
     return 10 <= digits <= 15 and len(re.findall("[0-9]+", said)) >= 3
 
 
-def _window_starts(flags: np.ndarray) -> np.ndarray:
-    """Starts of the windows of one text that hold a flagged character."""
-    stride = WINDOW - OVERLAP
-    at = np.flatnonzero(flags) // stride
-    first = np.unique(np.concatenate((at, at - 1)))
-    return first[first >= 0] * stride
+def windows_around(flags: np.ndarray) -> list[tuple[int, int]]:
+    """Windows in which every flagged character has MARGIN others, or the end of the text, on
+    either side. They depend on what stands between the flags, not on where that begins."""
+    at, out, i = np.flatnonzero(flags), [], 0
+    while i < len(at):
+        begin = max(0, int(at[i]) - MARGIN)
+        i = int(np.searchsorted(at, max(int(at[i]) + 1, begin + STRETCH - MARGIN)))
+        out.append((begin, min(len(flags), int(at[i - 1]) + MARGIN + 1)))
+    return out
+
+
+Piece = tuple[int, int, int, float, bool, bool]
+
+
+def pieces_of(path: np.ndarray, margin: np.ndarray, begin: int, end: int,
+              size: int) -> list[Piece]:
+    """(kind, start, end, score, cut before, cut behind) of the tags of a window begin..end
+    of a text of `size` characters."""
+    out, t, n = [], 0, end - begin
+    while t < n:
+        tag = int(path[t])
+        # An inside tag begins a piece only where the window cuts off what is before.
+        if tag == 0 or tag % 2 == 0 and t > 0:
+            t += 1
+            continue
+        kind, stop = (tag - 1) // 2, t + 1
+        while stop < n and path[stop] == 2 + 2 * kind:
+            stop += 1
+        if tag % 2 or begin > 0:
+            out.append((kind, begin + t, begin + stop, float(margin[t:stop].mean()),
+                        t == 0 and begin > 0, stop == n and end < size))
+        t = stop
+    return out
+
+
+def joined(pieces: list[Piece]) -> list[tuple]:
+    """Spans of the pieces of one text: those no edge cuts, and those made of pieces that
+    overlap where edges cut them."""
+    out = [p[:4] for p in pieces if not (p[4] or p[5])]
+    going: dict[int, Piece] = {}
+    for p in sorted((p for p in pieces if p[4] or p[5]), key=lambda p: (p[1], p[2])):
+        kind, a, b, score, before, behind = p
+        have = going.get(kind)
+        if before:
+            if have is None or a > have[2]:
+                continue
+            n, m = have[2] - have[1], b - a
+            p = (kind, have[1], max(b, have[2]), (have[3] * n + score * m) / (n + m), False, behind)
+        if behind:
+            going[kind] = p
+        elif before:
+            out.append(p[:4])
+            del going[kind]
+    return out
 
 
 def added_spans(p, chars: tx.Characters, texts: list[str | None]) -> list[list[tuple]]:
     """(kind, start, end, score) that the tagger finds in each text of a block."""
     x = classes(chars.points)
     flag = (x == _DIGIT) | (x == 7 + _SINGLE.index("@"))
-    out: list[list[tuple]] = [[] for _ in texts]
+    pieces: list[list[Piece]] = [[] for _ in texts]
     hit = np.unique(np.searchsorted(chars.limits, np.flatnonzero(flag), side="right") - 1)
-    owner, start = [], []
-    for i in hit.tolist():
-        a, b = chars.limits[i], chars.limits[i + 1]
-        s = _window_starts(flag[a:b])
-        owner.append(np.full(len(s), i))
-        start.append(s)
-    if not owner:
-        return out
-    owner, start = np.concatenate(owner), np.concatenate(start)
-    for at in range(0, len(owner), 2048):
-        own, begin = owner[at:at + 2048], start[at:at + 2048]
-        place = (chars.limits[own] + begin)[:, None] + np.arange(WINDOW)
-        inside = place < chars.limits[own + 1][:, None]
+    windows = [(i, a, b) for i in hit.tolist()
+               for a, b in windows_around(flag[chars.limits[i]:chars.limits[i + 1]])]
+    # Windows of about one length are decoded together.
+    windows.sort(key=lambda w: w[2] - w[1])
+    for at in range(0, len(windows), 512):
+        own, begin, end = (np.array(c) for c in zip(*windows[at:at + 512]))
+        length = end - begin
+        place = (chars.limits[own] + begin)[:, None] + np.arange(length.max())
+        inside = np.arange(length.max()) < length[:, None]
         w = np.where(inside, x[np.minimum(place, len(x) - 1)], _PAD).T
         tags, margin = best_paths(p, emissions(p, w))
         tags = np.where(inside.T, tags, 0)
         for j in np.flatnonzero(tags.any(axis=0)).tolist():
-            i, base = int(own[j]), int(begin[j])
-            size = int(inside[j].sum())
-            path, t = tags[:, j], 0
-            last = base + size >= len(texts[i])
-            while t < size:
-                if path[t] == 0 or path[t] % 2 == 0:
-                    t += 1
-                    continue
-                kind, end = (int(path[t]) - 1) // 2, t + 1
-                while end < size and path[end] == path[t] + 1:
-                    end += 1
-                # Cut by the window: the neighbour that overlaps holds it whole.
-                if (t > 0 or base == 0) and (end < size or last):
-                    out[i].append((kind, base + t, base + end, float(margin[t:end, j].mean())))
-                t = end
-    return out
+            i = int(own[j])
+            pieces[i] += pieces_of(tags[:, j], margin[:, j], int(begin[j]), int(end[j]),
+                                   int(chars.limits[i + 1] - chars.limits[i]))
+    return [joined(own) for own in pieces]
 
 
 def reconcile(text: str, base: list[Span], more: list[tuple]) -> list[Span]:

@@ -1,6 +1,7 @@
 """Operators on single texts: brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import random
 import re
 import sys
@@ -179,6 +180,69 @@ def test_windows_without_digits_add_nothing(network):
     assert all(any(c.isdigit() or c == "@" for c in text[a:b]) for _, a, b, _ in spans)
 
 
+def long_email(n, k):
+    """A rewritten email of n characters, which the base pattern does not match."""
+    words = ("maria", "office", "north", "sales", "weber", "data", "lab", "contact", "team", "info")
+    name = ".".join(words[(k + i) % len(words)] for i in range(n // 10))[:n // 2 - 3]
+    host = ".".join(words[(k * 3 + i) % len(words)] for i in range(n // 4))
+    said = f"{name}[@]{host}"[:n - 4].rstrip(".") + ".org"
+    return said
+
+
+@pytest.mark.parametrize("n", [26, 64, 99, 140, 200])
+def test_pii_long_spans_are_found_alike_at_every_offset(network, n):
+    said = long_email(n, n)
+    assert len(said) <= n and not pii.base_spans(said)
+    near, after = "the note went out on monday and was then sent on to ", " and nobody else wrote " * 20
+    # Only how far from the beginning it stands differs.
+    texts = [("x" + " lorem ipsum dolor" * 70)[:at] + " " + near + said + after
+             for at in (*range(0, 260, 3), 700, 1111)]
+    more = pii.added_spans(network, tx.characters(block_of(*texts)), texts)
+    found = [any(text[a:b] == said for _, a, b in pii.reconcile(text, [], own))
+             for text, own in zip(texts, more)]
+    assert all(found) or not any(found), found
+    # The shorter ones are like those it was trained on.
+    assert all(found) or n > 64
+
+
+def test_pii_windows_hold_the_surroundings_of_every_flag():
+    rng = np.random.default_rng(3)
+    for n, share in ((1, 1), (50, 0.1), (5000, 0.001), (5000, 0.01), (5000, 0.5), (3000, 1)):
+        flags = rng.random(n) < share
+        windows = pii.windows_around(flags)
+        for at in np.flatnonzero(flags):
+            assert any(a <= max(0, at - pii.MARGIN) and min(n, at + pii.MARGIN + 1) <= b
+                       for a, b in windows)
+        assert all(b - a <= pii.STRETCH for a, b in windows)
+        assert sum(b - a for a, b in windows) <= 2.2 * n + 2 * pii.MARGIN
+
+
+def test_pii_pieces_cut_by_edges_are_joined():
+    path = np.array([4, 4, 0, 1, 2, 2, 0, 3, 4])
+    margin = np.ones(9)
+    assert pii.pieces_of(path, margin, 100, 109, 500) == [
+        (1, 100, 102, 1.0, True, False), (0, 103, 106, 1.0, False, False), (1, 107, 109, 1.0, False, True)]
+    assert pii.pieces_of(path, margin, 0, 9, 9) == [
+        (0, 3, 6, 1.0, False, False), (1, 7, 9, 1.0, False, False)]
+    whole = [(0, 5, 9, 1.0, False, False)]
+    chain = [(1, 50, 100, 1.0, False, True), (1, 60, 160, 3.0, True, True), (1, 120, 170, 2.0, True, False)]
+    assert sorted(pii.joined(whole + chain)) == [(0, 5, 9, 1.0), (1, 50, 170, pytest.approx(2.2292, abs=1e-4))]
+    # What does not go on, or does not overlap, is dropped.
+    assert pii.joined([chain[0], (0, 60, 160, 1.0, True, False), (1, 120, 170, 1.0, True, False)]) == []
+
+
+def test_pii_best_paths_by_enumeration():
+    rng = np.random.default_rng(7)
+    p = {"move": np.where(pii.ALLOWED, rng.normal(size=(pii.TAGS, pii.TAGS)), pii._NEVER)}
+    e = rng.normal(size=(4, 3, pii.TAGS)) * 2
+    tags, margin = pii.best_paths(p, e)
+    for j in range(3):
+        best = max(itertools.product(range(pii.TAGS), repeat=4), key=lambda way: sum(
+            e[t, j, way[t]] for t in range(4)) + sum(p["move"][way[t], way[t + 1]] for t in range(3)))
+        assert tags[:, j].tolist() == list(best)
+        assert np.allclose(margin[:, j], [e[t, j, best[t]] - e[t, j, 0] for t in range(4)])
+
+
 def test_pii_odd_rows(odd, empty, network):
     rows = pii.find(odd, network, odd.columns).collect()
     assert len(rows) == odd.count()
