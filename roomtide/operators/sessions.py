@@ -211,12 +211,17 @@ def refresh(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
 
 def planner_rollup(session: DataFrame, stored: DataFrame) -> DataFrame:
     """Totals per host over all eligible sessions; a session not stored adds zeros."""
+    return planner_totals(scans.planner_sessions(session), stored)
+
+
+def planner_totals(eligible: DataFrame, stored: DataFrame) -> DataFrame:
+    """The totals of the hosts of eligible sessions (lcs_id, live_id)."""
     summed = ("view_count", "view_count_robot", "comment_count", "comment_count_robot",
               "comment_peoples", "comment_peoples_robot")
     kept = stored.select(
         "live_id", "start_time", "end_time", "max_living_count", "gift_income", *summed)
     return (
-        scans.planner_sessions(session).join(kept, "live_id", "left").groupBy("lcs_id").agg(
+        eligible.join(kept, "live_id", "left").groupBy("lcs_id").agg(
             F.count("*").alias("notice_num"),
             F.sum(F.coalesce(scalars.span_seconds(F.col("start_time"), F.col("end_time")),
                              F.lit(0))).alias("live_times"),

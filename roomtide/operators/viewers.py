@@ -89,10 +89,14 @@ def first_seen(viewers: DataFrame) -> DataFrame:
             .agg(F.min("first_at").alias("first_at")))
 
 
+def earliest(seen: DataFrame) -> DataFrame:
+    """One row per room and uid of first-seen rows that may hold them again."""
+    return seen.groupBy("extra_id", "uid").agg(F.min("first_at").alias("first_at"))
+
+
 def merge_first_seen(known: DataFrame, seen: DataFrame) -> DataFrame:
     """Incremental form: the earlier time of the kept table and a new batch."""
-    return (known.unionByName(seen).groupBy("extra_id", "uid")
-            .agg(F.min("first_at").alias("first_at")))
+    return earliest(known.unionByName(seen))
 
 
 def uids_of_sessions(viewers: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -113,8 +117,10 @@ def uids_of_sessions(viewers: DataFrame, known: DataFrame | None = None) -> Data
     uids = uids.withColumn(
         "first", F.min("first_at").over(Window.partitionBy("extra_id", "uid")))
     if known is not None:
-        # The table may be kept in differences; only uids of these sessions are looked at.
-        asked = uids.select("extra_id", "uid").distinct()
+        # The table may hold a uid again; only uids of these sessions are looked at. They are
+        # asked for plainly, filter over scan, so that Spark can send a Bloom filter of them
+        # into the scan of a large table.
+        asked = viewers.where(F.col("uid") != "").select("extra_id", "uid")
         earlier = (known.join(asked, ["extra_id", "uid"], "left_semi")
                    .groupBy("extra_id", "uid").agg(F.min("first_at").alias("known")))
         uids = uids.join(earlier, ["extra_id", "uid"], "left") \

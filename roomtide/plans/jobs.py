@@ -17,8 +17,8 @@ from ..functions import args as checks
 from ..functions import fixed
 from ..operators import records, reports, rooms, sessions, slots
 from ..operators import viewers as vw
-from ..session import build_session, scratch
-from ..sources import readers, scans, sinks
+from ..session import build_session, materialise, scratch
+from ..sources import buckets, readers, scans, sinks
 from ..streaming import dwell, feeds, online, refresh
 
 
@@ -64,50 +64,54 @@ def extract_session_heartbeats(heartbeat: DataFrame, session: DataFrame, start:
 
 def compute_sessions(session: DataFrame, heartbeat: DataFrame, comment: DataFrame,
                      income: DataFrame, start: str, end: str, *, store: str, version: int,
-                     previous: DataFrame | None, now: Column, known: DataFrame | None = None,
-                     **options) -> None:
-    """Batch session metrics and everything kept from them.
+                     now: Column, **options) -> None:
+    """Batch session metrics and everything kept from them, as a version of the store.
 
-    Writes under `store`: metrics (keyed records), live_info (the upserted
-    table), viewers (identity sets with expiry), first_seen, planners.
+    Writes under `store` the bucketed tables metrics (keyed records), live_info (the
+    upserted table), viewers (identity sets with expiry), first_seen and planners; of each
+    only the buckets of these sessions, their uids and their hosts.
     """
     spark = session.sparkSession
     wanted = scans.sessions(session, start, end)
     with scratch(spark):
         viewers = vw.viewer_table(heartbeat, vw.windows(wanted))
-        metrics = sessions.session_metrics(wanted, heartbeat, comment, income, previous=previous,
-                                           known=known, viewers=viewers, **options)
-        kept = metrics if previous is None else records.upsert(
-            previous.select(*fixed.SESSION_METRICS), metrics, "live_id")
-        sinks.write_version(kept, f"{store}/metrics", version)
-        stored = sinks.read_version(spark, f"{store}/metrics", version)
-        fresh = stored.join(wanted.select(F.col("id").alias("live_id")), "live_id", "left_semi")
-        keep_totals(session, fresh, stored, now, store, version, viewers)
-        refresh.keep_seen(known, vw.first_seen(viewers), f"{store}/first_seen", version)
-
-
-def keep_totals(session: DataFrame, fresh: DataFrame, stored: DataFrame, now: Column,
-                store: str, version: int, viewers: DataFrame) -> None:
-    """The keyed table with the fresh records put over it, the totals per host, and the
-    identity sets: those of the sessions computed now and the older ones not yet expired."""
+        previous = buckets.read(spark, f"{store}/metrics", version - 1,
+                                buckets.touched(wanted, "id"))
+        known = refresh.known_of(spark, store, version - 1, viewers)
+        fresh = materialise(sessions.session_metrics(
+            wanted, heartbeat, comment, income, previous=previous, known=known, viewers=viewers,
+            **options), "fresh")
+        buckets.put(fresh, f"{store}/metrics", version, "live_id", over=refresh.put_record)
+        keep_totals(session, fresh, now, store, version, viewers)
+        refresh.keep_seen(known, vw.first_seen(viewers), store, version)
+
+
+def keep_totals(session: DataFrame, fresh: DataFrame, now: Column, store: str, version: int,
+                viewers: DataFrame) -> None:
+    """The keyed table with the fresh records put over it, the totals of the hosts of fresh
+    records, and the identity sets: those of the sessions computed now and, in their
+    buckets, the older ones not yet expired."""
     spark = session.sparkSession
-
-    def before(name: str) -> DataFrame | None:
-        there = version - 1 in sinks.versions(spark, f"{store}/{name}")
-        return sinks.read_version(spark, f"{store}/{name}", version - 1) if there else None
-
-    info, old = records.live_info(fresh, now), before("live_info")
-    if old is not None:
-        info = records.upsert(old, info, "notice_id", fixed.LIVE_INFO_INSERT_ONLY)
-    sinks.write_version(info, f"{store}/live_info", version)
-    sinks.write_version(sessions.planner_rollup(session, stored), f"{store}/planners", version)
-    sets, old = vw.with_expiry(vw.identity_set(viewers), now), before("viewers")
-    if old is not None:
+    buckets.put(records.live_info(fresh, now), f"{store}/live_info", version, "notice_id",
+                over=lambda old, new: records.upsert(old, new, "notice_id",
+                                                     fixed.LIVE_INFO_INSERT_ONLY))
+
+    # A host's total takes all its sessions, whose records may lie in any bucket.
+    asked = scans.planner_sessions(session).join(
+        fresh.select("lcs_id").distinct(), "lcs_id", "left_semi")
+    stored = buckets.read(spark, f"{store}/metrics", version, buckets.touched(asked, "live_id"))
+    if stored is not None:
+        buckets.put(sessions.planner_totals(asked, stored), f"{store}/planners", version, "lcs_id",
+                    over=lambda old, new: records.upsert(old, new, "lcs_id"))
+
+    def put_sets(old: DataFrame, new: DataFrame) -> DataFrame:
         rest = vw.unexpired(old, now).join(fresh.select("live_id"), "live_id", "left_anti")
-        sets = sets.unionByName(rest.select(*sets.columns))
-    sinks.write_version(sets, f"{store}/viewers", version)
+        return new.unionByName(rest.select(*new.columns))
+
+    buckets.put(vw.with_expiry(vw.identity_set(viewers), now), f"{store}/viewers", version,
+                "live_id", over=put_sets, also=buckets.touched(fresh, "live_id"))
     for name in ("live_info", "planners", "viewers"):
-        sinks.drop_versions(spark, f"{store}/{name}", version - refresh.KEEP_VERSIONS + 1)
+        buckets.prune(spark, f"{store}/{name}", version - refresh.KEEP_VERSIONS + 1)
 
 
 def snapshot_to_days(metrics: DataFrame, planners: DataFrame, dt: str, out: str) -> None:
@@ -148,9 +152,8 @@ def write_reports(api_log: DataFrame, start: str, end: str, out: str) -> None:
 def refresh_target(spark: SparkSession, tables: refresh.Tables, store: str,
                    now: Callable[[], Column] = F.current_timestamp, *, base: int = 0, **options):
     """foreachBatch target that keeps metrics, first_seen, live_info, planners and viewers."""
-    def also(fresh: DataFrame, stored: DataFrame, version: int, viewers: DataFrame,
-             at: Column) -> None:
-        keep_totals(tables.session(), fresh, stored, at, store, version, viewers)
+    def also(fresh: DataFrame, version: int, viewers: DataFrame, at: Column) -> None:
+        keep_totals(tables.session(), fresh, at, store, version, viewers)
 
     return refresh.refresher(spark, tables, store, now, base=base, also=also, **options)
 
@@ -241,18 +244,12 @@ def _run_batch(spark: SparkSession, given: argparse.Namespace) -> None:
     elif given.job == "reports":
         write_reports(table("api_log"), start, end, given.out)
     elif given.job == "snapshot":
-        snapshot_to_days(*(sinks.read_version(spark, f"{given.tables}/{name}")
+        snapshot_to_days(*(buckets.read(spark, f"{given.tables}/{name}")
                            for name in ("metrics", "planners")), end, given.out)
     else:
-        before = given.version - 1
-        previous = known = None
-        if before:
-            previous = sinks.read_version(spark, f"{given.out}/metrics", before)
-            known = sinks.read_difference(spark, f"{given.out}/first_seen", before)
         compute_sessions(table("session"), table("heartbeat"), table("comment"),
                          table("income"), start, end, store=given.out,
-                         version=given.version, previous=previous,
-                         now=F.current_timestamp(), known=known)
+                         version=given.version, now=F.current_timestamp())
 
 
 def _run_stream(spark: SparkSession, given: argparse.Namespace) -> None:
@@ -262,13 +259,13 @@ def _run_stream(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.job == "refresh":
         tables = refresh.Tables(*(table(n) for n in ("session", "heartbeat", "comment", "income")))
         if given.once:
-            base = max(sinks.versions(spark, f"{given.out}/metrics"), default=0)
+            base = buckets.newest(spark, f"{given.out}/metrics") or 0
             refresh_target(spark, tables, given.out, base=base)(None, 0)
             return
         # What the store held when the checkpoint was new is kept beside it for restarts.
         kept = f"{given.checkpoint}-base"
         if not sinks.versions(spark, kept):
-            newest = max(sinks.versions(spark, f"{given.out}/metrics"), default=0)
+            newest = buckets.newest(spark, f"{given.out}/metrics") or 0
             sinks.write_version(spark.range(1).select(F.lit(newest).alias("base")), kept, 0)
         base = sinks.read_version(spark, kept, 0).first()["base"]
         queries = [start_session_refresh(spark, tables, given.out, given.checkpoint, base=base)]

@@ -19,7 +19,7 @@ from ..functions.jsonx import field, json_map
 from ..operators import records, reports, rooms, sessions, slots
 from ..operators import viewers as vw
 from ..session import materialise, work_path
-from ..sources import fixtures, scans, sinks
+from ..sources import buckets, fixtures, scans, sinks
 from ..streaming import dwell, feeds, online, refresh
 from . import jobs
 
@@ -442,15 +442,15 @@ def comment_feed_stream(g: Given) -> DataFrame:
 def metrics_refresh_stream(g: Given) -> DataFrame:
     """The refresh driven by a stream of events: the store after the last tick."""
     store = g.path("metric-store")
-    sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 0)
-    sinks.write_version(g.known, f"{store}/first_seen/whole", 0)
+    buckets.put(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 0, "live_id")
+    buckets.put(g.known, f"{store}/first_seen", 0, "extra_id", "uid")
     tables = refresh.Tables(lambda: g.session, lambda: g.heartbeat,
                             lambda: g.comment, lambda: g.income)
     run = refresh.refresher(g.spark, tables, store, g.now)
     (fixtures.event_stream(g.spark, g.sf_dir).writeStream.foreachBatch(run)
      .option("checkpointLocation", g.path("metric-store-checkpoint"))
      .trigger(availableNow=True).start().awaitTermination())
-    return sinks.read_version(g.spark, f"{store}/metrics")
+    return buckets.read(g.spark, f"{store}/metrics")
 
 
 _BUILDERS: dict[str, Callable[[Given], DataFrame]] = {

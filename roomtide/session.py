@@ -85,6 +85,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
         if files.exists(where) else []
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with `*` and `{a,b}`."""
+    where, files = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in files.globStatus(where) or ())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where, files = _file_system(spark, path)
     files.delete(where, True)

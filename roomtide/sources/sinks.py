@@ -105,18 +105,3 @@ def drop_versions(spark: SparkSession, path: str, before: int) -> None:
     for v in versions(spark, path):
         if v < before:
             remove(spark, f"{path}/version={v}")
-
-
-def read_difference(spark: SparkSession, path: str, version: int) -> DataFrame | None:
-    """A table kept as differences: the newest whole one up to `version` and what was
-    added since; None if there is nothing yet."""
-    whole = [v for v in versions(spark, f"{path}/whole") if v <= version]
-    since = whole[-1] if whole else None
-    added = [v for v in versions(spark, f"{path}/added")
-             if v <= version and (since is None or v > since)]
-    parts = [read_version(spark, f"{path}/whole", since)] if whole else []
-    if added:
-        parts.append(spark.read.parquet(*(f"{path}/added/version={v}" for v in added)))
-    if not parts:
-        return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

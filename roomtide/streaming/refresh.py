@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from ..operators import records, sessions
 from ..operators import viewers as vw
 from ..session import scratch
-from ..sources import sinks
+from ..sources import buckets, scans, sinks
 
-# Versions of a table that are kept, and batches after which first_seen is written whole.
+# Versions that can still be read.
 KEEP_VERSIONS = 3
-WHOLE_EVERY = 60
 
 
 @dataclass(frozen=True)
@@ -47,58 +46,62 @@ def refresher(spark: SparkSession, tables: Tables, store: str, now: Callable[[],
               **options) -> Callable[[DataFrame, int], None]:
     """foreachBatch target: recompute open sessions and write the next store version.
 
-    The store is two tables below `store`: metrics, the records, in versions, and
-    first_seen, when each uid first came to a room, in differences. Either may be
-    missing at the start. Batch n reads version base + n and writes the one after, so a
-    repeated batch reads and writes the same versions; a few old ones are kept for that.
-    `base` is the version both tables had when the stream's checkpoint was new.
-    `also(fresh, stored, version, viewers, at)` writes what else is kept of a refresh.
+    The store is two bucketed tables below `store`: metrics, the records by session, and
+    first_seen, when each uid first came to a room. Either may be missing at the start.
+    Batch n reads version base + n and writes the one after, so a repeated batch reads and
+    writes the same versions; a few old ones are kept for that. Read and written are only
+    the buckets of the sessions that are polled and of the uids that were in them, however
+    large the store is. `base` is the version both tables had when the stream's checkpoint
+    was new. `also(fresh, version, viewers, at)` writes what else is kept of a refresh.
     """
     def run(_: DataFrame, number: int) -> None:
         version = base + number + 1
         at = time_of(spark, store, version, now)
-        previous = sinks.read_version(spark, f"{store}/metrics", version - 1) \
-            if version - 1 in sinks.versions(spark, f"{store}/metrics") else None
-        known = sinks.read_difference(spark, f"{store}/first_seen", version - 1)
         session, heartbeat = tables.session(), tables.heartbeat()
         with scratch(spark):
+            polled = scans.open_sessions(session, F.date_trunc("day", at))
+            previous = buckets.read(spark, f"{store}/metrics", version - 1,
+                                    buckets.touched(polled, "id"))
             wanted = sessions.still_open(session, previous, at)
             viewers = vw.viewer_table(heartbeat, vw.windows(wanted, at))
+            known = known_of(spark, store, version - 1, viewers)
             fresh = sessions.refresh(session, heartbeat, tables.comment(), tables.income(),
                                      previous, at, known=known, viewers=viewers, **options)
-            sinks.write_version(
-                fresh if previous is None else records.upsert(previous, fresh, "live_id"),
-                f"{store}/metrics", version)
-            keep_seen(known, vw.first_seen(viewers), f"{store}/first_seen", version)
+            buckets.put(fresh, f"{store}/metrics", version, "live_id", over=put_record)
+            keep_seen(known, vw.first_seen(viewers), store, version)
             if also:
-                stored = sinks.read_version(spark, f"{store}/metrics", version)
-                touched = wanted.select(F.col("id").alias("live_id"))
-                also(stored.join(touched, "live_id", "left_semi"), stored, version, viewers, at)
-        for name in ("metrics", "clock"):
-            sinks.drop_versions(spark, f"{store}/{name}", version - KEEP_VERSIONS + 1)
+                stored = buckets.read(spark, f"{store}/metrics", version,
+                                      buckets.touched(wanted, "id"))
+                if stored is not None:
+                    asked = wanted.select(F.col("id").alias("live_id"))
+                    also(stored.join(asked, "live_id", "left_semi"), version, viewers, at)
+        for name in ("metrics", "first_seen"):
+            buckets.prune(spark, f"{store}/{name}", version - KEEP_VERSIONS + 1)
+        sinks.drop_versions(spark, f"{store}/clock", version - KEEP_VERSIONS + 1)
     return run
 
 
-def keep_seen(known: DataFrame | None, seen: DataFrame, path: str, version: int) -> None:
-    """Add to the first-seen table what is earlier than it knows; now and then write it whole."""
-    spark = seen.sparkSession
+def put_record(stored: DataFrame, new: DataFrame) -> DataFrame:
+    return records.upsert(stored, new, "live_id")
+
+
+def known_of(spark: SparkSession, store: str, version: int, viewers: DataFrame) -> DataFrame | None:
+    """What the first-seen table holds in the buckets of these viewers."""
+    asked = viewers.where(F.col("uid") != "").select("extra_id", "uid")
+    return buckets.read(spark, f"{store}/first_seen", version,
+                        buckets.touched(asked, "extra_id", "uid"))
+
+
+def keep_seen(known: DataFrame | None, seen: DataFrame, store: str, version: int) -> None:
+    """Add to the first-seen table what is earlier than it knows."""
     new = seen
     if known is not None:
         # Only rooms and uids of this batch are compared.
-        earlier = vw.merge_first_seen(known.join(seen, ["extra_id", "uid"], "left_semi"),
-                                      seen.where("false")).withColumnRenamed("first_at", "_known")
+        earlier = vw.earliest(known.join(seen, ["extra_id", "uid"], "left_semi")) \
+            .withColumnRenamed("first_at", "_known")
         new = seen.join(earlier, ["extra_id", "uid"], "left").where(
             F.col("_known").isNull() | (F.col("first_at") < F.col("_known"))).drop("_known")
-    sinks.write_version(new, f"{path}/added", version)
-    if version % WHOLE_EVERY == 0:
-        whole = sinks.read_difference(spark, path, version)
-        sinks.write_version(vw.merge_first_seen(whole, seen.where("false")),
-                            f"{path}/whole", version)
-        # The whole one before stays for batches that are repeated.
-        before = [v for v in sinks.versions(spark, f"{path}/whole") if v < version]
-        if before:
-            sinks.drop_versions(spark, f"{path}/added", before[-1] + 1)
-            sinks.drop_versions(spark, f"{path}/whole", before[-1])
+    buckets.add(new, f"{store}/first_seen", version, "extra_id", "uid", merge=vw.earliest)
 
 
 def start(ticks: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str,

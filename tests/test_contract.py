@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from roomtide.functions import fixed
+from roomtide.operators import sessions
 from roomtide.plans import jobs
 from roomtide.plans.queries import Given, texts
 from roomtide.session import shared_dir
-from roomtide.sources import fixtures, sinks
+from roomtide.sources import buckets, fixtures, sinks
 from roomtide.streaming import online
 
 # ROOMTIDE_ALL=1 runs every query; the default is one of each kind.
@@ -70,22 +71,20 @@ def test_session_job_versions(spark, sf_dir, tmp_path):
     g, store = Given(spark, sf_dir), str(tmp_path / "store")
     now = [F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2)]
     tables = (g.session, g.heartbeat, g.comment, g.income)
-    jobs.compute_sessions(*tables, "2024-01-01", "2024-01-16", store=store, version=1,
-                          previous=None, now=now[0])
-    args = dict(store=store, version=2, now=now[1],
-                previous=sinks.read_version(spark, f"{store}/metrics", 1),
-                known=sinks.read_difference(spark, f"{store}/first_seen", 1))
+    jobs.compute_sessions(*tables, "2024-01-01", "2024-01-16", store=store, version=1, now=now[0])
     for _ in range(2):
-        jobs.compute_sessions(*tables, "2024-01-16", "2024-02-01", **args)
-    got = sinks.read_version(spark, f"{store}/metrics")
+        jobs.compute_sessions(*tables, "2024-01-16", "2024-02-01", store=store, version=2, now=now[1])
+    got = buckets.read(spark, f"{store}/metrics")
     # Two halves with the kept first-seen table give what one run over all gives.
     peak = [c for c in got.columns if c != "max_living_count"]
     assert rows(got.select(*peak), "live_id") == rows(g.metrics.select(*peak), "live_id")
-    info = sinks.read_version(spark, f"{store}/live_info")
+    info = buckets.read(spark, f"{store}/live_info")
     assert info.count() == got.count()
     assert {str(r[0])[:10] for r in info.select("c_time").distinct().collect()} == {
         "2024-02-01", "2024-02-02"}
-    planners = sinks.read_version(spark, f"{store}/planners")
+    planners = buckets.read(spark, f"{store}/planners")
+    assert rows(planners, "lcs_id") == rows(sessions.planner_rollup(g.session, got)
+                                            .select(*planners.columns), "lcs_id")
     jobs.snapshot_to_days(got, planners, "2024-02-02", str(tmp_path / "ads"))
     flat = spark.read.parquet(str(tmp_path / "ads" / "live_visit_count"))
     assert flat.columns == [*fixed.SESSION_SNAPSHOT, "dt"] and flat.count() == got.count()
@@ -146,14 +145,14 @@ def test_refresh_job_twice(spark, sf_dir, tmp_path):
     """A repeated batch leaves the same versions; a later one builds on them."""
     from roomtide.streaming.refresh import Tables
     g, store = Given(spark, sf_dir), str(tmp_path / "store")
-    sinks.write_version(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 7)
-    sinks.write_version(g.known, f"{store}/first_seen/whole", 7)
+    buckets.put(g.previous.select(*fixed.SESSION_METRICS), f"{store}/metrics", 7, "live_id")
+    buckets.put(g.known, f"{store}/first_seen", 7, "extra_id", "uid")
     tables = Tables(lambda: g.session, lambda: g.heartbeat, lambda: g.comment, lambda: g.income)
     run = jobs.refresh_target(spark, tables, store, g.now, base=7)
     seen = []
     for number in (0, 0, 1):
         run(None, number)
-        seen.append([rows(sinks.read_version(spark, f"{store}/{name}", 8 + number))
+        seen.append([rows(buckets.read(spark, f"{store}/{name}", 8 + number))
                      for name in ("metrics", "live_info", "planners", "viewers")])
     assert seen[0] == seen[1]
     # Nothing changed in between, so the next refresh finds the same figures.

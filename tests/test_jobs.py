@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from roomtide.functions import fixed
 from roomtide.plans import jobs
-from roomtide.session import children, exists, shared_dir
-from roomtide.sources import readers, sinks
+from roomtide.session import children, exists, matching, shared_dir
+from roomtide.sources import buckets, readers, sinks
 from roomtide.streaming import dwell, feeds, refresh
 
 
@@ -97,15 +97,15 @@ def test_refresh_from_an_empty_store_with_the_real_clock(spark, tmp_path):
     seen = []
     for number in (0, 1, 1):
         run(None, number)
-        seen.append([rows(sinks.read_version(spark, f"{store}/{n}", number + 1))
-                     for n in ("metrics", "live_info", "planners", "viewers", "clock")])
+        seen.append([rows(buckets.read(spark, f"{store}/{n}", number + 1))
+                     for n in ("metrics", "live_info", "planners", "viewers")]
+                    + [rows(sinks.read_version(spark, f"{store}/clock", number + 1))])
     assert [r[0] for r in seen[0][0]] == [2]  # the session of long ago is not polled
     assert seen[1] == seen[2] and seen[0][4] != seen[1][4]
     assert [r[1] for r in seen[0][3]] == ["7"]
 
 
-def test_refreshes_leave_few_versions_and_no_work_folders(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(refresh, "WHOLE_EVERY", 4)
+def test_refreshes_leave_few_versions_and_no_work_folders(spark, tmp_path):
     store = str(tmp_path / "store")
     run = jobs.refresh_target(spark, live_tables(spark), store)
     app = f"{shared_dir(spark)}/roomtide/{spark.sparkContext.applicationId}"
@@ -113,11 +113,13 @@ def test_refreshes_leave_few_versions_and_no_work_folders(spark, tmp_path, monke
     for number in range(9):
         run(None, number)
     assert set(children(spark, app)) <= before
-    for name in ("metrics", "live_info", "planners", "viewers", "clock"):
-        assert sinks.versions(spark, f"{store}/{name}") == [7, 8, 9]
-    assert sinks.versions(spark, f"{store}/first_seen/whole") == [4, 8]
-    assert sinks.versions(spark, f"{store}/first_seen/added") == [5, 6, 7, 8, 9]
-    assert sinks.read_difference(spark, f"{store}/first_seen", 9).count() == 1
+    assert sinks.versions(spark, f"{store}/clock") == [7, 8, 9]
+    for name in ("metrics", "live_info", "planners", "viewers"):
+        parts = matching(spark, f"{store}/{name}/buckets=64/bucket=*/part=*")
+        assert [p[-1] for p in parts] == ["7", "8", "9"]
+    # The uid was new in the first batch only.
+    assert len(matching(spark, f"{store}/first_seen/buckets=64/bucket=*/part=*")) == 1
+    assert buckets.read(spark, f"{store}/first_seen", 9).count() == 1
 
 
 def test_batches_are_compacted(spark, tmp_path):
