@@ -7,12 +7,12 @@ that other rows have, pass the stages like others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomtide.llm import decontaminate, jaccard, mixing, pii, quality
 from roomtide.llm.queries import learned_quality, table
-from roomtide.session import materialise
+from roomtide.session import materialise, scratch
 
 LEAST_QUALITY = 0.3
 
@@ -23,20 +23,31 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("__score") >= LEAST_QUALITY).select(*docs.columns)
 
 
+def _codes(columns: list[str]) -> list[Column]:
+    """Two 64-bit codes of a row, nulls told from values."""
+    parts = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
+
+
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates the document with the smallest id.
 
-    Rows with equal ids are told apart by their texts and other columns; rows without
-    an id come last; rows that are equal in all columns are one.
+    A row is known by a code of all its columns, so ids may be missing or come twice; rows
+    without an id come last, and rows that are equal in all columns (by 128 bits) are one.
+    Which rows stay is decided among ids and codes; the texts are joined with it once.
     """
-    # The key orders rows as their ids do, so the smallest key of a group is its component.
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    keyed = docs.withColumn("__row", F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-        F.md5("text").alias("text"), F.xxhash64(F.lit(0), *rest).alias("rest")))
-    kept = jaccard.jaccard_components(keyed, key="__row").where(
-        "doc_id = component_id").select(F.col("doc_id").alias("__row")).distinct()
-    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    code, check = _codes(docs.columns)
+    with scratch(spark):
+        groups = jaccard.jaccard_components(docs.select(code.alias("row"), "text"), key="row")
+        ids = docs.select(code.alias("row"), "doc_id")
+        kept = materialise(
+            groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
+            .join(ids.hint("merge"), "row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+                 .alias("first")).select(F.col("first.row").alias("__row")), "kept", outlive=True)
+    return (docs.withColumns({"__row": code, "__check": check})
+            .join(kept.hint("merge"), "__row", "left_semi")
+            .dropDuplicates(["__row", "__check"]).select(*docs.columns))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +87,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = materialise(stage(spark, docs, sf_dir), name, outlive=True)
     return STAGES[-1][1](spark, docs, sf_dir)
