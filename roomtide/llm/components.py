@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating star operations.
 
 Every round joins each node to the smallest node it knows, in two half steps that
-together flatten long chains fast. Rounds stay tables in the shared folder; the
-driver sees one count and one sum a round.
+together flatten long chains fast. Rounds are tables in the shared folder; the driver
+sees one count and one sum a round. The smallest neighbours are written before they are
+joined, so that Spark can split the edges of a node that has very many.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Join every larger neighbour of a node to the node's smallest neighbour or itself."""
     near = _both(edges)
-    least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = materialise(near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")),
+                        "least")
     return (near.where("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
 
@@ -28,7 +30,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Join every smaller neighbour of a node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return (moved.unionByName(least.select("a", F.col("m").alias("b")))
             .where("a <> b").distinct())

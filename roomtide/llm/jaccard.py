@@ -17,8 +17,13 @@ What keeps the join small, all of it exact:
   sizes, components and bitmaps allow a link.
 
 Defined results: a text without words has an empty set and no link; a text shorter
-than n words is one n-gram; repeated rows share a class; other columns are ignored.
-Sets are told apart by 128 bits and named by 64 of them.
+than n words is one n-gram; repeated rows share a class; rows without a key are compared
+like others; very long texts are worked on whole, one to a block; an empty table gives
+no rows; other columns are ignored. N-grams and sets are told apart by 64 bits.
+
+What grows with the texts is joined by exchanges at every size, never by broadcast. Of
+joins on an n-gram or a component the small side is written first, so that Spark can
+split a frequent one. Work tables are dropped; the result is a table.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch
 from . import text as tx
 from .components import components
 
@@ -74,13 +79,10 @@ def _sums(values: np.ndarray, limits: np.ndarray) -> np.ndarray:
     return total[limits[1:]] - total[limits[:-1]]
 
 
-def set_names(codes: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit codes of each set, whatever the order of its members."""
-    size = np.diff(limits).astype(tx.U64)
+def set_names(codes: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """A 64-bit code of each set, whatever the order of its members."""
     with np.errstate(over="ignore"):
-        first = tx.mix(_sums(tx.mix(codes), limits) + size)
-        second = tx.mix(_sums(tx.mix(~codes), limits) - size)
-    return first, second
+        return tx.mix(_sums(tx.mix(codes), limits) + np.diff(limits).astype(tx.U64))
 
 
 def _measure(n: int):
@@ -88,12 +90,11 @@ def _measure(n: int):
         for batch in batches:
             for block in tx.blocks(batch, "text"):
                 codes, limits = shingle_sets(block, n)
-                first, second = set_names(codes, limits)
+                names = set_names(codes, limits)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(block.first, block.n),
                     pa.array(np.diff(limits).astype(np.int64)),
-                    pa.array(first.view(np.int64)), pa.array(second.view(np.int64))],
-                    names=["doc_id", "n_shingles", "class", "check"])
+                    pa.array(names.view(np.int64))], names=["doc_id", "n_shingles", "class"])
 
     return run
 
@@ -111,7 +112,7 @@ def _pack(n: int, fragments: int):
             for block in tx.blocks(batch, "text", _BLOCK):
                 codes, limits = shingle_sets(block, n)
                 size = np.diff(limits)
-                names, _ = set_names(codes, limits)
+                names = set_names(codes, limits)
                 _, one, which = np.unique(names, return_index=True, return_inverse=True)
                 text = np.repeat(np.arange(block.n), size)
                 mine = one[which][text] == text
@@ -193,7 +194,7 @@ def _expand(n: int):
         for batch in batches:
             for block in tx.blocks(batch, "text"):
                 codes, limits = shingle_sets(block, n)
-                names, _ = set_names(codes, limits)
+                names = set_names(codes, limits)
                 size = np.diff(limits)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(names.view(np.int64), size)),
@@ -239,7 +240,7 @@ def _order(percent: int):
     return run
 
 
-_SETS = ("class long, n int, own int, prefix array<long>, "
+_SET_COLUMNS = ("class long, n int, own int, prefix array<long>, "
          "segments array<struct<fragment: int, grams: binary>>, bits binary")
 
 
@@ -317,11 +318,12 @@ def _rest(sets: DataFrame, found: DataFrame, percent: int, tile: int) -> DataFra
     labelled = sets.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         F.explode("prefix").alias("gram"), "class",
         F.coalesce("component", "class").alias("component"), "n", "own", "bits")
-    contested = (labelled.groupBy("gram")
-                 .agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                      F.count("*").alias("size"))
-                 .where("low <> high")
-                 .select("gram", F.ceil(F.col("size") / tile).cast("int").alias("blocks")))
+    contested = materialise(labelled.groupBy("gram")
+                            .agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                 F.count("*").alias("size"))
+                            .where("low <> high").select(
+                                "gram", F.ceil(F.col("size") / tile).cast("int").alias("blocks")),
+                            "contested")
     # Both blocks of a tile are in its row; a list of up to `tile` classes is one tile.
     placed = labelled.join(contested, "gram").withColumn(
         "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
@@ -341,8 +343,22 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """doc_id, n_shingles and component_id of every row."""
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    sized = materialise(own.mapInArrow(
-        _measure(n), f"doc_id {kind}, n_shingles long, class long, check long"), "sized")
+    with scratch(docs.sparkSession):
+        sized = materialise(own.mapInArrow(
+            _measure(n), f"doc_id {kind}, n_shingles long, class long"), "sized")
+        label = _labelled(own, sized, n, percent, tile)
+        smallest = materialise(label.groupBy("component").agg(
+            F.min("doc_id").alias("component_id")), "smallest")
+        full = label.join(smallest, "component")
+        empty = sized.where("n_shingles = 0").select("doc_id", "n_shingles",
+                                                     F.col("doc_id").alias("component_id"))
+        return materialise(full.select("doc_id", "n_shingles", "component_id").unionByName(empty),
+                           "components", outlive=True)
+
+
+def _candidates(own: DataFrame, sized: DataFrame, n: int, percent: int) -> DataFrame:
+    """The classes that may have links: those without too many n-grams of their own, and
+    a row's key of each."""
     total = sized.agg(F.sum("n_shingles")).first()[0] or 0
     fragments = max(1, -(-total // FRAGMENT))
     lonely = (own.select("text")
@@ -351,28 +367,41 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
               .groupBy("fragment").applyInArrow(_own(fragments), "bucket int, names binary, "
                                                                  "sizes binary, own binary")
               .groupBy("bucket").applyInArrow(_lonely(percent), "class long"))
-    near = materialise(sized.where("n_shingles > 0").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id")).join(lonely, "class", "left_anti"), "near")
-
-    # A text without an id can only be told by its class.
-    wanted = own.join(near.select("doc_id"), "doc_id", "left_semi").select("text").unionByName(
-        own.where("doc_id is null").select("text"))
-    grams = (wanted
-             .mapInArrow(_expand(n), "class long, n int, gram long")
-             .join(near.select("class"), "class", "left_semi"))
-    grams = materialise(grams.distinct(), "grams")
-    shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    sets = materialise(
-        grams.join(shared, "gram").groupBy("class", "n")
-        .agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
-        .mapInArrow(_order(percent), _SETS), "sets")
-
+    return sized.where("n_shingles > 0").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id")).join(lonely, "class", "left_anti")
+
+
+def _sets(own: DataFrame, sized: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row per class that may have links: its shared n-grams in the global order."""
+    with scratch(own.sparkSession):
+        near = materialise(_candidates(own, sized, n, percent), "near")
+        # Classes that come along, as theirs is the key of another row, do no harm.
+        wanted = own.join(near.select("doc_id").hint("merge"), "doc_id", "left_semi")
+        grams = wanted.select("text").mapInArrow(_expand(n), "class long, n int, gram long")
+        # A text without an id can only be told by its class.
+        nameless = own.where("doc_id is null").select("text").mapInArrow(
+            _expand(n), "class long, n int, gram long").join(
+                near.select("class"), "class", "left_semi")
+        grams = materialise(grams.unionByName(nameless).distinct(), "grams")
+        shared = materialise(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"),
+                             "shared")
+        return materialise(
+            grams.join(shared.hint("merge"), "gram").groupBy("class", "n")
+            .agg(F.collect_list(F.struct("df", "gram")).alias("grams"))
+            .mapInArrow(_order(percent), _SET_COLUMNS), "sets", outlive=True)
+
+
+def _labelled(own: DataFrame, sized: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """doc_id, n_shingles and the component, named by a class, of the rows with words."""
+    sets = _sets(own, sized, n, percent)
     lists = sets.select(F.explode("prefix").alias("gram"), "class", "n", "own")
-    leaders = (lists.groupBy("gram")
-               .agg(F.min(F.struct((F.col("own") * 1000 / F.col("n")).cast("int"), "class",
-                                   "n", "own")).alias("top"), F.count("*").alias("size"))
-               .where("size > 1").select("gram", F.col("top.class").alias("lead"),
-                                         F.col("top.n").alias("ln"), F.col("top.own").alias("lo")))
+    leaders = materialise(
+        lists.groupBy("gram")
+        .agg(F.min(F.struct((F.col("own") * 1000 / F.col("n")).cast("int"), "class",
+                            "n", "own")).alias("top"), F.count("*").alias("size"))
+        .where("size > 1").select("gram", F.col("top.class").alias("lead"),
+                                  F.col("top.n").alias("ln"), F.col("top.own").alias("lo")),
+        "leaders")
     stars = (lists.join(leaders, "gram").where("class <> lead")
              .where(_fits("n", "own", "ln", "lo", percent))
              .select(F.least("class", "lead").alias("a"), F.greatest("class", "lead").alias("b"))
@@ -384,14 +413,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                .join(named.toDF("a", "ta"), "a", "left").join(named.toDF("b", "tb"), "b", "left")
                .select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b")))
     second = components(bridges)
-    label = (sized.select("doc_id", "n_shingles", "class")
-             .join(first.toDF("class", "c1"), "class", "left")
-             .withColumn("c1", F.coalesce("c1", "class"))
-             .join(second.toDF("c1", "c2"), "c1", "left")
-             .withColumn("component", F.coalesce("c2", "c1")))
-    smallest = (label.where("n_shingles > 0").groupBy("component")
-                .agg(F.min("doc_id").alias("component_id")))
-    full = label.where("n_shingles > 0").join(smallest, "component")
-    empty = sized.where("n_shingles = 0").select("doc_id", "n_shingles",
-                                                 F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", "n_shingles", "component_id").unionByName(empty)
+    return materialise(sized.where("n_shingles > 0")
+                       .join(first.toDF("class", "c1"), "class", "left")
+                       .withColumn("c1", F.coalesce("c1", "class"))
+                       .join(second.toDF("c1", "c2"), "c1", "left")
+                       .select("doc_id", "n_shingles", F.coalesce("c2", "c1").alias("component")),
+                       "label")
