@@ -3,11 +3,15 @@
 Python sees Arrow batches. Each batch is cut into blocks of about BLOCK_BYTES,
 so the working memory of a task is bounded by that or by its longest document.
 Hashes are polynomials modulo 2**64 over random byte or word codes, mixed at the
-end; equal inputs have equal hashes in every task.
+end; equal inputs have equal hashes in every task. Such polynomials have known
+collisions between long inputs, from 1024 codes on, so a word of LONG bytes or more is
+named by a digest of its bytes, and runs of words are shorter than that. Different
+inputs then share a 64-bit code as rarely as random numbers would.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 1 << 20
 # Word separators of the data contract: space and tab to carriage return.
 SEPARATORS = (9, 10, 11, 12, 13, 32)
+# Words of so many bytes have a digest for a code, as have runs of so many words.
+LONG = 256
 
 U64 = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -72,6 +78,10 @@ class Rolling:
                        + (end - start).astype(U64))
 
 
+def digest(said: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(said, digest_size=8).digest(), "little")
+
+
 @dataclass
 class Block:
     """Rows first..first+n of a batch, their UTF-8 bytes and the limits of each text."""
@@ -141,6 +151,9 @@ def words(block: Block, fold: bool = False, apart: np.ndarray = IS_SEPARATOR) ->
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
     code = Rolling((FOLDED_CODE if fold else BYTE_CODE)[data]).of(start, end)
+    for i in np.flatnonzero(end - start >= LONG):
+        said = data[start[i]:end[i]]
+        code[i] = digest((FOLDED[said] if fold else said).tobytes())
     return Words(start, end, code, np.searchsorted(start, limits))
 
 

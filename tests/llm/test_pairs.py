@@ -209,3 +209,86 @@ def test_neighbours_odd_vectors(spark):
                    (140, 1, 2, 9.0), (140, 2, 2, 9.0), (140, 3, 1, 0.5), (140, 4, 0, 0.0)]
     assert neighbours.nearest(df.where("false"), df).collect() == []
     assert neighbours.nearest(df, df.where("false")).collect() == []
+
+
+def thue_morse(n):
+    """Two words of n letters whose polynomials modulo 2**64 are equal for every base."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [128, 256, 1024, 4096])
+def test_words_with_equal_polynomials_are_told_apart(spark, n):
+    one, other = thue_morse(n)
+    texts = [one, other, one.upper(), one + " ", f"{one} x"]
+    block = next(tx.blocks(pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"]), "t"))
+    plain, folded = tx.words(block).code, tx.words(block, fold=True).code
+    assert plain[0] != plain[1] and plain[0] != plain[2] and plain[0] == plain[3]
+    assert folded[0] != folded[1] and folded[0] == folded[2]
+    rest = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(
+        [one, other, one, f"{one} {rest}", f"{other} {rest}"])], "doc_id long, text string")
+    found = {r[0]: r[2] for r in jaccard.jaccard_components(docs).collect()}
+    assert (found[0], found[1], found[2]) == (0, 1, 0)
+    removed = {r["doc_id"]: r["n_removed"] for r in substrings.remove_repeats(docs).collect()}
+    # The words after the first are the same in both, the windows with the first are not.
+    assert removed == {0: 0, 1: 0, 2: 0, 3: 40, 4: 40}
+
+
+def exact_neighbours(queries, candidates, k):
+    """(query, rank) -> (vec_id, score), numbers that are none first, then largest, then id."""
+    out = {}
+    for q, x in queries:
+        scores = []
+        for c, y in candidates:
+            if c != q and len(x) == len(y):
+                total = 0.0
+                for a, b in zip(x, y):
+                    total += a * b
+                scores.append((total == total, -total if total == total else 0.0, c, total))
+        for rank, (_, _, c, total) in enumerate(sorted(scores)[:k]):
+            out[q, rank + 1] = (c, repr(total))
+    return out
+
+
+@pytest.mark.parametrize("size", [1e-320, 1e-170, 1e-160, 1e-3, 1.0, 1e150, 1e160, 1e200, 1e300])
+def test_neighbours_at_every_magnitude(spark, size):
+    rng = np.random.default_rng(int(abs(np.log10(size))))
+    special = [(1, 0, 0, 0), (1, -1, 1, 1), (0.3, 0.1, 0.7, 0.9), (0, 0, 0, -1), (1, 1, 1, 1)]
+    queries = [(-1 - i, [float(v) for v in x]) for i, x in enumerate(special)]
+    # The same, as large or small as the candidates.
+    queries += [(-11 - i, [float(v) * size for v in x]) for i, x in enumerate(special)]
+    candidates = [(i, [float(v) for v in rng.normal(size=4) * size]) for i in range(40)]
+    candidates += [(100 + i, [float(v) * size for v in x]) for i, x in enumerate(special)]
+    candidates += [(200 + i, [float(v) for v in rng.normal(size=4)]) for i in range(3)]
+    usable = [(i, x) for i, x in queries if any(x)]
+    schema = "vec_id long, embedding array<double>"
+    got = neighbours.nearest(spark.createDataFrame(queries, schema),
+                             spark.createDataFrame(candidates, schema)).collect()
+    want = exact_neighbours(usable, [(i, x) for i, x in candidates if any(x)], 20)
+    assert {(r[0], r[1]): (r[2], repr(r[3])) for r in got} == want
+
+
+def test_neighbours_of_mixed_magnitudes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(neighbours, "CANDIDATE_BLOCK", 11)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in np.sign(rng.normal(size=5)) * rng.choice([0, 1, 0.5], 5)
+                 * 10.0 ** rng.integers(-200, 200)]) for i in range(120)]
+    schema = "vec_id long, embedding array<double>"
+    every = spark.createDataFrame(rows, schema)
+    got = neighbours.nearest(every.where("vec_id % 5 = 0"), every, 6).collect()
+    rows = [(i, x) for i, x in rows if any(x)]
+    want = exact_neighbours([r for r in rows if r[0] % 5 == 0], rows, 6)
+    assert {(r[0], r[1]): (r[2], repr(r[3])) for r in got} == want
+
+
+def test_groups_of_blocks_are_bounded():
+    for dim in (1, 64, 4096):
+        for n in (1, 10, 10 ** 6):
+            q, c = neighbours.group_sizes(max(1, n // 20), n, dim)
+            assert q * c <= neighbours.TASK_TILES * 1.2
+            assert q == 1 or q * neighbours.QUERY_BLOCK * dim * 9 <= neighbours.GROUP_BYTES
+            assert c == 1 or c * neighbours.CANDIDATE_BLOCK * dim * 9 <= neighbours.GROUP_BYTES
