@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch
 from . import text as tx
 
 WINDOW = 35
@@ -116,7 +116,12 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """row_key and spans: word ranges [start, end) covered by windows that start twice."""
-    keyed = _keyed(docs, key, text).select("row_key", "text")
+    with scratch(docs.sparkSession):
+        return materialise(_spans(_keyed(docs, key, text).select("row_key", "text"), window,
+                                  anchor), "spans", outlive=True)
+
+
+def _spans(keyed: DataFrame, window: int, anchor: int) -> DataFrame:
     # Written, so that the join reads both sides from an exchange: only then can Spark
     # split the occurrences of a frequent anchor.
     repeated = materialise(
@@ -135,8 +140,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
     whole = shared.select("row_key", F.col("first").alias("start"),
                           (F.col("first") + F.col("size") + (window - 1)).alias("end"))
 
-    contested = classes.groupBy("anchor").agg(F.count("*").alias("kinds")) \
-        .where("kinds > 1").select("anchor")
+    contested = materialise(classes.groupBy("anchor").agg(F.count("*").alias("kinds"))
+                            .where("kinds > 1").select("anchor"), "contested")
     each = (classes.join(contested, "anchor", "left_semi")
             .select("anchor", "lead", "n", "one", F.posexplode("windows").alias("j", "code"))
             .select("anchor", (F.col("lead") - F.col("j")).alias("place"), "code", "n",
