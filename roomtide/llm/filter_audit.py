@@ -33,7 +33,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -175,5 +175,7 @@ def orders(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           part: str = "lang") -> DataFrame:
     """Counts per part, order and step of what the filters remove."""
-    counts = mask_counts(flagged(docs, key, text, part), labels, key)
-    return orders(materialise(counts, "filter_audit_counts"))
+    with scratch(docs.sparkSession):
+        counts = materialise(mask_counts(flagged(docs, key, text, part), labels, key),
+                             "filter_audit_counts", outlive=True)
+    return orders(counts)
