@@ -18,6 +18,13 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
+# State of streams lies on the disks of the executors, not in their memory; what a batch
+# changes goes to the checkpoint, not all of it.
+STREAM_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +36,12 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def keep_stream_state(spark: SparkSession) -> None:
+    """Streams that are started from now on keep their state as STREAM_STATE says."""
+    for key, value in STREAM_STATE.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir.
 

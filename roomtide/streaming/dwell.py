@@ -6,36 +6,97 @@ A heartbeat adds its distance from the last one, or 15 s when that is above 31 s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import fixed
 from ..operators.rooms import presence, seconds_in_gaps
 
-BROKEN_GAP, SILENCE = fixed.BROKEN_GAP, fixed.SILENCE
+BROKEN_GAP, SILENCE, FULL_GAP = fixed.BROKEN_GAP, fixed.SILENCE, fixed.FULL_GAP
 
 KEYS = ["day", "extra_id", "type", "viewer"]
+DAY = 86400
+_Running = Row("day_number", *KEYS[1:], "seconds", "last")
+
+
+def _add(total: int, last: int | None, seconds: list[int]) -> tuple[int, int | None]:
+    """A total and its last second with ascending later seconds added."""
+    for s in seconds:
+        if last is not None:
+            total += s - last if s - last <= FULL_GAP else BROKEN_GAP
+        last = s
+    return total, last
 
 
-def dwell_state(heartbeat: DataFrame, lateness: str = "1 hour") -> DataFrame:
+class RunningDwell(StatefulProcessor):
+    """State of a viewer's day: the sum up to the watermark, the second it goes to, and the
+    seconds after it, which rows that are not yet late may still come between. These span
+    the lateness and one batch at most, so a state does not grow with the day.
+
+    One timer is set at a time: 35 s after the last second it reports the silence, and at
+    the end of the day, when rows of it would be late, it drops the state.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState(
+            "dwell", "total bigint, last bigint, recent array<bigint>, timer bigint")
+
+    def _settled(self, total: int, last: int | None, recent: list[int], timers) -> tuple:
+        until = timers.getCurrentWatermarkInMs() // 1000
+        total, last = _add(total, last, [s for s in recent if s < until])
+        return total, last, [s for s in recent if s >= until]
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        total, last, recent, timer = self.state.get() or (0, None, [], None)
+        # A second that is settled, or before it, comes too late or again.
+        after = -1 if last is None else last
+        recent = sorted({*recent, *(r["sec"] for r in rows if r["sec"] > after)})
+        total, last, recent = self._settled(total, last, recent, timerValues)
+        seconds, newest = _add(total, last, recent)
+        if timer is None:
+            timer = (newest + SILENCE) * 1000 + 1
+            self.handle.registerTimer(timer)
+        self.state.update((total, last, recent, timer))
+        yield _Running(*key, seconds, newest)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        total, last, recent, _ = self.state.get()
+        total, last, recent = self._settled(total, last, recent, timerValues)
+        seconds, newest = _add(total, last, recent)
+        now, end = timerValues.getCurrentWatermarkInMs(), (key[0] + 1) * DAY * 1000
+        silent = (newest + SILENCE) * 1000 + 1
+        if now >= end:
+            self.state.clear()
+        else:
+            timer = silent if silent > now else end
+            self.handle.registerTimer(timer)
+            self.state.update((total, last, recent, timer))
+        if silent <= now:
+            yield _Running(*key, seconds + BROKEN_GAP, None)
+
+    def close(self) -> None:
+        pass
+
+
+def dwell_state(heartbeat: DataFrame, lateness: str = "1 minute") -> DataFrame:
     """Running seconds per day, room, type and viewer, and the last one; update mode.
 
-    The state is the set of a viewer's distinct seconds of one day. The day is the event
-    time of the state: it is dropped when a row comes from the next day but one, less
-    `lateness`, so there are never more than about two days of it. What a silence is
-    worth depends on the clock and is added by `latest`.
+    A silence is reported once the watermark is past it, with its worth in the seconds and
+    no last one; before that, `latest` adds it by the clock. Needs a state store that keeps
+    single values, as `session.keep_stream_state` sets it.
     """
-    beats = presence(heartbeat).select(
-        F.date_trunc("day", "logtime").alias("midnight"), "extra_id", "type", "viewer",
-        F.unix_seconds("logtime").alias("sec"))
-    seconds = F.sort_array(F.collect_set("sec"))
-    return (
-        beats.withWatermark("midnight", f"1 day {lateness}")
-        .groupBy("midnight", *KEYS[1:]).agg(seconds.alias("s"))
-        .select(F.to_date("midnight").alias("day"), *KEYS[1:],
-                seconds_in_gaps(F.col("s")).alias("seconds"),
-                F.element_at("s", -1).alias("last"))
-    )
+    beats = presence(heartbeat).withWatermark("logtime", lateness).select(
+        F.floor(F.unix_seconds("logtime") / DAY).cast("int").alias("day_number"), *KEYS[1:],
+        "logtime", F.unix_seconds("logtime").alias("sec"))
+    states = beats.groupBy("day_number", *KEYS[1:]).transformWithState(
+        RunningDwell(), "day_number int, extra_id string, type string, viewer string, "
+        "seconds bigint, last bigint", "Update", "EventTime")
+    return states.select(F.date_from_unix_date("day_number").alias("day"), *KEYS[1:], "seconds",
+                         "last")
 
 
 def dwell_stretches(heartbeat: DataFrame, lateness: str = "5 seconds") -> DataFrame:
@@ -64,7 +125,9 @@ def latest(updates: DataFrame, as_of: Column) -> DataFrame:
 
     A viewer who has been silent at `as_of` (in seconds) gets what a silence is worth.
     """
-    newest = F.max_by(F.struct("seconds", "last"), "batch").alias("n")
+    # A silence that is told in the batch of a later beat comes before it.
+    newest = F.max_by(F.struct("seconds", "last"),
+                      F.struct("batch", F.col("last").isNotNull(), "seconds")).alias("n")
     silent = F.col("n.last") + SILENCE < as_of
     return updates.groupBy(*KEYS).agg(newest).select(
         *KEYS, (F.col("n.seconds") + F.when(silent, BROKEN_GAP).otherwise(0)).alias("seconds"))

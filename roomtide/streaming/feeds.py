@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import scalars
 from ..operators.rooms import presence
-from ..session import children, materialise, remove, scratch, work_path
+from ..session import children, keep_stream_state, materialise, remove, scratch, work_path
 
 
 def heartbeat_feed(heartbeat: DataFrame) -> DataFrame:
@@ -63,6 +63,7 @@ def replay(stream: DataFrame, name: str, *, updates: bool = False) -> DataFrame:
     With `updates` the rows are versions of their keys and carry a batch column.
     """
     spark = stream.sparkSession
+    keep_stream_state(spark)
     path, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
     if updates:
         writer = (stream.writeStream.outputMode("update").foreachBatch(batch_writer(path))
