@@ -21,11 +21,22 @@ def _last_of_each(parsed: Column) -> Column:
     return F.when(single, parsed).otherwise(F.map_from_entries(last))
 
 
+def _members(parsed: Column) -> Column:
+    return F.coalesce(_last_of_each(parsed), F.create_map().cast("map<string,string>"))
+
+
 def json_map(text: Column) -> Column:
-    return F.coalesce(
-        _last_of_each(F.from_json(text, "map<string,string>")),
-        F.create_map().cast("map<string,string>"),
-    )
+    """For projections, which parse a text once however often its map is named."""
+    return _members(F.from_json(text, "map<string,string>"))
+
+
+def json_maps(texts: Column, parse: Column) -> Column:
+    """An array of (text, item): the texts and, where `parse` holds, their members. In two
+    steps, as within a lambda every use of a parsed text would parse it again."""
+    parsed = F.transform(texts, lambda t: F.struct(
+        t.alias("text"), F.when(parse, F.from_json(t, "map<string,string>")).alias("item")))
+    return F.transform(parsed, lambda e: F.struct(
+        e["text"].alias("text"), F.when(parse, _members(e["item"])).alias("item")))
 
 
 def field(parsed: Column, key: str, default: str = "") -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.jsonx import field, json_elements, json_map
+from ..functions.jsonx import field, json_elements, json_map, json_maps
 
 
 @dataclass(frozen=True)
@@ -204,8 +204,7 @@ def slot_events(api_log: DataFrame, slots: dict[str, Slot] | None = None, *,
                   for s in wanted]
     texts = F.when(_constant([s.many for s in wanted]), json_elements(F.col("_text"))) \
         .otherwise(F.array("_text"))
-    items = candidates.withColumn("e", F.explode(F.transform(texts, lambda t: F.struct(
-        t.alias("text"), F.when(_constant(reads_item), json_map(t)).alias("item")))))
+    items = candidates.withColumn("e", F.explode(json_maps(texts, _constant(reads_item))))
     untitled = _constant([s.title is None for s in wanted])
     raw = _constant([s.payload == "raw" for s in wanted])
     rows = items.select(
