@@ -138,9 +138,11 @@ def route_by_event_date(rows: DataFrame, ts: str = "logtime",
     return rows.withColumn("dt", day)
 
 
-def comment_feed(room_comment: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
-    """Comments with content and time, the ISO time as wall clock of `zone`."""
+def comment_feed(room_comment: DataFrame, zone: str = "Asia/Shanghai",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Comments with content and time, the ISO time as wall clock of `zone`, and the columns
+    to keep."""
     return room_comment.where((F.col("content") != "") & (F.col("c_time") != "")).select(
         "uid", "name", "relation_id", "content",
-        scalars.iso_to_local(F.col("c_time"), zone).alias("c_time"), "title")
+        scalars.iso_to_local(F.col("c_time"), zone).alias("c_time"), "title", *keep)
 

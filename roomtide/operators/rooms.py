@@ -19,6 +19,40 @@ def room_points_devices(heartbeat: DataFrame, since, until, *,
         F.count("*").alias("points"), devices.alias("device_id_count"))
 
 
+# Registers of a device sketch, as a power of two: the relative standard error of a count is
+# 1.04 / sqrt(2**12) = 1.6 %.
+SKETCH_BITS = 12
+
+
+def device_sketches(heartbeat: DataFrame) -> DataFrame:
+    """Online points and a sketch of the devices per minute, room and type."""
+    rows = heartbeat.where((F.col("is_online") == "1")
+                           & F.col("type").isin(*scans.LIVE_ROOM_TYPES))
+    # As a code, since sketches pass over empty texts.
+    device = F.when(F.col("device_id").isNotNull(), F.xxhash64("device_id"))
+    return rows.groupBy(F.date_trunc("minute", "logtime").alias("minute"), "extra_id", "type").agg(
+        F.count("*").alias("points"),
+        F.hll_sketch_agg(device, F.lit(SKETCH_BITS)).alias("devices"))
+
+
+def merge_sketches(sketches: DataFrame, days: int = 2) -> DataFrame:
+    """One row per minute, room and type, without those that are `days` older than the
+    newest of their room."""
+    newest = F.max("minute").over(Window.partitionBy("extra_id", "type"))
+    return (sketches.groupBy("minute", "extra_id", "type")
+            .agg(F.sum("points").alias("points"), F.hll_union_agg("devices").alias("devices"))
+            .withColumn("_newest", newest)
+            .where(F.col("minute") >= F.col("_newest") - F.make_dt_interval(F.lit(days)))
+            .drop("_newest"))
+
+
+def points_of_sketches(sketches: DataFrame) -> DataFrame:
+    """Points and devices per room and type, as `room_points_devices` counts them."""
+    return sketches.groupBy("extra_id", "type").agg(
+        F.sum("points").alias("points"),
+        F.hll_sketch_estimate(F.hll_union_agg("devices")).alias("device_id_count"))
+
+
 def average_dwell(points: DataFrame) -> DataFrame:
     """Whole seconds per device and room: every point stands for 30 seconds."""
     labels = list(fixed.LIVE_TYPE_CODES)

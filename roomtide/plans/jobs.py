@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions import args as checks
 from ..functions import fixed
-from ..operators import records, reports, rooms, sessions, slots
+from ..operators import records, reports, sessions, slots
 from ..operators import viewers as vw
-from ..session import build_session, materialise, scratch
+from ..session import build_session, keep_stream_state, materialise, scratch
 from ..sources import buckets, readers, scans, sinks
-from ..streaming import dwell, feeds, online, refresh
+from ..streaming import dwell, feeds, late, online, refresh
 
 
 def _day_after(day: str) -> str:
@@ -165,32 +165,47 @@ def start_session_refresh(spark: SparkSession, tables: refresh.Tables, store: st
     return refresh.start(refresh.clock(spark), run, checkpoint)
 
 
-def start_online_counts(heartbeat: DataFrame, room_comment: DataFrame,
-                        today: Callable[[], DataFrame], out: str, checkpoint: str):
+def start_online_counts(heartbeat: DataFrame, room_comment: DataFrame, out: str,
+                        checkpoint: str, now: Column | None = None):
     """Heartbeat feed, comment feed, online figures with average dwell, and stretches of
-    dwell, every 10 seconds. `today` reads the heartbeats of the current day."""
-    every = "10 seconds"
-
-    def average() -> DataFrame:
-        midnight = F.date_trunc("day", F.current_timestamp())
-        return rooms.average_dwell(rooms.room_points_devices(
-            today(), midnight, F.current_timestamp(), approximate=True))
-
-    target = online.with_average(average, feeds.batch_writer(f"{out}/online"))
-    writers = [
-        feeds.files_writer(feeds.heartbeat_feed(heartbeat), f"{out}/heartbeats",
-                           f"{checkpoint}/heartbeats"),
-        feeds.files_writer(records.comment_feed(room_comment), f"{out}/comments",
-                           f"{checkpoint}/comments"),
-        online.online_now(heartbeat).writeStream.outputMode("append").foreachBatch(target)
-        .option("checkpointLocation", f"{checkpoint}/online"),
-        feeds.files_writer(dwell.dwell_stretches(heartbeat), f"{out}/dwell",
-                           f"{checkpoint}/dwell"),
-    ]
-    return [w.trigger(processingTime=every).start() for w in writers]
-
-
-BATCH = ("slots", "heartbeats", "session-heartbeats", "sessions", "repair", "reports", "snapshot")
+    dwell, every 10 seconds; rows that come too late are told in `late`.
+
+    The average of a day comes from sketches that are kept per room and minute, so a batch
+    reads its new rows and the sketches of its rooms, not the day.
+    """
+    spark, every = heartbeat.sparkSession, "10 seconds"
+    keep_stream_state(spark)
+    midnight = F.date_trunc("day", now if now is not None else F.current_timestamp())
+    target = online.with_average(
+        online.average_of_day(spark, f"{out}/sketches", midnight),
+        feeds.batch_writer(f"{out}/online", compact_every=feeds.COMPACT_EVERY))
+    writers = {
+        "heartbeats": feeds.files_writer(feeds.heartbeat_feed(heartbeat), f"{out}/heartbeats",
+                                         f"{checkpoint}/heartbeats"),
+        "comments": feeds.files_writer(records.comment_feed(room_comment), f"{out}/comments",
+                                       f"{checkpoint}/comments"),
+        "sketches": heartbeat.writeStream.foreachBatch(online.sketch_keeper(f"{out}/sketches"))
+        .option("checkpointLocation", f"{checkpoint}/sketches"),
+        "online": online.online_now(heartbeat).writeStream.outputMode("append")
+        .foreachBatch(target).option("checkpointLocation", f"{checkpoint}/online"),
+        "dwell": feeds.files_writer(dwell.dwell_stretches(heartbeat), f"{out}/dwell",
+                                    f"{checkpoint}/dwell"),
+    }
+    spark.streams.addListener(late.LateRows(spark, f"{out}/late"))
+    return [w.queryName(name).trigger(processingTime=every).start()
+            for name, w in writers.items()]
+
+
+def extract_comments(room_comment: DataFrame, start: str, end: str, out: str) -> None:
+    """The comment feed of the days start..end into their day partitions."""
+    rows = scans.room_comments(room_comment, start, _day_after(end)).withColumn(
+        "dt", F.to_date(F.try_to_timestamp("c_time")))
+    feed = records.comment_feed(rows, keep=("dt",))
+    sinks.replace_days(feed, out, start, end)
+
+
+BATCH = ("slots", "heartbeats", "session-heartbeats", "sessions", "comments", "repair",
+         "reports", "snapshot")
 STREAMS = ("refresh", "online")
 
 
@@ -207,6 +222,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--zone", default="UTC", help="time zone of days and clock texts")
     parser.add_argument("--checkpoint", help="folder of the stream checkpoints")
     parser.add_argument("--once", action="store_true", help="streams: only what is there now")
+    parser.add_argument("--max-files", type=int, help="streams: files of a batch at most")
     given = parser.parse_args(argv)
     if given.job in STREAMS:
         if not given.checkpoint:
@@ -237,6 +253,8 @@ def _run_batch(spark: SparkSession, given: argparse.Namespace) -> None:
         extract_heartbeats(table("heartbeat"), start, end, given.out)
     elif given.job == "session-heartbeats":
         extract_session_heartbeats(table("heartbeat"), table("session"), start, end, given.out)
+    elif given.job == "comments":
+        extract_comments(table("room_comment"), start, end, given.out)
     elif given.job == "repair":
         # A range of days is whole; a range with times is as it says.
         until = given.end if len(given.end) > 10 else f"{given.end} 23:59:59.999999"
@@ -271,14 +289,11 @@ def _run_stream(spark: SparkSession, given: argparse.Namespace) -> None:
         queries = [start_session_refresh(spark, tables, given.out, given.checkpoint, base=base)]
     else:
         def stream(name: str) -> DataFrame:
-            return readers.stream_files(spark, readers.SCHEMAS[name], f"{given.tables}/{name}")
-
-        def today() -> DataFrame:
-            return table("heartbeat")().where(
-                F.col("logtime") >= F.date_trunc("day", F.current_timestamp()))
+            return readers.stream_files(spark, readers.SCHEMAS[name], f"{given.tables}/{name}",
+                                        max_files=given.max_files)
 
-        queries = start_online_counts(stream("heartbeat"), stream("room_comment"), today,
-                                      given.out, given.checkpoint)
+        queries = start_online_counts(stream("heartbeat"), stream("room_comment"), given.out,
+                                      given.checkpoint)
     for q in queries:
         if given.once:
             q.processAllAvailable()

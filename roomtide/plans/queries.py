@@ -18,7 +18,7 @@ from ..functions import fixed, scalars
 from ..functions.jsonx import field, json_map
 from ..operators import records, reports, rooms, sessions, slots
 from ..operators import viewers as vw
-from ..session import materialise, work_path
+from ..session import keep_stream_state, materialise, work_path
 from ..sources import buckets, fixtures, scans, sinks
 from ..streaming import dwell, feeds, online, refresh
 from . import jobs
@@ -414,7 +414,8 @@ def online_now_stream(g: Given) -> DataFrame:
 def online_with_average_stream(g: Given) -> DataFrame:
     stream = online.online_now(g.events_of(stream=True))
     path = g.path("online-average")
-    target = online.with_average(lambda: avg_dwell_by_room(g), feeds.batch_writer(path))
+    target = online.with_average(lambda _: avg_dwell_by_room(g), feeds.batch_writer(path))
+    keep_stream_state(g.spark)
     (stream.writeStream.outputMode("append").foreachBatch(target)
      .option("checkpointLocation", g.path("online-average-checkpoint"))
      .trigger(availableNow=True).start().awaitTermination())

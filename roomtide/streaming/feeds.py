@@ -20,11 +20,20 @@ def heartbeat_feed(heartbeat: DataFrame) -> DataFrame:
         F.col("viewer").alias("uid"), "c_time")
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch target: one partition per batch, so a repeated batch replaces itself."""
+# Batches after which the folders of a feed are gathered, and the newest that are left alone.
+COMPACT_EVERY, LEFT_ALONE = 360, 3
+
+
+def batch_writer(path: str, compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch target: one partition per batch, so a repeated batch replaces itself.
+
+    With `compact_every`, partitions of older batches are gathered now and then.
+    """
     def write(batch: DataFrame, number: int) -> None:
         (batch.withColumn("batch", F.lit(number)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+        if compact_every and number and number % compact_every == 0:
+            compact(batch.sparkSession, path, number - LEFT_ALONE)
     return write
 
 
@@ -32,14 +41,20 @@ def compact(spark: SparkSession, path: str, upto: int) -> None:
     """Gather the batches up to `upto` into that one's partition.
 
     To be run between batches, for ones that will not be repeated. The gathered rows
-    keep their batch number in `from_batch`.
+    keep their batch number in `from_batch`, by which one that ended halfway is made up for:
+    what has been gathered already is not gathered again.
     """
     old = [int(c.removeprefix("batch=")) for c in children(spark, path) if c.startswith("batch=")]
     old = [n for n in old if n <= upto]
     if len(old) < 2:
         return
-    rows = spark.read.parquet(path).where(F.col("batch") <= upto)
-    if "from_batch" not in rows.columns:
+    rows = spark.read.option("mergeSchema", True).parquet(path).where(F.col("batch") <= upto)
+    if "from_batch" in rows.columns:
+        gathered = rows.where("from_batch IS NOT NULL")
+        done = gathered.select(F.col("from_batch").alias("batch")).distinct()
+        rows = gathered.unionByName(rows.where("from_batch IS NULL")
+                                    .join(done, "batch", "left_anti").select(*rows.columns))
+    else:
         rows = rows.withColumn("from_batch", F.lit(None).cast("int"))
     with scratch(spark):
         rows = materialise(rows.withColumn("from_batch", F.coalesce("from_batch", "batch"))

@@ -130,11 +130,13 @@ def test_online_job(spark, sf_dir, tmp_path):
     """All four feeds of the online job run on the same streams."""
     g, out = Given(spark, sf_dir), str(tmp_path / "out")
     queries = jobs.start_online_counts(
-        g.events_of(stream=True), fixtures.room_comment_stream(spark, sf_dir),
-        lambda: g.heartbeat, out, str(tmp_path / "checkpoint"))
+        g.events_of(stream=True), fixtures.room_comment_stream(spark, sf_dir), out,
+        str(tmp_path / "checkpoint"), now=F.lit("2024-01-01").cast("timestamp"))
     for q in queries:
         q.processAllAvailable()
         q.stop()
+    figures = spark.read.parquet(f"{out}/online")
+    assert figures.count() > 0 and figures.where("average <= 0").count() == 0
     assert spark.read.parquet(f"{out}/comments").count() > 0
     assert spark.read.parquet(f"{out}/dwell").count() > 0
     beats = spark.read.parquet(f"{out}/heartbeats")
