@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from ..sources.scans import day_of, in_days
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -52,15 +53,18 @@ def measure(intervals: DataFrame, start: str, end: str) -> Reach:
 
 def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str], at: str,
                start: str = "start_time", end: str = "end_time",
-               day_column: str | None = None, broadcast_rows: int = BROADCAST_ROWS,
-               rows_per_salt: int = ROWS_PER_SALT, reach: Reach | None = None) -> DataFrame:
+               broadcast_rows: int = BROADCAST_ROWS, rows_per_salt: int = ROWS_PER_SALT,
+               reach: Reach | None = None, placed: bool = False) -> DataFrame:
     """Inner join: each fact with every interval of its key and start <= at <= end.
 
     `key` is (fact column, interval column); `intervals` should carry only the
-    columns the caller needs, none named like a fact column. `day_column` names
-    the fact table's date partition, if it has one, so that whole partitions
-    outside the measured span are skipped. `reach` passes on a measurement the
-    caller already has.
+    columns the caller needs, none named like a fact column. Of facts that lie in days
+    only the partitions of the measured span are read; the day is not in the result.
+    `reach` passes on a measurement the caller already has. `placed` says that the facts
+    lie in buckets of their key (`sinks.write_placed`): a large schedule is then brought to
+    them, and they are neither shuffled nor salted. That takes the setting
+    spark.sql.requireAllClusterKeysForCoPartition=false, and keys without a bucket that is
+    too large for a task.
     """
     fact_key, interval_key = key
     reach = reach or measure(intervals, start, end)
@@ -68,8 +72,8 @@ def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str],
         first = F.timestamp_micros(F.lit(reach.first))
         last = F.timestamp_micros(F.lit(reach.last))
         facts = facts.where((F.col(at) >= first) & (F.col(at) <= last))
-        if day_column:
-            facts = facts.where(F.col(day_column).between(F.to_date(first), F.to_date(last)))
+        facts = in_days(facts, first, last)
+    facts = facts.drop(*day_of(facts))
 
     by_day = (
         intervals.where(F.col(start) <= F.col(end))
@@ -81,6 +85,8 @@ def covered_by(facts: DataFrame, intervals: DataFrame, *, key: tuple[str, str],
           & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
     if reach.rows <= broadcast_rows and reach.bytes <= BROADCAST_BYTES:
         by_day = F.broadcast(by_day)
+    elif placed:
+        by_day = by_day.hint("merge")
     else:
         heavy = heavy_days(facts, fact_key, "_fact_day", rows_per_salt)
         spread = F.pmod(F.xxhash64(*facts.columns), F.col("_salts"))

@@ -191,26 +191,59 @@ def average_of_dwell(dwell: DataFrame) -> DataFrame:
         F.expr("sum(seconds) div count(*)").alias("average"))
 
 
-def watch_sessions(heartbeat: DataFrame, gap: int = fixed.SILENCE) -> DataFrame:
-    """Stretches of watching without a silence of `gap` seconds.
+def watch_segments(heartbeat: DataFrame, gap: int = fixed.SILENCE) -> DataFrame:
+    """Stretches of watching within a day: (extra_id, type, viewer, day, started, last, beats).
 
-    Heartbeats collapse to one row per viewer and second before the session
-    window sorts a viewer, which bounds what one viewer brings.
+    Heartbeats collapse to one row per viewer and second before the session window sorts
+    a viewer's day. Segments of days can be kept and stitched later.
     """
+    viewer = ["extra_id", "type", "viewer"]
     beats = (
         presence(heartbeat)
-        .groupBy("extra_id", "type", "viewer", F.date_trunc("second", "logtime").alias("at"))
+        .groupBy(*viewer, F.date_trunc("second", "logtime").alias("at"))
         .agg(F.count("*").alias("n"))
     )
     return (
-        beats.groupBy("extra_id", "type", "viewer",
+        beats.groupBy(*viewer, F.to_date("at").alias("day"),
                       F.session_window("at", f"{gap} seconds").alias("w"))
-        .agg(F.sum("n").alias("beats"))
-        .select("extra_id", "type", "viewer", F.col("w.start").alias("started"),
-                F.col("w.end").alias("ended"), "beats")
+        # Times of the beats, not of the window: a filter on the window, which is a key, would
+        # be pushed below the merging of windows and part them.
+        .agg(F.min("at").alias("started"), F.max("at").alias("last"), F.sum("n").alias("beats"))
+        .select(*viewer, "day", "started", "last", "beats")
     )
 
 
+def stitch(segments: DataFrame, gap: int = fixed.SILENCE) -> DataFrame:
+    """Segments of days put together where no silence parts them at midnight.
+
+    Only segments near a midnight can go on in the day before or after, at most two of a
+    viewer and day; these alone are put in order.
+    """
+    viewer = ["extra_id", "type", "viewer"]
+    pause = F.make_dt_interval(secs=F.lit(gap))
+    midnight = F.col("day").cast("timestamp")
+    at_edge = (F.col("started") - pause <= midnight) | (
+        F.col("last") + pause >= F.date_add("day", 1).cast("timestamp"))
+    in_order = Window.partitionBy(*viewer).orderBy("started")
+    begins = F.coalesce(F.col("started") > F.lag("last").over(in_order) + pause, F.lit(True))
+    joined = (
+        segments.where(at_edge).withColumn("_begins", begins.cast("int"))
+        .withColumn("_run", F.sum("_begins").over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy(*viewer, "_run").agg(F.min("started").alias("started"),
+                                      F.max("last").alias("last"), F.sum("beats").alias("beats"))
+    )
+    columns = [*viewer, "started", "last", "beats"]
+    return joined.select(*columns).unionByName(segments.where(~at_edge).select(*columns))
+
+
+def watch_sessions(heartbeat: DataFrame, gap: int = fixed.SILENCE) -> DataFrame:
+    """Stretches of watching without a silence of `gap` seconds, over any number of days."""
+    return stitch(watch_segments(heartbeat, gap), gap).select(
+        "extra_id", "type", "viewer", "started",
+        (F.col("last") + F.make_dt_interval(secs=F.lit(gap))).alias("ended"), "beats")
+
+
 def slice_coverage(df: DataFrame, ts: str, seconds: int = 60) -> DataFrame:
     """Rows per slice of each day, empty slices included: [from, to) of the day."""
     per_day = 86400 // seconds

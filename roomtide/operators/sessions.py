@@ -95,7 +95,8 @@ def gift_income(income: DataFrame, sessions: DataFrame, **join) -> DataFrame:
     spans = sessions.select(F.col("id").alias("live_id"), F.col("uid").alias("host"),
                             F.date_trunc("second", "start_time").alias("win_start"),
                             F.date_trunc("second", "end_time").alias("win_end"))
-    paid = income.where(F.col("status") == 0).select("p_uid", "divide_money", "c_time")
+    paid = income.where(F.col("status") == 0).select("p_uid", "divide_money", "c_time",
+                                                     *scans.day_of(income))
     return (
         covered_by(paid, spans, key=("p_uid", "host"), at="c_time",
                    start="win_start", end="win_end", **join)

@@ -48,7 +48,7 @@ def session_heartbeats(heartbeat: DataFrame, sessions: DataFrame, *keep: str) ->
         "start_time", "end_time")
     beats = heartbeat.where(F.col("type") == fixed.ROOM_VIDEO).select(
         "extra_id", "device_id", "uid", "ext", "fr", "is_online", "p_uid", "c_time",
-        "logtime")
+        "logtime", *scans.day_of(heartbeat))
     return covered_by(beats, ended, key=("extra_id", "room"), at="logtime").select(
         "live_id", "start_time", "end_time", "extra_id", "device_id", "uid", "ext",
         "fr", "is_online", "p_uid", "c_time", F.lit(fixed.ROOM_VIDEO).alias("type"), *keep)
@@ -64,7 +64,7 @@ def viewer_dwell(heartbeat: DataFrame, spans: DataFrame, **join) -> DataFrame:
         (F.col("type") == fixed.ROOM_VIDEO) & (F.col("device_id") != "")
         & F.col("uid").isNotNull()
     ).select("extra_id", "uid", "device_id", "logtime",
-             scalars.beat_seconds(F.col("second")).alias("sec"))
+             scalars.beat_seconds(F.col("second")).alias("sec"), *scans.day_of(heartbeat))
     return (
         covered_by(beats, spans, key=("extra_id", "room"), at="logtime",
                    start="win_start", end="win_end", **join)

@@ -32,8 +32,9 @@ def _day_before(day: str) -> str:
 
 def extract_slots(api_log: DataFrame, start: str, end: str, out: str, **options) -> None:
     """Slot events of the days start..end into their day partitions, in one pass."""
-    days = api_log.where((F.col("log_time") >= F.lit(start).cast("timestamp"))
-                         & (F.col("log_time") < F.lit(_day_after(end)).cast("timestamp")))
+    first, after = (F.lit(d).cast("timestamp") for d in (start, _day_after(end)))
+    days = scans.in_days(api_log, first, after).where(
+        (F.col("log_time") >= first) & (F.col("log_time") < after))
     events = slots.slot_events(days, **options)
     sinks.replace_days(records.route_by_event_date(events, "log_time"), out, start, end)
 
@@ -55,9 +56,9 @@ def extract_session_heartbeats(heartbeat: DataFrame, session: DataFrame, start:
     first, after = (F.lit(d).cast("timestamp") for d in (_day_before(start),
                                                          _day_after(_day_after(end))))
     overlapping = session.where((F.col("start_time") < after) & (F.col("end_time") >= first))
-    rows = vw.session_heartbeats(heartbeat.where((F.col("logtime") >= first)
-                                                 & (F.col("logtime") < after)), overlapping,
-                                 "logtime")
+    beats = scans.in_days(heartbeat, first, after).where(
+        (F.col("logtime") >= first) & (F.col("logtime") < after))
+    rows = vw.session_heartbeats(beats, overlapping, "logtime")
     sinks.replace_days(records.route_by_event_date(rows, said="c_time").drop("logtime"), out,
                        start, end)
 

@@ -209,9 +209,12 @@ def partition_overwrite(g: Given) -> DataFrame:
 def full_table_overwrite(g: Given) -> DataFrame:
     """A catalog table that is written, and then overwritten whole."""
     name = f"session_table_{uuid.uuid4().hex}"
-    for rows in (g.session, g.eligible):
-        sinks.write_table(rows, name)
-    return g.spark.table(name)
+    try:
+        for rows in (g.session, g.eligible):
+            sinks.write_table(rows, name)
+        return materialise(g.spark.table(name), "session-table")
+    finally:
+        g.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def report_tsv(g: Given) -> DataFrame:

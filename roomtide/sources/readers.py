@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import children
+from .scans import DAY
+
 SCHEMAS = {
     "heartbeat": (
         "c_time string, device_id string, ext string, extra_id string, fr string, "
@@ -33,8 +36,11 @@ SCHEMAS = {
 
 def read_files(spark: SparkSession, table: str, path: str, fmt: str = "parquet",
                **options: str) -> DataFrame:
-    """A logical table from parquet, ORC, JSON lines or CSV, with its fixed schema."""
-    return spark.read.format(fmt).options(**options).schema(SCHEMAS[table]).load(path)
+    """A logical table from parquet, ORC, JSON lines or CSV, with its fixed schema, and its
+    day partition if it is kept by day."""
+    by_day = any(c.startswith(f"{DAY}=") for c in children(spark, path))
+    schema = SCHEMAS[table] + (f", {DAY} date" if by_day else "")
+    return spark.read.format(fmt).options(**options).schema(schema).load(path)
 
 
 def stream_files(spark: SparkSession, schema: str, path: str, fmt: str = "parquet",

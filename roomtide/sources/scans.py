@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 
 LIVE_ROOM_TYPES = (fixed.ROOM_VIDEO, fixed.ROOM_TEXT)
+# The day partition of tables that are kept by day; it is that of the time they are asked by.
+DAY = "dt"
+
+
+def day_of(rows: DataFrame) -> list[str]:
+    """The day partition, if the table has one, for projections that are to keep it."""
+    return [DAY] if DAY in rows.columns else []
+
+
+def in_days(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """The rows of the days from first to last: whole partitions outside are not read. A
+    table that does not lie in days is left as it is."""
+    return rows.where(F.col(DAY).between(F.to_date(first), F.to_date(last))) \
+        if DAY in rows.columns else rows
 
 
 def _time(value: str | Column) -> Column:
@@ -24,7 +38,7 @@ def heartbeats(heartbeat: DataFrame, start, end, *, room: str | None = None,
     """
     ts = F.col("logtime")
     upper = ts <= _time(end) if closed else ts < _time(end)
-    out = heartbeat.where((ts >= _time(start)) & upper)
+    out = in_days(heartbeat, _time(start), _time(end)).where((ts >= _time(start)) & upper)
     if types is not None:
         out = out.where(F.col("type").isin(*types))
     if room:
@@ -38,7 +52,8 @@ def api_logs(api_log: DataFrame, start, end, actions: tuple[str, ...], *,
     """All wanted actions in one pass: log_time in [start, end), or closed."""
     ts = F.col("log_time")
     upper = ts <= _time(end) if closed else ts < _time(end)
-    return (api_log.where((ts >= _time(start)) & upper & F.col("action").isin(*actions))
+    return (in_days(api_log, _time(start), _time(end))
+            .where((ts >= _time(start)) & upper & F.col("action").isin(*actions))
             .select(*columns))
 
 
@@ -88,7 +103,8 @@ def open_sessions(session: DataFrame, today) -> DataFrame:
 def comments(comment: DataFrame, start, end, room: str | None = None) -> DataFrame:
     """Comments with c_time in [start, end]; a NULL number reads as 0."""
     ts = F.col("c_time")
-    out = comment.where((ts >= _time(start)) & (ts <= _time(end)))
+    out = in_days(comment, _time(start), _time(end)).where(
+        (ts >= _time(start)) & (ts <= _time(end)))
     if room:
         out = out.where(F.col("relation_id") == room)
     return comment_numbers(out)
@@ -98,12 +114,13 @@ def comment_numbers(comment: DataFrame) -> DataFrame:
     numbers = ("u_type", "uid", "discussion_type", "is_robot", "reply_id")
     return comment.select(
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in numbers],
-        "c_time", "relation_id")
+        "c_time", "relation_id", *day_of(comment))
 
 
 def incomes(income: DataFrame, start, end, planner: int | None = None) -> DataFrame:
     ts = F.col("c_time")
-    out = income.where((F.col("status") == 0) & (ts >= _time(start)) & (ts <= _time(end)))
+    out = in_days(income, _time(start), _time(end)).where(
+        (F.col("status") == 0) & (ts >= _time(start)) & (ts <= _time(end)))
     return out.where(F.col("p_uid") == planner) if planner is not None else out
 
 

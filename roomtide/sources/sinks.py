@@ -61,6 +61,13 @@ def write_day(df: DataFrame, path: str, dt: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/dt={dt}")
 
 
+def write_placed(df: DataFrame, name: str, key: str, buckets: int, day: str = "dt") -> None:
+    """Overwrite a catalog table that lies in days and, within them, in buckets of a key, for
+    joins on the key that need not move it."""
+    (df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet")
+     .partitionBy(day).bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+
+
 def write_table(df: DataFrame, name: str) -> None:
     """Overwrite a whole catalog table."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import fixed
 from ..operators.rooms import presence, seconds_in_gaps
+from ..session import keep_stream_state
 
 BROKEN_GAP, SILENCE, FULL_GAP = fixed.BROKEN_GAP, fixed.SILENCE, fixed.FULL_GAP
 
@@ -87,8 +88,9 @@ def dwell_state(heartbeat: DataFrame, lateness: str = "1 minute") -> DataFrame:
 
     A silence is reported once the watermark is past it, with its worth in the seconds and
     no last one; before that, `latest` adds it by the clock. Needs a state store that keeps
-    single values, as `session.keep_stream_state` sets it.
+    single values, so the session is set to one.
     """
+    keep_stream_state(heartbeat.sparkSession)
     beats = presence(heartbeat).withWatermark("logtime", lateness).select(
         F.floor(F.unix_seconds("logtime") / DAY).cast("int").alias("day_number"), *KEYS[1:],
         "logtime", F.unix_seconds("logtime").alias("sec"))

@@ -7,9 +7,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from roomtide.functions import fixed
+from roomtide.operators import viewers as vw
 from roomtide.plans import jobs
 from roomtide.session import children, exists, matching, shared_dir
-from roomtide.sources import buckets, readers, sinks
+from roomtide.sources import buckets, readers, scans, sinks
 from roomtide.streaming import dwell, feeds, refresh
 
 
@@ -229,3 +230,67 @@ def test_clocks_of_clients_across_midnight_blank_or_wrong(spark, tmp_path):
         got = spark.read.parquet(out)
         assert rows(got.select("device_id", F.col("dt").cast("string"))) == want
         assert "logtime" not in got.columns
+
+
+def scanned(df):
+    """The scans of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_tables_kept_by_day_are_read_by_day(spark, tmp_path):
+    tables, out = str(tmp_path / "t"), str(tmp_path / "o")
+    sessions = table(spark, "session", [show(n, day(n, 10), day(n, 12)) for n in range(1, 9)])
+    beats = table(spark, "heartbeat", [beat(day(n, 11, m), device=f"d{m % 3}") for n in range(1, 9)
+                                       for m in range(20)])
+    plain = vw.viewer_dwell(beats, vw.windows(sessions.where("id IN (3, 4)")))
+    jobs.extract_heartbeats(beats, "2024-01-01", "2024-01-08", f"{tables}/heartbeat")
+    kept = readers.read_files(spark, "heartbeat", f"{tables}/heartbeat")
+    assert kept.columns[-1] == "dt"
+    by_day = vw.viewer_dwell(kept, vw.windows(sessions.where("id IN (3, 4)")))
+    assert rows(by_day) == rows(plain) and by_day.columns == plain.columns
+    assert "dt" in scanned(by_day)[0].split("PartitionFilters: [")[1].split("]")[0]
+    one = scans.heartbeats(kept, "2024-01-03", "2024-01-04")
+    assert "dt" in scanned(one)[0].split("PartitionFilters: [")[1].split("]")[0]
+    # The whole job on tables by day.
+    sessions.write.parquet(f"{tables}/session")
+    for name, at_column in (("comment", "c_time"), ("income", "c_time")):
+        table(spark, name, []).withColumn("dt", F.to_date(at_column)).write.parquet(f"{tables}/{name}/dt=2024-01-01")
+    jobs.main(["sessions", "2024-01-01", "2024-01-09", "--tables", tables, "--out", out])
+    got = buckets.read(spark, f"{out}/metrics")
+    assert rows(got.select("live_id", "view_count")) == [(n, 3) for n in range(1, 9)]
+    jobs.main(["session-heartbeats", "2024-01-03", "2024-01-04", "--tables", tables, "--out", f"{out}-h"])
+    assert spark.read.parquet(f"{out}-h").count() == 40
+
+
+def test_facts_in_buckets_are_joined_where_they_lie(spark, tmp_path):
+    from roomtide.operators import intervals
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS placed LOCATION '{tmp_path}/placed'")
+    facts = spark.range(3000).select(
+        F.concat(F.lit("r"), (F.col("id") % 37).cast("string")).alias("room"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 211).alias("t")).withColumn(
+            "dt", F.to_date("t"))
+    spans = spark.range(200).select(
+        F.col("id"), F.concat(F.lit("r"), (F.col("id") % 37).cast("string")).alias("key"),
+        F.timestamp_seconds(F.lit(1704067200 + 86400) + F.col("id") * 900).alias("start_time"),
+        F.timestamp_seconds(F.lit(1704067200 + 97000) + F.col("id") * 1700).alias("end_time"))
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sinks.write_placed(facts, "placed.facts", "room", 8)
+        join = dict(key=("room", "key"), at="t", broadcast_rows=0)
+        got = intervals.covered_by(spark.table("placed.facts"), spans, placed=True, **join)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        want = intervals.covered_by(facts, spans, **join)
+        assert rows(got) == rows(want) and got.columns == want.columns and got.count() > 100
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sql("DROP DATABASE placed CASCADE")
+    side = plan.splitlines()
+    at = next(i for i, line in enumerate(side) if "FileScan" in line)
+    # Only the schedule is brought over.
+    assert plan.count("Exchange") == 1 and "Range" in plan[plan.index("Exchange"):]
+    assert "dt" in side[at].split("PartitionFilters: [")[1].split("]")[0]

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -170,3 +171,26 @@ def test_json_snapshot_round_trip(spark, columns):
     snap = records.json_snapshot(df, "a", ("a", "b", "t"))
     assert rows(snap) == [("1", '{"a":"1","b":"2.5","t":"2024-01-01 10:00:00"}')]
     assert rows(records.flatten(snap.select("value"), "value", ("b", "missing"))) == [("2.5", "")]
+
+
+def test_watch_sessions_over_midnights(spark):
+    """Days are stitched; the stretches are those of one session window over all."""
+    rng = random.Random(5)
+    midnight = datetime(2024, 1, 5).timestamp()
+    data = []
+    for v in range(12):
+        t = midnight - 3 * 86400 + rng.randrange(86400)
+        while t < midnight + 2 * 86400:
+            # Some watch without end, some stop and come back, around midnight more often.
+            near = abs((t - midnight) % 86400 - 86400) < 400 or (t - midnight) % 86400 < 400
+            t += rng.choice((1, 34, 35) if v % 3 == 0 and near else (1, 34, 35, 36, 50) if near else ((30, 35) if v % 3 == 0 else (20, 4000, 9000)))
+            data.append(beat(datetime.fromtimestamp(t), uid=str(v)))
+    beats = table(spark, "heartbeat", data)
+    plain = (rooms.presence(beats).groupBy("viewer", F.session_window("logtime", "35 seconds").alias("w"))
+             .agg(F.count("*").alias("beats")).select("viewer", "w.start", "w.end", "beats"))
+    got = rooms.watch_sessions(beats).select("viewer", "started", "ended", "beats")
+    assert rows(got) == [tuple(r) for r in rows(plain)]
+    assert max((r[2] - r[1]).total_seconds() for r in rows(got)) > 2 * 86400
+    # The window merges within a viewer's day.
+    lines = rooms.watch_segments(beats)._jdf.queryExecution().analyzed().toString().splitlines()
+    assert any("session_window" in x and "to_date(at" in x for x in lines if "Aggregate" in x)
