@@ -57,6 +57,31 @@ def marked(turns: list[Turn]) -> str:
                    for role, text in turns)
 
 
+# What `shortened` leaves of an answer that has been followed up.
+KEPT = 80
+
+
+def shortened(turns: list[Turn]) -> str:
+    """A template that rewrites history, as those do which drop earlier reasoning: once a
+    user writes again, longer answers before are cut to KEPT characters."""
+    last = max((i for i, (role, _) in enumerate(turns) if role == "user"), default=-1)
+    return "".join(
+        marked([turn]) if turn[0] != "assistant" or i > last or len(turn[1]) <= KEPT else
+        f"<|im_start|>assistant\n{escape(turn[1][:KEPT])}<|cut|><|im_end|>\n"
+        for i, turn in enumerate(turns))
+
+
+def first_rewrite(template: Template, turns: list[Turn]) -> int:
+    """The first turn with which a template changes what it wrote before (-1: none)."""
+    out = template([])
+    for i in range(len(turns)):
+        more = template(turns[:i + 1])
+        if not more.startswith(out):
+            return i
+        out = more
+    return -1
+
+
 def turn_spans(template: Template, turns: list[Turn]) -> tuple[str, list[tuple[int, int]], int]:
     """Output, the span each turn added, and the first turn that rewrote history (-1: none)."""
     out, spans, rewrote = template([]), [], -1
@@ -94,9 +119,11 @@ def content_span(template: Template, before: list[Turn], turn: Turn,
 class _Conversation:
     """What is known of one conversation while its turns stream by."""
 
-    def __init__(self, name, template: Template, keep: bool, turn_local: bool):
+    def __init__(self, name, template: Template, keep: bool, turn_local: bool,
+                 watched: Template | None):
         self.name, self.template, self.keep = name, template, keep
-        self.turn_local = turn_local
+        self.turn_local, self.watched = turn_local, watched
+        self.watched_rewrote: int | None = None
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n = self.loss_chars = self.chars = 0
         self.rewrote = -1
@@ -121,6 +148,8 @@ class _Conversation:
                 lead and out[spans[0][0]:spans[0][1]] != self.seam)):
             raise ValueError("the template does not write every turn by itself: turn_local is wrong")
         self.rewrote = rewrote
+        if self.watched:
+            self.watched_rewrote = first_rewrite(self.watched, self.part)
         # A part without a lead is the beginning, with whatever stands before its first turn.
         first = spans[1][0] if lead else 0
         shift = self.chars - first
@@ -154,28 +183,28 @@ class _Conversation:
     def row(self) -> tuple:
         self.close()
         return (self.name, self.n, self.turns.hexdigest(), self.loss_chars,
-                self.loss.hexdigest(), self.chars, self.rewrote,
+                self.loss.hexdigest(), self.chars, self.rewrote, self.watched_rewrote,
                 "".join(self.text) if self.keep else None,
                 [{"start": a, "end": b, "trained": t} for a, b, t in self.spans]
                 if self.keep else None)
 
 
 _COLUMNS = ("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-            "formatted_chars long, rewrote long, formatted string, "
+            "formatted_chars long, rewrote long, watched_rewrote long, formatted string, "
             "spans array<struct<start: long, end: long, trained: boolean>>")
-_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(),
-          pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
+_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(),
+          pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                               ("trained", pa.bool_())]))]
 
 
-def _format(template: Template, keep: bool, turn_local: bool):
+def _format(template: Template, keep: bool, turn_local: bool, watched: Template | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(rows, kind):
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], k) for i, k in enumerate([kind, *_KINDS])],
                 names=["conv_id", *(c.split()[0] for c in (
                     "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
-                    "rewrote", "formatted", "spans"))])
+                    "rewrote", "watched_rewrote", "formatted", "spans"))])
 
         now, rows, held, kind = None, [], 0, pa.int64()
         for batch in batches:
@@ -190,7 +219,7 @@ def _format(template: Template, keep: bool, turn_local: bool):
                         if len(rows) >= 1000 or held > 1 << 24:
                             yield emit(rows, kind)
                             rows, held = [], 0
-                    now = _Conversation(name, template, keep, turn_local)
+                    now = _Conversation(name, template, keep, turn_local, watched)
                 now.add((role or "", text or ""))
         if now is not None:
             rows.append(now.row())
@@ -201,16 +230,21 @@ def _format(template: Template, keep: bool, turn_local: bool):
 
 
 def format_conversations(turns: DataFrame, template: Template = marked, *,
-                         keep: bool = True, turn_local: bool = False) -> DataFrame:
+                         keep: bool = True, turn_local: bool = False,
+                         watched: Template | None = None) -> DataFrame:
     """One row for each conv_id, with the formatted text and its spans if `keep`.
 
     turn_local promises that the template writes every turn by itself, see above.
-    Defined results: null roles and texts are empty; rows of one turn number go by
+    `watched` is a second template, of which only the first turn that rewrites history is
+    reported, as watched_rewrote; it is rendered up to there, over true prefixes.
+    An empty table gives no rows. Defined results: null roles and texts are empty; rows of one turn number go by
     role and text, and a row given twice is two turns; null turns come first; rows
     without a conv_id are one conversation; other columns are ignored.
     """
+    if watched and turn_local:
+        raise ValueError("a watched template needs true prefixes")
     kind = turns.schema["conv_id"].dataType.simpleString()
     rows = (turns.select("conv_id", "turn", "role", "text").repartition("conv_id")
             .sortWithinPartitions("conv_id", "turn", "role", "text"))
     return rows.select("conv_id", "role", "text").mapInArrow(
-        _format(template, keep, turn_local), f"conv_id {kind}, {_COLUMNS}")
+        _format(template, keep, turn_local, watched), f"conv_id {kind}, {_COLUMNS}")

@@ -259,6 +259,27 @@ def test_pii_odd_rows(odd, empty, network):
 
 
 # --- chat ------------------------------------------------------------------------------
+def test_a_watched_template_is_caught_where_it_rewrites(spark):
+    """Reported is the first turn whose output does not go on from the one before."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for conv in range(40):
+        turns = [(rng.choice(("user", "assistant", "system")), "x" * rng.choice((1, 80, 81, 300)) + "<|")
+                 for _ in range(rng.randrange(1, 12))]
+        rows += [(conv, i, *t) for i, t in enumerate(turns)]
+        outs = [chat.shortened(turns[:i]) for i in range(len(turns) + 1)]
+        want[conv] = next((i for i in range(len(turns)) if not outs[i + 1].startswith(outs[i])), -1)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(df, watched=chat.shortened).collect()
+    assert {r["conv_id"]: r["watched_rewrote"] for r in got} == want
+    assert len(set(want.values())) > 3 and {r["rewrote"] for r in got} == {-1}
+    plain = chat.format_conversations(df).collect()
+    assert {r["watched_rewrote"] for r in plain} == {None}
+    assert [r["formatted"] for r in plain] == [r["formatted"] for r in got]
+    with pytest.raises(ValueError):
+        chat.format_conversations(df, turn_local=True, watched=chat.shortened)
+
+
 @given(st.text(alphabet="<|\\im_start>e\n", max_size=40))
 def test_escapes_are_reversible(text):
     assert "<|" not in chat.escape(text) and chat.unescape(chat.escape(text)) == text
