@@ -15,7 +15,10 @@ Defined results: null or empty texts have no hits; items without any letter or
 digit are never found; items shorter than q are compared by grams of their own
 length and without edits, also inside words, so chance may find them: a caller who
 drops texts asks for items of `least` characters; items with equal texts are all
-reported; a row given twice has its hits twice; other columns are kept.
+reported; an item without an id is reported as -1; of an item that stands in a text more
+than once the best stretch is reported; a row given twice has its hits twice; very long
+texts are searched whole; an empty table gives no rows, an empty benchmark no hits; other
+columns are kept, and one that has the name of the result is an error.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ nearest language still given.
 
 Defined results: a null text or one without a letter is `und` with score 0, and so
 is every text if no row could be learned from; texts with equal cosines go to the
-first language by name; rows without an id are not learned from; other columns
-are ignored.
+first language by name; rows without an id are not learned from; a row given twice is
+learned from twice and gets its answer twice; very long texts are read whole; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

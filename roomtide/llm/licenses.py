@@ -7,11 +7,14 @@ of every text is looked up. The places that a text and a template share are
 gathered by diagonal into candidate regions, and each region is aligned within a
 band. A match is reported with its share of the template's words and its span.
 Licenses of like wording are told apart by the words that tell: a match must hold
-every word with a digit that its template has, and just its names and clauses.
+every word with a digit that its template has, and just its names and clauses. Where a
+holder's name stands inside a template, as in the clauses of BSD, it may be any name.
 
 Defined results: null or empty texts have no matches; a template is found as often
 as it stands in a text; overlapping matches of one template are one, the better;
-templates without words are ignored; a row given twice has its matches twice.
+templates without words are ignored; a row given twice has its matches twice; very long
+texts are scanned whole; an empty table gives no rows; other columns are kept, and one
+that has the name of the result is an error.
 """
 
 from __future__ import annotations
@@ -112,8 +115,65 @@ for _version, _port in (("4.0", "International"), ("3.0", "Unported")):
             f"CC-{_name}-{_version}-text",
             f"This work is licensed under a Creative Commons {_kind} {_version} {_port} License.")
 
+NOTICES["MPL-1.1-text"] = (
+    "The contents of this file are subject to the Mozilla Public License Version 1.1 (the "
+    "\"License\"); you may not use this file except in compliance with the License.")
+# Whole texts of short licenses.
+_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+    "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+    "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+NOTICES["MIT-whole"] = (
+    NOTICES["MIT-text"] + ", and to permit persons to whom the Software is furnished to do so, subject to "
+    "the following conditions: The above copyright notice and this permission notice shall be included in "
+    "all copies or substantial portions of the Software. " + _WARRANTY)
+NOTICES["ISC-whole"] = (
+    NOTICES["ISC-text"] + ". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES "
+    "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO "
+    "EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE.")
+_BSD_CONDITIONS = (
+    NOTICES["BSD-text"] + ": 1. Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+    "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.")
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+    "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+NOTICES["BSD-2-Clause-whole"] = f"{_BSD_CONDITIONS} {_BSD_WARRANTY}"
+NOTICES["BSD-3-Clause-whole"] = (
+    f"{_BSD_CONDITIONS} 3. {NOTICES['BSD-3-Clause-text']} {_BSD_WARRANTY}")
+NOTICES["Zlib-whole"] = (
+    NOTICES["Zlib-text"] + " Permission is granted to anyone to use this software for any purpose, "
+    "including commercial applications, and to alter it and redistribute it freely, subject to the "
+    "following restrictions: 1. The origin of this software must not be misrepresented; you must not "
+    "claim that you wrote the original software. If you use this software in a product, an acknowledgment "
+    "in the product documentation would be appreciated but is not required. 2. Altered source versions "
+    "must be plainly marked as such, and must not be misrepresented as being the original software. 3. "
+    "This notice may not be removed or altered from any source distribution.")
+# Tags in source files.
+for _name in ("MIT", "ISC", "Zlib", "Unlicense", "Apache-2.0", "BSL-1.0", "MPL-1.1", "MPL-2.0",
+              "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+              "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+              "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-4.0",
+              "CC-BY-SA-4.0", "CC-BY-NC-4.0"):
+    NOTICES[f"{_name}-tag"] = f"SPDX-License-Identifier: {_name}"
+
+# Templates in which a holder's name stands.
+WITH_HOLDER = ("BSD-3-Clause-text", "BSD-3-Clause-whole")
 # Names and clauses, by what they say: a match has those of its template and no others.
-TELLING = {w: w for w in ("mit isc apache bsd boost affero lesser unencumbered").split()} | {
+TELLING = {w: w for w in ("mit", "isc", "apache", "bsd", "boost", "affero", "lesser", "unencumbered",
+                          "gpl", "zlib", "unlicense", "only", "later", "bsl", "cc0")} | {
     "mozilla": "mpl", "mpl": "mpl", "nc": "nc", "noncommercial": "nc", "commercial": "nc", "nd": "nd",
     "noderivatives": "nd", "noderivs": "nd", "sa": "sa", "sharealike": "sa", "agpl": "affero",
     "lgpl": "lesser"}
@@ -179,7 +239,9 @@ class Templates:
 
     def told(self, k: int, words: np.ndarray) -> bool:
         """Whether a stretch of a text has the versions, names and clauses of a template."""
-        return self.digits[k] <= set(words.tolist()) and self.said(words) == self.tells[k]
+        named = self.said(words)
+        return self.digits[k] <= set(words.tolist()) and (
+            named == self.tells[k] or self.names[k] in WITH_HOLDER and self.tells[k] <= named)
 
 
 def _grams(words: np.ndarray, n: int | None = None) -> np.ndarray:

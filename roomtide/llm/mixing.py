@@ -17,7 +17,9 @@ No text is shuffled: what decides a row is one line per source and the row itsel
 Defined results: a null source is the empty one; a null or empty text has no tokens
 and goes with its block; a source without tokens is not in the mixture; rows of
 equal key lie in one block, and which of equal rows is the last to fit does not show
-in the result; other columns are kept.
+in the result; very long texts are counted whole; an empty table gives no rows; other
+columns are kept, and one that has the name of a result is an error unless a prefix is
+given.
 """
 
 from __future__ import annotations
@@ -107,11 +109,14 @@ def weights(stats: DataFrame, total: int, n: int, budget: int, entropy: float,
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *,
         budget: int | None = None, entropy: float = ENTROPY, epochs: float = EPOCHS,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, prefix: str = "") -> DataFrame:
     """The rows of the mixture: all columns of docs, `epoch` and `block_order`.
 
-    `budget` is in tokens, by default as many as docs has.
+    `budget` is in tokens, by default as many as docs has; `prefix` goes before the two names.
     """
+    names = (f"{prefix}epoch", f"{prefix}block_order")
+    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
+        raise ValueError("the rows already have columns of these names; give a prefix")
     own = F.coalesce(F.col(source).cast("string"), F.lit(""))
     marked = docs.withColumns({"__source": own, "__block": block_of(F.col(key), seed)})
     blocks = materialise(marked.select("__source", "__block", tokens(F.col(text)).alias("n"))
@@ -119,10 +124,10 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     stats = blocks.groupBy(F.col("__source").alias("source")).agg(
         F.sum("tokens").alias("tokens")).where("tokens > 0")
     total, n = stats.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count("*")).first()
-    out = [*docs.columns, "epoch", "block_order"]
+    out = [*docs.columns, *names]
     if not total:
         return marked.where("false").withColumns(
-            {"epoch": F.lit(0), "block_order": F.lit("")}).select(*out)
+            {names[0]: F.lit(0), names[1]: F.lit("")}).select(*out)
     given = total if budget is None else budget
     weighted, _ = weights(stats, total, n, given, entropy, epochs)
     plan = weighted.withColumn("budget", F.floor(F.col("weight") * F.lit(float(given)))) \
@@ -147,9 +152,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         "__place", block_order(F.col("__source"), F.col("__full"), F.col("__block"), seed))
     last = F.when((F.col("__place") < F.col("__cut")), F.col("__full")).otherwise(
         F.col("__full") - 1)
-    whole = (placed.where(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), last)))
-             .withColumn("block_order", block_order(F.col("__source"), F.col("epoch"),
-                                                    F.col("__block"), seed)))
+    whole = (placed.where(last >= 0).withColumn(names[0], F.explode(F.sequence(F.lit(0), last)))
+             .withColumn(names[1], block_order(F.col("__source"), F.col(names[0]),
+                                               F.col("__block"), seed)))
     inside = Window.partitionBy("__source").orderBy("__code", "__key", "__n").rowsBetween(
         Window.unboundedPreceding, 0)
     part = (placed.where("__block = __at and __place = __cut")
@@ -157,5 +162,5 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
                           "__code": _code(F.lit(str(seed)), F.coalesce(
                               F.col(key).cast("string"), F.lit("")))})
             .withColumn("__sum", F.sum("__n").over(inside)).where("__sum <= __left")
-            .withColumns({"epoch": F.col("__full"), "block_order": F.col("__place")}))
+            .withColumns({names[0]: F.col("__full"), names[1]: F.col("__place")}))
     return whole.select(*out).unionByName(part.select(*out))

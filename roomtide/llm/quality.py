@@ -12,7 +12,9 @@ whole text.
 Defined results: a null text is an empty one and is scored like any other;
 metadata columns that are missing or null are a range of their own; labels that
 are null are not learned from, and repeated labels of a document are averaged;
-without labels of both kinds every score is the share of good labels, or 0.5.
+without labels of both kinds every score is the share of good labels, or 0.5; very
+long texts are read whole; an empty table gives no rows; rows that are equal have equal
+scores; a kept column that has the name of the score is an error.
 """
 
 from __future__ import annotations
@@ -254,7 +256,11 @@ def _score(machine: Machine, names: list[str], kept: list[str], text: str, out:
 def score(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text",
           metadata: tuple[str, ...] = ("n_chars",), out: str = "score") -> DataFrame:
     """The columns `keep` of every row and its score in column `out`."""
-    names = [f"__meta{i}" for i in range(len(metadata))]
+    if out in keep:
+        raise ValueError(f"the rows already have a column {out}; name another")
+    # Longer than any kept name.
+    longer = "_" * max(map(len, keep), default=0)
+    names = [f"{longer}meta{i}" for i in range(len(metadata))]
     name, columns = tx.text_column(keep, text)
     rows = docs.select(*columns, *(c.alias(n) for n, c in zip(names, _metadata_of(docs, metadata))))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)

@@ -525,3 +525,124 @@ def test_language_odd_rows(odd, empty):
 def test_query_against_sql(spark, name):
     from oracle_check import compare, connect
     assert compare(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) == ""
+
+
+# --- licenses and languages by brute force ---------------------------------------------
+def best_alignment(item, text):
+    """Matched words and limits of the best local alignment of two word lists, over the whole
+    table: a match counts 2; a change, a gap and an extra word cost 1."""
+    rows = [[(0, 0, j) for j in range(len(text) + 1)]]
+    best = (0, 0, 0, 0)
+    for i, a in enumerate(item, 1):
+        row = [(0, 0, 0)]
+        for j, b in enumerate(text, 1):
+            score, same, begin = rows[-1][j - 1]
+            ways = [(score + (2 if a == b else -1), same + (a == b), begin)]
+            ways += [(s - 1, n, at) for s, n, at in (rows[-1][j], row[j - 1])]
+            value = max(ways, key=lambda w: w[0])
+            row.append(value if value[0] > 0 else (0, 0, j))
+            if row[-1][0] > best[0]:
+                best = (row[-1][0], row[-1][1], row[-1][2], j)
+        rows.append(row)
+    return best
+
+
+def test_licenses_against_the_whole_alignment_table(spark):
+    rng = random.Random(9)
+    split = lambda t: re.findall("[a-z0-9]+", t.lower())
+    names = ["MIT", "GPL-2.0", "GPL-3.0", "Apache-2.0", "LGPL-2.1", "CC-BY-4.0", "CC-BY-NC-4.0", "ISC",
+             "BSD-3-Clause-text", "MPL-2.0", "Zlib-text", "MIT-tag"]
+    notices = {n: licenses.NOTICES[n] for n in names}
+    texts = []
+    for _ in range(60):
+        said = split(notices[rng.choice(names)])
+        for _ in range(rng.choice((0, 0, 1, 2))):
+            at = rng.randrange(len(said))
+            said[at:at + rng.randrange(2)] = rng.choice(([], ["other"], ["a", "b"]))
+        texts.append(" ".join(["some", "code"] * rng.randrange(4) + said + ["and", "more"] * rng.randrange(4)))
+    known = licenses.Templates(notices)
+    found = {}
+    for t, k, share, _, _ in licenses.matches(known, block_of(*texts), licenses.COVERAGE):
+        found.setdefault(t, {})[known.names[k]] = share
+    telling = set(licenses.TELLING)
+    sure = 0
+    for t, text in enumerate(texts):
+        words = split(text)
+        for name in names:
+            item = split(notices[name])
+            _, same, begin, end = best_alignment(item, words)
+            told = lambda ws: {licenses.TELLING[w] for w in ws if w in telling}
+            stretch = words[begin:end]
+            fits = same >= licenses.COVERAGE * len(item) and {
+                w for w in item if any(c.isdigit() for c in w)} <= set(stretch) and (
+                told(stretch) == told(item) or name in licenses.WITH_HOLDER)
+            got = found.get(t, {}).get(name)
+            # Found is only what the whole table finds, with no better share.
+            assert got is None or fits and got <= same / len(item) + 1e-9, (name, text)
+            # Winnowing promises every template that shares a run of so many words.
+            run = min(licenses.GRAM + licenses.WINNOW - 1, len(item))
+            shared = {tuple(words[i:i + run]) for i in range(len(words))} & {
+                tuple(item[i:i + run]) for i in range(len(item) - run + 1)}
+            if fits and shared and same >= 0.9 * len(item):
+                sure += 1
+                assert got == pytest.approx(same / len(item)), (name, text)
+    assert sure >= 25
+
+
+def test_holders_tags_and_whole_licenses(spark):
+    clause = licenses.NOTICES["BSD-3-Clause-text"]
+    holders = ["the copyright holder", "the Apache Software Foundation", "MIT", "the ISC", "the Boost authors"]
+    texts = [clause.replace("the copyright holder", h) for h in holders]
+    texts += ["# SPDX-License-Identifier: MIT\nimport os", "SPDX-License-Identifier: GPL-2.0-only"]
+    texts += [f"Copyright 2020 somebody. {licenses.NOTICES[n]} int main" for n in ("MIT-whole", "Zlib-whole")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: {m["license"]: m["coverage"] for m in r["matches"]}
+           for r in licenses.scan(rows, ["doc_id"]).collect()}
+    assert all(got[i]["BSD-3-Clause-text"] > 0.85 for i in range(5))
+    assert "MIT-tag" in got[5] and set(got[6]) == {"GPL-2.0-only-tag"}
+    assert got[7]["MIT-whole"] == got[8]["Zlib-whole"] == 1.0
+    nc = spark.createDataFrame([(1, "Licensed under CC BY-NC 4.0.")], "doc_id long, text string")
+    assert [m["license"] for m in licenses.scan(nc, ["doc_id"]).first()["matches"]] == ["CC-BY-NC-4.0"]
+
+
+def test_centroids_by_brute_force(spark):
+    """Prediction names the language of the centroid of largest cosine, computed plainly."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(120)
+    model = language.train(docs)
+    rows = docs.select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in language.predict(docs, model, F.lit(False)).collect()}
+    assert len(model.centres) > len(model.names) > 1
+    for r in rows:
+        counts = language.vectors(block_of(r["text"]))[0].astype(float)
+        vector = language.weighted(np.array([counts]), model.idf)[0]
+        best, name = -1.0, None
+        for centre, of in zip(model.centres, model.of):
+            cosine = sum(float(a) * float(b) for a, b in zip(vector, centre) if a)
+            if cosine > best + 1e-9:
+                best, name = cosine, model.names[of]
+        assert got[r["doc_id"]]["lang_pred"] == name
+        assert got[r["doc_id"]]["score"] == pytest.approx(best, abs=1e-5)
+
+
+def test_names_that_clash_are_errors_with_a_way_out(spark, odd):  # noqa: F811
+    clash = odd.withColumns({"epoch": F.lit(7), "block_order": F.lit("x"), "__meta0": F.lit(1)})
+    with pytest.raises(ValueError):
+        mixing.mix(clash)
+    mixed = mixing.mix(clash, prefix="m_")
+    assert mixed.columns == [*clash.columns, "m_epoch", "m_block_order"]
+    assert mixed.select("epoch").distinct().collect()[0][0] == 7
+    plain = mixing.mix(odd)
+    assert sorted(map(str, mixed.select("doc_id", "m_epoch", "m_block_order").collect())) == sorted(
+        str(r).replace("epoch", "m_epoch").replace("block_order", "m_block_order")
+        for r in plain.select("doc_id", "epoch", "block_order").collect())
+    machine = quality.train(odd, spark.createDataFrame([(5, 1), (9, 0)], "doc_id long, quality int"))
+    with pytest.raises(ValueError):
+        quality.score(clash, machine, ["doc_id", "score"])
+    scored = quality.score(clash, machine, ["__meta0", "score", "text"], out="s")
+    assert scored.columns == ["__meta0", "score", "text", "s"] and scored.count() == odd.count()
+    for run in (lambda: pii.find(clash.withColumn("base", F.lit(1)), pii.new_network(1), ["base"]),
+                lambda: licenses.scan(clash.withColumn("matches", F.lit(1)), ["matches"]),
+                lambda: decontaminate.find(clash, spark.createDataFrame([], "item_id long, text string"),
+                                           ["hits"])):
+        with pytest.raises(ValueError):
+            run()
