@@ -436,10 +436,41 @@ def test_decontamination_against_brute_force(spark):
             assert brute_edits(stretch, plain(dict(items)[h["item_id"]])) <= h["edits"] + 2
 
 
+def test_both_ways_give_the_same_hits_and_every_occurrence(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 16)
+    rnd = random.Random(8)
+    make = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 8)))
+                              for _ in range(n))
+    items = [(i, make(rnd.randrange(5, 40))) for i in range(30)]
+    items += [(100, items[3][1]), (3, items[3][1]), (200, "abc")]
+    docs, want = [], {}
+    for d in range(80):
+        said = [rnd.choice(items[:30]) for _ in range(rnd.randrange(5))]
+        text = make(6)
+        for _, s in said:
+            text += f" {s.title()}. {make(rnd.randrange(4, 9))}"
+        docs.append((d % 70, text))
+        want[text] = sorted(i for i, _ in said)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    ways = [{(r["doc_id"], r["text"]): sorted(tuple(h) for h in r["hits"]) for r in decontaminate.find(
+        df, bench, ["doc_id", "text"], item_chars=n).collect()} for n in (decontaminate.ITEM_CHARS, 0)]
+    assert ways[0] == ways[1] and len(ways[0]) == 80
+    for (_, text), hits in ways[0].items():
+        exact = sorted(h[0] for h in hits if h[0] < 100 and h[3] == 0)
+        assert exact == want[text]
+        # Equal items are found alike; no two stretches of one item overlap.
+        assert [h[1:] for h in hits if h[0] == 3] == [h[1:] for h in hits if h[0] == 100]
+        for h, other in itertools.combinations([h for h in hits], 2):
+            assert h[0] != other[0] or h[2] <= other[1] or other[2] <= h[1]
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, "seven of them in the house"), (None, "x" * 200)],
                                   "item_id long, text string")
-    assert decontaminate.find(odd, bench, odd.columns, out="__hits").count() == odd.count()
+    for n in (decontaminate.ITEM_CHARS, 0):
+        assert decontaminate.find(odd, bench, odd.columns, out="__hits", item_chars=n).count() == odd.count()
+        assert decontaminate.find(empty, bench, ["doc_id"], item_chars=n).collect() == []
     assert decontaminate.find(empty, bench, ["doc_id"]).collect() == []
     assert {len(r["hits"]) for r in decontaminate.find(odd, bench.where("false"), ["doc_id"]).collect()} == {0}
 
