@@ -29,6 +29,14 @@ HEADLINE = (
 )
 
 
+def fixed_work(spark) -> float:
+    """Seconds of a job that no change of this repository touches: a slower machine shows in
+    it, slower code does not."""
+    start = time.perf_counter()
+    spark.range(20_000_000).selectExpr("sum(xxhash64(id) % 1000)", "count(DISTINCT id % 100000)").collect()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -36,6 +44,7 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
+    control = []
     for name in HEADLINE:
         taken = []
         for _ in range(runs + 1):
@@ -43,10 +52,12 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         times[name] = round(min(taken[1:]), 3)
+        control.append(fixed_work(spark))
     found = re.search(r"sf([0-9.]+)/?$", sf_dir)
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": float(found.group(1)) if found else sf_dir}))
+        "queries": times, "control": round(sorted(control)[len(control) // 2], 3),
+        "sf": float(found.group(1)) if found else sf_dir}))
     spark.stop()
 
 

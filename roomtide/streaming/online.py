@@ -28,7 +28,7 @@ def online_now(heartbeat: DataFrame, *, window: int = fixed.ONLINE_WINDOW,
     """
     keys = ["w", "extra_id", "type"]
     once = (
-        ticks(heartbeat, slide, lateness)
+        ticks(heartbeat, window, slide, lateness)
         .groupBy(F.window("logtime", f"{window} seconds", f"{slide} seconds").alias("w"),
                  "extra_id", "type", "viewer")
         .agg(F.count("*").alias("beats"))
@@ -37,11 +37,10 @@ def online_now(heartbeat: DataFrame, *, window: int = fixed.ONLINE_WINDOW,
         F.col("w.end").alias("window_end"), "extra_id", "type", "online")
 
 
-def ticks(heartbeat: DataFrame, slide: int = fixed.ONLINE_SLIDE,
-          lateness: str = LATENESS) -> DataFrame:
+def ticks(heartbeat: DataFrame, window: int, slide: int, lateness: str) -> DataFrame:
     """One heartbeat of each viewer, room and slide, as far as the watermark lets them be
     compared. Windows are whole slides, so any of them stands for the others."""
-    if fixed.ONLINE_WINDOW % slide:
+    if window % slide:
         raise ValueError("the window must be a multiple of the slide")
     return (rooms.presence(heartbeat).withWatermark("logtime", lateness)
             .withColumn("tick", F.floor(F.unix_micros("logtime") / (slide * 1000000)))
@@ -53,7 +52,7 @@ def online_now_approximate(heartbeat: DataFrame, *, window: int = fixed.ONLINE_W
                            rsd: float = 0.02) -> DataFrame:
     """The same with a fixed-size sketch per window and room instead of exact counts."""
     return (
-        ticks(heartbeat, slide, lateness)
+        ticks(heartbeat, window, slide, lateness)
         .groupBy(F.window("logtime", f"{window} seconds", f"{slide} seconds").alias("w"),
                  "extra_id", "type")
         .agg(F.approx_count_distinct("viewer", rsd).alias("online"))
