@@ -156,6 +156,8 @@ HIDDEN = 16
 WINDOW = 128
 STRETCH = 768
 MARGIN = 200
+# Windows decoded at a time: some 25 MB of arrays.
+TOGETHER = 128
 
 
 def new_network(seed: int) -> dict[str, np.ndarray]:
@@ -494,8 +496,8 @@ def added_spans(p, chars: tx.Characters, texts: list[str | None]) -> list[list[t
                for a, b in windows_around(flag[chars.limits[i]:chars.limits[i + 1]])]
     # Windows of about one length are decoded together.
     windows.sort(key=lambda w: w[2] - w[1])
-    for at in range(0, len(windows), 512):
-        own, begin, end = (np.array(c) for c in zip(*windows[at:at + 512]))
+    for at in range(0, len(windows), TOGETHER):
+        own, begin, end = (np.array(c) for c in zip(*windows[at:at + TOGETHER]))
         length = end - begin
         place = (chars.limits[own] + begin)[:, None] + np.arange(length.max())
         inside = np.arange(length.max()) < length[:, None]
